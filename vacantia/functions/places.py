@@ -11,7 +11,7 @@ ANYWHERE = "United States"
 
 
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"^[\s ]+|[\s ]+$", "")
+    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
 def location_list(location: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _KEPT = re.compile(r"[a-z0-9+#]")
-_MARKS = r"[̀-ͯ]"
+_MARKS = r"[\u0300-\u036f]"
 NON_WORD = "[^a-z0-9+#]+"
 
 
