@@ -130,30 +130,19 @@ def probe_streak(probes: DataFrame) -> DataFrame:
         "listing_id", "probe_date", "outcome",
         F.row_number().over(run).alias("streak"),
         F.count_if(F.col("outcome") == "soft_gone").over(run).alias("soft"),
-        F.min("probe_date").over(run).alias("since"),
     )
 
 
 def close_dead_links(
     probes: DataFrame, hard: int = HARD_STREAK, soft: int = SOFT_STREAK
 ) -> DataFrame:
-    """Day a listing's link counted as gone, for runs that reach to its last check.
+    """First day on which a listing's link counts as gone.
 
-    A run with a soft failure in it needs the longer streak.
+    A run of failures with a soft one in it needs the longer streak.
     """
-    streaks = probe_streak(probes)
     needed = F.when(F.col("soft") > 0, F.lit(soft)).otherwise(F.lit(hard))
-    due = F.when(F.col("streak") >= needed, F.col("probe_date"))
-    runs = streaks.groupBy("listing_id", "since").agg(
-        F.min(due).alias("closed_date"), F.max("probe_date").alias("run_end")
-    )
-    last = probes.groupBy("listing_id").agg(F.max("probe_date").alias("last_probe"))
-    return (
-        runs.where("closed_date IS NOT NULL")
-        .join(last, "listing_id")
-        .where(F.col("run_end") == F.col("last_probe"))
-        .select("listing_id", "closed_date")
-    )
+    due = probe_streak(probes).where(F.col("streak") >= needed)
+    return due.groupBy("listing_id").agg(F.min("probe_date").alias("closed_date"))
 
 
 def _expiry(days: int) -> Column:

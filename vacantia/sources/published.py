@@ -60,8 +60,12 @@ def _full_date(short: Column, as_of: str) -> Column:
     month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.substring(short, 1, 3))
     day = F.regexp_extract(short, r"([0-9]+)$", 1).try_cast("int")
     limit = F.date_add(dates.day(as_of), 1)
-    this_year = F.try_make_date(F.year(dates.day(as_of)), month.cast("int"), day)
-    last_year = F.try_make_date(F.year(dates.day(as_of)) - 1, month.cast("int"), day)
+
+    def in_year(year: Column) -> Column:
+        return F.concat_ws("-", year, month, day).try_cast("date")
+
+    this_year = in_year(F.year(dates.day(as_of)))
+    last_year = in_year(F.year(dates.day(as_of)) - 1)
     return F.when(this_year <= limit, this_year).otherwise(last_year)
 
 
