@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from vacantia.dims import COMMUNITY_EXPIRY, HARD_STREAK, SOFT_STREAK
 from vacantia.functions import dates
 
-#: Column names: a sighting is (listing_id, board, day).
-_BY_DAY = Window.partitionBy("listing_id").orderBy("day")
+
+def _by_day() -> Window:
+    """Days of one listing. A sighting is (listing_id, board, day)."""
+    return Window.partitionBy("listing_id").orderBy("day")
 
 
 def sightings(log: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def gaps(seen: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFr
     calendar day counts as scanned. ``grace`` holds (board, grace).
     """
     rows = seen.where(F.col("day") <= dates.day(as_of)).withColumn(
-        "next_day", F.lead("day").over(_BY_DAY)
+        "next_day", F.lead("day").over(_by_day())
     )
     rows = rows.join(grace, "board").withColumn("target", F.date_add("day", F.col("grace")))
     if scan_days is None:
@@ -80,7 +82,7 @@ def absence(seen: DataFrame, scan_days: DataFrame, as_of: str) -> DataFrame:
         .groupBy("board")
         .agg(F.max("day").alias("last_scan"))
     )
-    stepped = seen.withColumn("gap", F.datediff("day", F.lag("day").over(_BY_DAY)))
+    stepped = seen.withColumn("gap", F.datediff("day", F.lag("day").over(_by_day())))
     per = stepped.groupBy("listing_id").agg(
         F.first("board").alias("board"),
         F.max("day").alias("last_seen"),

@@ -9,9 +9,9 @@ from vacantia.dims import NEW_DAYS
 from vacantia.functions import dates, places, text, urls
 
 
-def hay(states: Column = F.col("states")) -> Column:
+def hay() -> Column:
     """Search text of a listing: every word that a query may start."""
-    names = F.transform(states, lambda s: places.state_name(s, default=F.lit("")))
+    names = F.transform("states", lambda s: places.state_name(s, default=F.lit("")))
     return text.word_text(
         F.concat_ws(
             " ",

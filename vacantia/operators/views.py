@@ -20,12 +20,13 @@ def normalize_views(links: DataFrame, slugs: Column, places: Column) -> DataFram
     url = F.col("url")
     kind, place, days = (query_param(url, k) for k in ("type", "state", "days"))
     cats = F.split(query_param(url, "cat"), ",")
-    allowed = F.concat(places, F.array(F.lit("remote")))
-    return links.select(
+    allowed = F.concat("known_places", F.array(F.lit("remote")))
+    known = links.withColumns({"known_slugs": slugs, "known_places": places})
+    return known.select(
         "view_id",
         F.when(kind.isin(*TYPES), kind).otherwise(F.lit(TYPES[0])).alias("type"),
         F.substring(query_param(url, "q"), 1, QUERY_CAP).alias("q"),
-        F.filter(cats, lambda c: F.array_contains(slugs, c)).alias("cat"),
+        F.filter(cats, lambda c: F.array_contains("known_slugs", c)).alias("cat"),
         F.when(F.array_contains(allowed, place), place).otherwise(F.lit("")).alias("state"),
         F.when(days.isin("7", "30"), days).otherwise(F.lit("")).alias("days"),
         (query_param(url, "noclear") == "1").alias("noclear"),

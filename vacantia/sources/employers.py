@@ -9,9 +9,9 @@ from vacantia import schema
 from vacantia.dims import PLATFORM_KEYS
 
 
-def board_key(platform: Column = F.col("platform"), key: Column = F.col("key")) -> Column:
+def board_key() -> Column:
     """The parts of a board's key in the order its platform defines, joined by ``/``."""
-    out = None
+    out, platform, key = None, F.col("platform"), F.col("key")
     for name, parts in PLATFORM_KEYS.items():
         joined = F.concat_ws("/", *[F.try_element_at(key, F.lit(p)) for p in parts])
         out = F.when(platform == name, joined) if out is None else out.when(platform == name, joined)
