@@ -1,6 +1,6 @@
 """Every registered query."""
 
-from vacantia.plans import board_queries, source_queries  # noqa: F401
+from vacantia.plans import board_queries, rule_queries, scan_queries, source_queries  # noqa: F401
 from vacantia.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
