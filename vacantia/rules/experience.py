@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vacantia.functions.bind import let
+
 # Patterns over a lower-case posting text.
 SENTENCE = r"[.!?]+\s+|[;\n•]+"
 OPTIONAL = (
@@ -49,19 +51,19 @@ def facts(text: Column) -> Column:
     Sentences without a degree each ask for their count, so the largest is the floor;
     sentences naming degrees are routes, of which the easiest counts.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    asked = F.filter(
-        F.split(low, SENTENCE),
-        lambda s: s.rlike(YEARS) & s.rlike("[0-9]") & ~s.rlike(OPTIONAL) & ~s.rlike(EMPLOYER),
-    )
-    plain = F.flatten(
-        F.transform(
+
+    def ask(low: Column) -> Column:
+        return F.filter(
+            F.split(low, SENTENCE),
+            lambda s: s.rlike(YEARS) & s.rlike("[0-9]") & ~s.rlike(OPTIONAL) & ~s.rlike(EMPLOYER),
+        )
+
+    def counts(asked: Column) -> Column:
+        plain = F.transform(
             F.filter(asked, lambda s: ~s.rlike(DEGREE)),
             lambda s: _numbers(F.regexp_extract_all(s, F.lit(COUNT), F.lit(1))),
         )
-    )
-    routes = F.flatten(
-        F.transform(
+        routes = F.transform(
             F.filter(asked, lambda s: s.rlike(DEGREE)),
             lambda s: _numbers(
                 F.concat(
@@ -70,23 +72,22 @@ def facts(text: Column) -> Column:
                 )
             ),
         )
-    )
-    counts = F.struct(plain.alias("plain"), routes.alias("routes"))
-    # The lists are needed three times: bind them once instead of scanning the text again.
-    return F.get(
-        F.transform(
-            F.array(counts),
-            lambda c: F.struct(
-                F.when(low.rlike(CEILING), F.lit(0))
-                .otherwise(F.greatest(F.array_max(c["plain"]), F.array_min(c["routes"])))
-                .alias("floor"),
-                F.greatest(F.array_max(c["plain"]), F.array_max(c["routes"])).alias("highest"),
-                low.rlike(CEILING).alias("ceiling"),
-                low.rlike(SAYS_EARLY).alias("says_early"),
-                low.rlike(SAYS_NEWGRAD).alias("says_newgrad"),
-            ),
-        ),
-        F.lit(0),
+        return F.struct(F.flatten(plain).alias("plain"), F.flatten(routes).alias("routes"))
+
+    def judge(low: Column, c: Column) -> Column:
+        return F.struct(
+            F.when(low.rlike(CEILING), F.lit(0))
+            .otherwise(F.greatest(F.array_max(c["plain"]), F.array_min(c["routes"])))
+            .alias("floor"),
+            F.greatest(F.array_max(c["plain"]), F.array_max(c["routes"])).alias("highest"),
+            low.rlike(CEILING).alias("ceiling"),
+            low.rlike(SAYS_EARLY).alias("says_early"),
+            low.rlike(SAYS_NEWGRAD).alias("says_newgrad"),
+        )
+
+    return let(
+        F.lower(F.coalesce(text, F.lit(""))),
+        lambda low: let(let(ask(low), counts), lambda c: judge(low, c)),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vacantia.dims import STATE_NAMES
+from vacantia.functions.bind import let
 from vacantia.rules import lexicon as lex
 
 CODES = "|".join(STATE_NAMES)
@@ -39,84 +40,113 @@ def parts(location: Column) -> Column:
     return F.filter(clean, lambda p: p != "")
 
 
-def read_place(part: Column) -> Column:
-    """One place as (text, state, us, remote): the stored form, or not ``us`` at all."""
-    remote = part.rlike(REMOTE)
-    bare = F.trim(F.regexp_replace(F.regexp_replace(part, r"(?i)\bremote\b", ""), r"[()]", " "))
-    bare = F.regexp_replace(bare, r"^[ ,-]+|[ ,-]+$", "")
-    country = bare.rlike(rf"^{COUNTRY}$")
-    abroad = bare.rlike(ABROAD)
-    short = F.regexp_replace(bare, TAIL, "")
-    tail = short != bare
-    ends = short.rlike(BY_CODE) | short.rlike(BY_NAME)
-    coded = F.when(ends, F.regexp_extract(short, BY_CODE, 2)).otherwise(
-        F.regexp_extract(short, BY_LEAD, 1)
-    )
-    named = F.lower(
-        F.when(ends, F.regexp_extract(short, BY_NAME, 2)).otherwise(
-            F.regexp_extract(short, BY_LEAD, 2)
+def _bare(part: Column) -> Column:
+    """A place without its remote mark and brackets."""
+    bare = F.regexp_replace(F.regexp_replace(part, REMOTE, ""), r"[()]", " ")
+    return F.regexp_replace(F.trim(bare), r"^[ ,-]+|[ ,-]+$", "")
+
+
+def _match(s: Column) -> Column:
+    """State code, state name and town of a place, by whichever pattern fits."""
+    short = s["short"]
+    code, name, lead = short.rlike(BY_CODE), short.rlike(BY_NAME), short.rlike(BY_LEAD)
+
+    def group(by_code: int | None, by_name: int | None, by_lead: int) -> Column:
+        none = F.lit("")
+        return (
+            F.when(code, F.regexp_extract(short, BY_CODE, by_code) if by_code else none)
+            .when(name, F.regexp_extract(short, BY_NAME, by_name) if by_name else none)
+            .when(lead, F.regexp_extract(short, BY_LEAD, by_lead))
+            .otherwise(none)
         )
+
+    return F.struct(
+        s["part"].alias("part"), s["bare"].alias("bare"), s["remote"].alias("remote"),
+        (short != s["bare"]).alias("tail"),
+        group(2, None, 1).alias("coded"),
+        F.lower(group(None, 2, 2)).alias("named"),
+        group(1, 1, 3).alias("town"),
     )
-    code = F.when(coded != "", coded).when(named != "", F.try_element_at(_code_of(), named))
-    town = (
-        F.when(~ends, F.regexp_extract(short, BY_LEAD, 3))
-        .when(coded != "", F.regexp_extract(short, BY_CODE, 1))
-        .otherwise(F.regexp_extract(short, BY_NAME, 1))
-    )
+
+
+def _state(m: Column) -> Column:
     town = F.regexp_replace(
-        F.regexp_replace(town, rf"(?i)[ ,-]+(?:{NAMES})$", ""), r"^[ ,-]+|[ ,-]+$", ""
+        F.regexp_replace(m["town"], rf"(?i)[ ,-]+(?:{NAMES})$", ""), r"^[ ,-]+|[ ,-]+$", ""
+    )
+    code = F.when(m["coded"] != "", m["coded"]).when(
+        m["named"] != "", F.try_element_at(_code_of(), m["named"])
+    )
+    return F.struct(
+        m["part"].alias("part"), m["bare"].alias("bare"), m["remote"].alias("remote"),
+        m["tail"].alias("tail"), town.alias("town"),
+        F.when(~((m["coded"] == "") & town.isin(*lex.FOREIGN_TWINS)), code).alias("state"),
     )
-    twin = (coded == "") & (town != "") & town.isin(*lex.FOREIGN_TWINS)
-    known = code.isNotNull() & ~twin
-    us = known | (~abroad & (country | tail | (remote & (bare == ""))))
+
+
+def _place(m: Column) -> Column:
+    known, remote, bare = m["state"].isNotNull(), m["remote"], m["bare"]
+    broad = m["tail"] | bare.rlike(rf"^{COUNTRY}$") | (remote & (bare == ""))
+    us = known | (broad & ~bare.rlike(ABROAD))
     form = (
-        F.when(known & remote, F.concat(F.lit("Remote, "), code))
-        .when(known & (town != ""), F.concat(town, F.lit(", "), code))
-        .when(known, code)
-        .when(us & remote, F.lit("Remote (US)"))
-        .when(us, F.lit("United States"))
-        .otherwise(part)
+        F.when(known & remote, F.concat(F.lit("Remote, "), m["state"]))
+        .when(known & (m["town"] != ""), F.concat(m["town"], F.lit(", "), m["state"]))
+        .when(known, m["state"])
+        .when(remote, F.lit("Remote (US)"))
+        .otherwise(F.lit("United States"))
     )
     return F.struct(
-        form.alias("text"),
-        F.when(known, code).alias("state"),
-        F.coalesce(us, F.lit(False)).alias("us"),
+        F.when(us, form).otherwise(m["part"]).alias("text"),
+        m["state"].alias("state"),
+        us.alias("us"),
         remote.alias("remote"),
         (remote & (bare == "")).alias("bare_remote"),
     )
 
 
-def read_places(location: Column) -> Column:
-    return F.transform(parts(location), read_place)
+def read_place(part: Column) -> Column:
+    """One place as (text, state, us, remote, bare_remote): the stored form, if in the US."""
+    first = F.struct(
+        part.alias("part"), _bare(part).alias("bare"), part.rlike(REMOTE).alias("remote")
+    )
+    return let(
+        first,
+        lambda f: let(
+            F.struct(
+                f["part"].alias("part"), f["bare"].alias("bare"), f["remote"].alias("remote"),
+                F.regexp_replace(f["bare"], TAIL, "").alias("short"),
+            ),
+            lambda s: let(_match(s), lambda m: let(_state(m), _place)),
+        ),
+    )
 
 
-def kept_places(places: Column) -> Column:
-    """US places of a posting. A bare remote beside places abroad only is remote from there."""
+def _kept(places: Column) -> Column:
+    """US places. A bare remote beside places abroad only is remote from there."""
     fixed = F.filter(places, lambda p: ~p["bare_remote"])
-    away = (F.size(fixed) > 0) & ~F.exists(fixed, lambda p: p["us"])
-    return F.filter(places, lambda p: p["us"] & ~(p["bare_remote"] & away))
+    home = F.exists(places, lambda p: p["us"] & ~p["bare_remote"])
+    return F.when(
+        home | (F.size(fixed) == 0), F.filter(places, lambda p: p["us"])
+    ).otherwise(F.filter(places, lambda p: p["us"] & ~p["bare_remote"]))
 
 
 def us_places(location: Column) -> Column:
     """Struct of the kept locations in order, their states and whether one is remote."""
-    kept = kept_places(read_places(location))
-    return F.get(
-        F.transform(
-            F.array(kept),
-            lambda k: F.struct(
-                F.array_distinct(F.transform(k, lambda p: p["text"])).alias("locations"),
-                F.array_distinct(
-                    F.array_compact(F.transform(k, lambda p: p["state"]))
-                ).alias("states"),
-                F.exists(k, lambda p: p["remote"]).alias("remote"),
-            ),
-        ),
-        F.lit(0),
-    )
+
+    def summary(kept: Column) -> Column:
+        return F.struct(
+            F.array_distinct(F.transform(kept, lambda p: p["text"])).alias("locations"),
+            F.array_distinct(
+                F.array_compact(F.transform(kept, lambda p: p["state"]))
+            ).alias("states"),
+            F.exists(kept, lambda p: p["remote"]).alias("remote"),
+        )
+
+    places = F.transform(parts(location), read_place)
+    return let(places, lambda ps: let(_kept(ps), summary))
 
 
 def remote_scope(location: Column) -> Column:
-    return F.exists(kept_places(read_places(location)), lambda p: p["remote"])
+    return us_places(location)["remote"]
 
 
 def placed_abroad(t: Column) -> Column:
