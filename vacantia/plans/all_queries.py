@@ -1,6 +1,8 @@
 """Every registered query."""
 
-from vacantia.plans import board_queries, rule_queries, scan_queries, source_queries  # noqa: F401
+from vacantia.plans import (  # noqa: F401
+    board_queries, rule_queries, scan_queries, source_queries, stream_queries,
+)
 from vacantia.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

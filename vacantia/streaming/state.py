@@ -1,0 +1,133 @@
+"""Per-listing state of the streaming lifecycle.
+
+The input is the ingested table: one row per listing and day, so the state of a listing
+and what reaches its task stay small.
+"""
+
+from __future__ import annotations
+
+import datetime
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+FIRST = T.StructType(
+    [T.StructField("listing_id", T.StringType()), T.StructField("first_day", T.DateType())]
+)
+CHANGE = T.StructType(
+    [
+        T.StructField("listing_id", T.StringType()),
+        T.StructField("change", T.StringType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
+_LAST = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("grace", T.IntegerType()),
+        T.StructField("open", T.BooleanType()),
+    ]
+)
+_DAY = T.StructType([T.StructField("day", T.DateType())])
+
+
+def _midnight(day: datetime.date) -> int:
+    """Milliseconds of a UTC day's start."""
+    start = datetime.datetime(day.year, day.month, day.day, tzinfo=datetime.timezone.utc)
+    return int(start.timestamp() * 1000)
+
+
+class FirstSeen(StatefulProcessor):
+    """Emits a listing once, with the day it entered."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", _DAY)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        day = min(part["day"].min() for part in rows)
+        if not self.first.exists():
+            self.first.update((day,))
+            yield pd.DataFrame({"listing_id": [key[0]], "first_day": [day]})
+
+    def close(self) -> None:
+        pass
+
+
+class CloseOnAbsence(StatefulProcessor):
+    """Closes a listing when its grace runs out, reopens it when it is read again."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", _LAST)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seen = pd.concat(list(rows))
+        grace = int(seen["grace"].iloc[0])
+        changes = []
+        if self.last.exists():
+            last, _, is_open = self.last.get()
+            self.handle.deleteTimer(_midnight(last + datetime.timedelta(days=grace)))
+        else:
+            last, is_open = None, True
+        for day in sorted(set(seen["day"])):
+            if last is not None and day <= last:
+                continue
+            due = None if last is None else last + datetime.timedelta(days=grace)
+            if due is not None and is_open and due < day:
+                changes.append(("closed", due))
+                is_open = False
+            if not is_open:
+                changes.append(("reopened", day))
+                is_open = True
+            last = day
+        self.last.update((last, grace, is_open))
+        if is_open:
+            self.handle.registerTimer(_midnight(last + datetime.timedelta(days=grace)))
+        if changes:
+            yield self._rows(key, changes)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, grace, is_open = self.last.get()
+        if is_open:
+            self.last.update((last, grace, False))
+            yield self._rows(key, [("closed", last + datetime.timedelta(days=grace))])
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _rows(key, changes) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "listing_id": [key[0]] * len(changes),
+                "change": [c for c, _ in changes],
+                "day": [d for _, d in changes],
+            }
+        )
+
+
+# Executors get the processors by value and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def first_seen(sightings: DataFrame) -> DataFrame:
+    """Each listing once, when it enters."""
+    return sightings.groupBy("listing_id").transformWithStateInPandas(
+        FirstSeen(), FIRST, "append", "None"
+    )
+
+
+def close_absent(sightings: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """Closings and reopenings of a stream of (listing_id, day, grace)."""
+    timed = sightings.select(
+        "listing_id", "day", "grace", F.col("day").cast("timestamp").alias("at")
+    ).withWatermark("at", delay)
+    return timed.groupBy("listing_id").transformWithStateInPandas(
+        CloseOnAbsence(), CHANGE, "append", "EventTime"
+    )
