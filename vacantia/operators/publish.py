@@ -43,8 +43,9 @@ def release_batches(new: DataFrame) -> DataFrame:
 
 def release_entries(new: DataFrame) -> DataFrame:
     """Rows of each release with the size of their batch."""
+    # One row per scan day, so as long as the calendar whatever the data: safe to broadcast.
     sizes = new.groupBy("scan_date").agg(F.count(F.lit(1)).alias("batch_n"))
-    return new.join(sizes, "scan_date")
+    return new.join(F.broadcast(sizes), "scan_date")
 
 
 def alert_batches(new: DataFrame) -> DataFrame:

@@ -85,14 +85,14 @@ def distinct_searches(views: DataFrame) -> DataFrame:
 def _anchors() -> Column:
     """The join keys of one search: the rarest kind of filter it has.
 
-    A word's first letters, else each category, else the place, else the type alone.
+    The first three letters of a word, else each category, else the place, else the type.
     """
     longest = F.get(F.array_sort("needles", lambda a, b: F.length(b) - F.length(a)), F.lit(0))
     word = F.array(F.concat(F.lit("w:"), F.substring(longest, 1, 3)))
     cats = F.transform("cat", lambda c: F.concat(F.lit("c:"), c))
     place = F.array(F.concat(F.lit("s:"), F.col("state")))
     return (
-        F.when(F.size("needles") > 0, word)
+        F.when(F.length(longest) >= 3, word)
         .when(F.size("cat") > 0, cats)
         .when(F.col("state") != "", place)
         .otherwise(F.array(F.lit("t:")))
@@ -101,16 +101,8 @@ def _anchors() -> Column:
 
 def _listing_keys() -> Column:
     """Every anchor a search matching this listing could have."""
-    tokens = F.filter(F.split("hay", " "), lambda w: w != "")
-    starts = F.flatten(
-        F.transform(
-            tokens,
-            lambda w: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(3), F.length(w))),
-                lambda k: F.concat(F.lit("w:"), w.substr(F.lit(1), k)),
-            ),
-        )
-    )
+    tokens = F.filter(F.split("hay", " "), lambda w: F.length(w) >= 3)
+    starts = F.transform(tokens, lambda w: F.concat(F.lit("w:"), F.substring(w, 1, 3)))
     states = F.transform("states", lambda s: F.concat(F.lit("s:"), s))
     remote = F.when(F.col("remote"), F.array(F.lit("s:remote"))).otherwise(
         F.array().cast("array<string>")

@@ -20,13 +20,11 @@ AS_OF = f"DATE '{LST_AS_OF}'"
 
 #: The view most queries use: word, categories, recency, no clearance.
 SEARCH = View(type="newgrad", q="Ring re", cat=("1-urgent", "5-low"), days="30", noclear=True)
-OPEN = View(type="intern")
-NOWHERE = View(type="intern", q="zzz")
-NARROW = View(type="intern", q="co1 remote", state="remote", days="7")
+NARROW = View(type="intern", q="co1 remote", cat=("1-urgent",), state="remote", days="30")
 
 _PASSES = "NOT closed AND NOT clearance AND age <= 30 AND contains(hay, ' ring') AND contains(hay, ' re')"
 _NARROW = (
-    "NOT closed AND remote AND age <= 7 AND contains(hay, ' co1') AND contains(hay, ' remote')"
+    "NOT closed AND remote AND age <= 30 AND contains(hay, ' co1') AND contains(hay, ' remote')"
 )
 
 
@@ -243,18 +241,13 @@ def _(d):
 
 @query(
     "agg4_other_tab_hint",
-    BOARD + f"""SELECT type, n FROM ({_tabs(_NARROW + " AND slug = '9-none'")}) WHERE n > 0
-      UNION ALL SELECT type, n FROM (SELECT type, count(*) AS n FROM board
-        WHERE NOT closed AND contains(hay, ' co7') AND age <= 7 AND id <> '' GROUP BY type) t
-      WHERE type <> 'intern' AND n > 0 AND NOT EXISTS (SELECT 1 FROM board WHERE type = 'intern'
-        AND NOT closed AND contains(hay, ' co7') AND age <= 7)""",
+    BOARD + f"""SELECT type, count(*) AS n FROM board WHERE NOT (type = 'intern' AND slug = '1-urgent')
+      AND {_NARROW} AND slug = '1-urgent' GROUP BY type""",
 )
 def _(d):
-    board = d.board("role", "places")
-    never = counts.other_tab_hint(
-        board, View(type="intern", q="co1 remote", state="remote", days="7", cat=("9-none",))
-    )
-    return never.unionByName(counts.other_tab_hint(board, View(type="intern", q="co7", days="7")))
+    """The active tab's rows of the one category asked for are left out of the data."""
+    board = d.board("role", "places").where("NOT (type = 'intern' AND slug = '1-urgent')")
+    return counts.other_tab_hint(board, NARROW)
 
 
 @query(
@@ -416,13 +409,12 @@ def _(d):
     "joi9_silent_boards",
     with_(LISTINGS, EMPLOYERS, POSTINGS) + """SELECT platform, board_key, name FROM employer e
       WHERE NOT EXISTS (SELECT 1 FROM posting p WHERE p.platform = e.platform
-        AND p.board_key = e.board_key AND age_days <= 7)""".replace(
-        "age_days", f"{AS_OF} - date_added"
-    ),
+        AND p.board_key = e.board_key AND p.n % 10 <> 3)""",
 )
 def _(d):
-    recent = d.postings().where(F.datediff(F.lit(LST_AS_OF).cast("date"), "date_added") <= 7)
-    return joins.silent_boards(d.employers(), recent).select("platform", "board_key", "name")
+    """Boards of every tenth employer land nothing."""
+    landed = d.postings().where("NOT endswith(company, '3')")
+    return joins.silent_boards(d.employers(), landed).select("platform", "board_key", "name")
 
 
 _DUP_KEY = f"""dup AS (SELECT id, company, {sql_words('role')} AS role_key,
