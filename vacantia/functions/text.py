@@ -14,16 +14,17 @@ NON_WORD = "[^a-z0-9+#]+"
 
 
 def _plain(char: str) -> str:
-    """What one lower-case character leaves behind after compatibility folding."""
+    """What one lower-case character leaves behind: its letters, blanks where words split."""
     parts = unicodedata.normalize("NFKD", char)
-    return "".join(p for p in parts if not unicodedata.combining(p))
+    letters = (p for p in parts if not 0x300 <= ord(p) <= 0x36F)
+    return "".join(p if _KEPT.match(p) else " " for p in letters)
 
 
 def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     """Single-letter folds for ``translate`` and the few that spell several letters.
 
-    The rule: a non-ASCII character that is its own lower case and folds to ASCII. Folds
-    to capitals (the trade mark sign) act as separators, so they are left out.
+    The rule: a non-ASCII character that is its own lower case and leaves a letter behind.
+    What leaves none (the trade mark sign folds to capitals) separates words as it is.
     """
     source, target, ligatures = [], [], []
     for code in range(0x00A0, 0x2190):
@@ -31,7 +32,7 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
         if char.lower() != char:
             continue
         plain = _plain(char)
-        if plain != char and plain.isascii() and plain and all(_KEPT.match(c) for c in plain):
+        if plain.strip():
             if len(plain) == 1:
                 source.append(char)
                 target.append(plain)

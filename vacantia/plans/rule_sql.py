@@ -120,7 +120,7 @@ POSTING_LEVEL = f"""CASE WHEN says_newgrad THEN 'newgrad' WHEN says_early THEN '
 
 _LISTED = "(secure OR sec_co)"
 CATEGORY = (
-    "CASE "
+    f"CASE WHEN {_LISTED} AND {has(lex.SOC_TWO)} THEN 'GRC & Risk' "
     + " ".join(
         f"WHEN {_LISTED} AND {has(words)} THEN {q(name)}"
         for name, words in lex.CATEGORY_TERMS.items()

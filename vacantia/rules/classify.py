@@ -29,6 +29,7 @@ def category(
         for name, words in lexicon.CATEGORY_TERMS.items()
     ]
     return F.coalesce(
+        F.when(listed & has(t, lexicon.SOC_TWO), F.lit("GRC & Risk")),
         *named,
         F.when(secure, F.lit("Security Engineering")),
         F.when(cloud, F.lit("Cloud Engineering")),

@@ -297,7 +297,7 @@ CATEGORY_TERMS = {
     "Identity & IAM": ["identity", "iam", "ciam", "sailpoint", "okta", "saviynt", "forgerock"],
     "GRC & Risk": [
         "grc", "governance", "risk", "compliance", "audit(?:or)?", "isso", "rmf", "emass",
-        "stigs?", "assurance", "policy", "pci", "controls?", "it ia", "soc 2",
+        "stigs?", "assurance", "policy", "pci", "controls?", "it ia",
     ],
 }
 
