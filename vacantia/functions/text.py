@@ -50,9 +50,11 @@ def fold(text: Column) -> Column:
     """Lower case without accents. Plain ASCII text skips the character tables."""
     low = F.lower(text)
     wide = F.translate(F.regexp_replace(low, _MARKS, ""), _FROM, _TO)
+    spelled = wide
     for char, plain in _LIGATURES:
-        wide = F.replace(wide, F.lit(char), F.lit(plain))
-    return F.when(low.rlike("[^\\x00-\\x7f]"), wide).otherwise(low)
+        spelled = F.replace(spelled, F.lit(char), F.lit(plain))
+    rare = low.rlike(f"[{''.join(char for char, _ in _LIGATURES)}]")
+    return F.when(low.rlike("[^\\x00-\\x7f]"), F.when(rare, spelled).otherwise(wide)).otherwise(low)
 
 
 def word_text(text: Column) -> Column:

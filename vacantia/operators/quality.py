@@ -51,8 +51,11 @@ def reconcile(published: DataFrame, listings: DataFrame) -> DataFrame:
         F.lit(None).cast("boolean").alias("is_repeat"),
     )
     parts = ["type", "closed", "company", "role", "url", "is_repeat"]
-    printed = published.withColumn(
-        "is_repeat", F.when(~F.col("closed"), F.col("is_repeat"))
+    printed = published.withColumns(
+        {
+            "is_repeat": F.when(~F.col("closed"), F.col("is_repeat")),
+            "url": F.when(F.col("closed"), F.lit("")).otherwise(F.col("url")),
+        }
     ).select(*parts, F.lit(1).alias("side"))
     wanted = marked.unionByName(shut).select(*parts, F.lit(-1).alias("side"))
     key = ["type", "closed", "company", "role", "url"]
