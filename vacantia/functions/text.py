@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 _KEPT = re.compile(r"[a-z0-9+#]")
 _MARKS = r"[\u0300-\u036f]"
-NON_WORD = "[^a-z0-9+#]+"
+# What separates words in lower-case text: anything but letters, digits, + and #. Stated by
+# a named class, since a class of several ranges makes Java's matcher slow on many threads.
+NON_WORD = r"[^\p{Alnum}+#]+"
 
 
 def _plain(char: str) -> str:
@@ -46,6 +48,21 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 _FROM, _TO, _LIGATURES = _fold_tables()
 
 
+def _near(chars: list[str], gap: int = 16) -> str:
+    """A character class of a few ranges that covers the given characters."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code - ranges[-1][1] <= gap:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]"
+
+
+#: Any of these may need the slow spelling-out; one scan with a few ranges tells.
+_MAYBE_RARE = _near([char for char, _ in _LIGATURES])
+
+
 def fold(text: Column) -> Column:
     """Lower case without accents. Plain ASCII text skips the character tables."""
     low = F.lower(text)
@@ -53,8 +70,8 @@ def fold(text: Column) -> Column:
     spelled = wide
     for char, plain in _LIGATURES:
         spelled = F.replace(spelled, F.lit(char), F.lit(plain))
-    rare = low.rlike(f"[{''.join(char for char, _ in _LIGATURES)}]")
-    return F.when(low.rlike("[^\\x00-\\x7f]"), F.when(rare, spelled).otherwise(wide)).otherwise(low)
+    folded = F.when(low.rlike(_MAYBE_RARE), spelled).otherwise(wide)
+    return F.when(low.rlike("[^\\x00-\\x7f]"), folded).otherwise(low)
 
 
 def word_text(text: Column) -> Column:
@@ -72,12 +89,12 @@ def query_words(query: str) -> list[str]:
     low = "".join(
         c for c in unicodedata.normalize("NFKD", query.lower()) if not 0x300 <= ord(c) <= 0x36F
     )
-    return [w for w in re.split(NON_WORD, low) if w]
+    return [w for w in re.split("[^a-z0-9+#]+", low) if w]
 
 
 def slug(name: Column) -> Column:
     low = F.replace(F.lower(name), F.lit("&"), F.lit("and"))
-    return F.regexp_replace(F.regexp_replace(low, "[^a-z0-9]+", "-"), "^-|-$", "")
+    return F.regexp_replace(F.regexp_replace(low, r"[^\p{Alnum}]+", "-"), "^-|-$", "")
 
 
 def title_text(title: Column) -> Column:

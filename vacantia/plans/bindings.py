@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vacantia.dims import GRACE_DAYS, LARGE_BOARD_GRACE, PLATFORM_KEYS, STATE_NAMES
 from vacantia.operators.prepare import prepare
+from vacantia.session import spread
 from vacantia.sources import employers as employer_source
 
 LST_AS_OF = "2001-08-01"
@@ -224,7 +225,8 @@ class Data:
         third, fourth = F.floor(key / 17), F.floor(key / 7)
         words = [pick(LEADS, size), pick(PRODUCTS, key), pick(NOUNS, third), pick(LEVELS, fourth + size)]
         title = F.trim(F.regexp_replace(F.concat_ws(" ", *words), " +", " "))
-        return self.table("part").select(
+        parts = spread(self.table("part").select("p_partkey", "p_size"))
+        return parts.select(
             key.alias("posting_id"),
             title.alias("title"),
             pick(PLACES, key + size).alias("location"),
@@ -236,7 +238,8 @@ class Data:
         """Documents with a sentence on experience and one on clearance appended."""
         key = F.col("doc_id")
         text = F.concat_ws("\n", F.col("text"), pick(DEMANDS, key), pick(SECRETS, key))
-        return self.table("documents").select("doc_id", "source", text.alias("text"))
+        docs = spread(self.table("documents").select("doc_id", "source", "text"))
+        return docs.select("doc_id", "source", text.alias("text"))
 
     def submissions(self) -> DataFrame:
         """Documents as issue forms; some unlabelled, some with markup or a heading twice."""

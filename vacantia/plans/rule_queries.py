@@ -13,6 +13,7 @@ from vacantia.plans.oracle import TEXTS, TITLES, fold, q, with_
 from vacantia.rules import classify as cls
 from vacantia.rules import experience, hits, level, rejects, roles, usplaces
 from vacantia.rules import lexicon as lex
+from vacantia.session import spread
 
 TTL = with_(TITLES)
 
@@ -271,7 +272,7 @@ _HIT = " UNION ALL ".join(
 )
 def _(d):
     rules = d.spark.createDataFrame(RULES, "rule string, phrase string")
-    return hits.rule_hits(d.table("documents"), rules)
+    return hits.rule_hits(spread(d.table("documents").select("doc_id", "text")), rules)
 
 
 def _runs(d):

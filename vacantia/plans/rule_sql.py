@@ -32,12 +32,12 @@ SENSE = f"""CASE WHEN {STRONG} THEN NULL WHEN {has(lex.SEC_FILER)} THEN 'regulat
   WHEN {has(lex.MILITARY_THREAT)} THEN 'military'
   WHEN {has(['soc'])} AND ({has(lex.CHIP_BESIDE)} OR {has(lex.CHIP_SOC)}) THEN 'chip' END"""
 PRODUCT = (
-    f"({rx(' ' + alt(lex.PRODUCTS) + '( [a-z0-9+#]+)? ' + alt(lex.PRODUCT_ROLES) + ' ')}"
+    f"({rx(' ' + alt(lex.PRODUCTS) + '( [^ ]+)? ' + alt(lex.PRODUCT_ROLES) + ' ')}"
     f" AND NOT ({has(['splunk'])} AND {has(lex.OBSERVABILITY)}) AND NOT {has(lex.SOLUTIONS)})"
 )
 TEAM = f"({has(lex.TEAM_TITLES)} AND {has(lex.TEAM_WORDS)})"
 CLOUD_LEADS = (
-    f"({rx(' ' + alt(lex.CLOUD) + '( [a-z0-9+#]+){0,2} ' + alt(lex.CLOUD_ROLES) + ' ')} OR "
+    f"({rx(' ' + alt(lex.CLOUD) + '( [^ ]+){0,2} ' + alt(lex.CLOUD_ROLES) + ' ')} OR "
     f"{has(lex.CLOUD_OPS)} OR {rx(' ' + alt(lex.CLOUD_LATER_ROLES) + ' (.* )?' + alt(lex.CLOUD) + ' ')})"
 )
 CLOUD = f"({CLOUD_LEADS} AND ({has(lex.CLOUD_INFRASTRUCTURE)} OR NOT {has(lex.CLOUD_OUT)}))"

@@ -5,6 +5,8 @@ The whole text is read: it is cut into sentences and each is judged on its own.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ COUNT = r"([0-9]{1,3})\)?\+?(?: ?(?:-|–|to) ?[0-9]+\+?)? ?(?:years|year|yrs|yr
 DEGREE = r"(?:bachelor|master|doctora|phd|ph\.d|degree|\bbs\b|\bms\b|\bba\b)"
 ROUTE = r"(?:bachelor'?s?|master'?s?|doctora(?:l|te)|phd|\bbs\b|\bms\b)[^0-9;]{0,30}([0-9]{1,3})"
 YEARS = r"years?|yrs?"
+# Words without which the patterns above cannot match: a plain scan for them comes first.
+YEAR_WORDS = ("year", "yr")
+CEILING_WORDS = ("year", "experience")
+EARLY_WORDS = ("year", "experience", "entry")
+NEWGRAD_WORDS = ("grad", "degree", "recently")
+CLEARANCE_WORDS = ("clearance", "trust", "citizen", "ts/sci", "secret")
 CEILING = (
     r"(?:^|[^0-9])0 ?(?:-|–|to) ?2 years|no prior experience|"
     r"no (?:work )?experience (?:is )?(?:required|necessary|needed)|less than (?:2|two) years"
@@ -41,6 +49,10 @@ CLEARANCE = (
 NO_CLEARANCE = r"\b(?:no|without a) (?:security )?clearance"
 
 
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+
+
 def _numbers(found: Column) -> Column:
     return F.transform(found, lambda n: n.cast("int"))
 
@@ -53,9 +65,13 @@ def facts(text: Column) -> Column:
     """
 
     def ask(low: Column) -> Column:
+        sentences = F.when(_any(low, YEAR_WORDS), F.split(low, SENTENCE))
         return F.filter(
-            F.split(low, SENTENCE),
-            lambda s: s.rlike(YEARS) & s.rlike("[0-9]") & ~s.rlike(OPTIONAL) & ~s.rlike(EMPLOYER),
+            F.coalesce(sentences, F.array().cast("array<string>")),
+            lambda s: _any(s, YEAR_WORDS)
+            & s.rlike("[0-9]")
+            & ~s.rlike(OPTIONAL)
+            & ~s.rlike(EMPLOYER),
         )
 
     def counts(asked: Column) -> Column:
@@ -74,21 +90,28 @@ def facts(text: Column) -> Column:
         )
         return F.struct(F.flatten(plain).alias("plain"), F.flatten(routes).alias("routes"))
 
-    def judge(low: Column, c: Column) -> Column:
+    def statements(low: Column) -> Column:
         return F.struct(
-            F.when(low.rlike(CEILING), F.lit(0))
-            .otherwise(F.greatest(F.array_max(c["plain"]), F.array_min(c["routes"])))
+            (_any(low, CEILING_WORDS) & low.rlike(CEILING)).alias("ceiling"),
+            (_any(low, EARLY_WORDS) & low.rlike(SAYS_EARLY)).alias("says_early"),
+            (_any(low, NEWGRAD_WORDS) & low.rlike(SAYS_NEWGRAD)).alias("says_newgrad"),
+            let(ask(low), counts).alias("counts"),
+        )
+
+    def judge(s: Column) -> Column:
+        plain, routes = s["counts"]["plain"], s["counts"]["routes"]
+        return F.struct(
+            F.when(s["ceiling"], F.lit(0))
+            .otherwise(F.greatest(F.array_max(plain), F.array_min(routes)))
             .alias("floor"),
-            F.greatest(F.array_max(c["plain"]), F.array_max(c["routes"])).alias("highest"),
-            low.rlike(CEILING).alias("ceiling"),
-            low.rlike(SAYS_EARLY).alias("says_early"),
-            low.rlike(SAYS_NEWGRAD).alias("says_newgrad"),
+            F.greatest(F.array_max(plain), F.array_max(routes)).alias("highest"),
+            s["ceiling"].alias("ceiling"),
+            s["says_early"].alias("says_early"),
+            s["says_newgrad"].alias("says_newgrad"),
         )
 
-    return let(
-        F.lower(F.coalesce(text, F.lit(""))),
-        lambda low: let(let(ask(low), counts), lambda c: judge(low, c)),
-    )
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return let(let(low, statements), judge)
 
 
 def years_floor(text: Column) -> Column:
@@ -99,4 +122,5 @@ def years_floor(text: Column) -> Column:
 def clearance(text: Column) -> Column:
     """Clearance, public trust or citizenship mentioned, other than to say none is needed."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.regexp_replace(low, NO_CLEARANCE, " ").rlike(CLEARANCE)
+    said = F.regexp_replace(low, NO_CLEARANCE, " ").rlike(CLEARANCE)
+    return _any(low, CLEARANCE_WORDS) & said

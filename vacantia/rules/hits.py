@@ -11,28 +11,22 @@ from vacantia.functions.text import words
 def rule_hits(docs: DataFrame, rules: DataFrame) -> DataFrame:
     """Count of each rule's phrase per document, over the whole text.
 
-    ``docs`` holds (doc_id, text), ``rules`` (rule, phrase). Each position of a text
-    offers the words that start there, as many as the longest phrase needs; rules meet
-    them by their first word, so phrases of any length need no pattern join.
+    ``docs`` holds (doc_id, text), ``rules`` (rule, phrase). Words and positions of the
+    texts meet the words of the phrases by equality. Each meeting points to where its
+    phrase would start; a start that all the words of the phrase point to is a hit. The
+    words of one document are counted in the task that split it, before any shuffle.
     """
-    phrases = rules.select("rule", words(F.col("phrase")).alias("phrase")).where("size(phrase) > 0")
-    longest = phrases.agg(F.max(F.size("phrase"))).scalar()
-    tokens = docs.select("doc_id", words(F.col("text")).alias("ws")).where("size(ws) > 0")
-    starts = tokens.withColumn("longest", longest).select(
-        "doc_id",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("ws")),
-                lambda i: F.slice("ws", i, F.col("longest")),
-            )
-        ).alias("ahead"),
+    phrases = rules.select("rule", words(F.col("phrase")).alias("ws")).where("size(ws) > 0")
+    wanted = phrases.select("rule", F.size("ws").alias("len"), F.posexplode("ws").alias("k", "word"))
+    tokens = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("at", "word"))
+    met = tokens.join(wanted, "word").select(
+        "doc_id", "rule", "len",
+        # A phrase of one word needs no start: its meetings are its hits.
+        F.when(F.col("len") > 1, F.col("at") - F.col("k")).otherwise(F.lit(0)).alias("start"),
     )
-    keyed = starts.withColumn("head", F.get("ahead", F.lit(0)))
-    firsts = phrases.withColumn("head", F.get("phrase", F.lit(0)))
-    same = F.slice("ahead", F.lit(1), F.size("phrase")) == F.col("phrase")
-    return (
-        keyed.join(firsts, "head")
-        .where(same)
-        .groupBy("doc_id", "rule")
-        .agg(F.count(F.lit(1)).alias("n"))
+    starts = met.groupBy("doc_id", "rule", "len", "start").agg(F.count(F.lit(1)).alias("found"))
+    hits = F.when(F.col("len") == 1, F.col("found")).when(
+        F.col("found") == F.col("len"), F.lit(1).cast("long")
     )
+    counted = starts.groupBy("doc_id", "rule").agg(F.sum(hits).alias("n"))
+    return counted.where("n > 0")

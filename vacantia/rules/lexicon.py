@@ -7,7 +7,7 @@ punctuation read as blanks, ``&`` read as ``and``). Lists grow by appending entr
 # --- security work -----------------------------------------------------------------
 
 CORE = [
-    "security", "infosec", "cyber[a-z0-9]*", "threats?", "forensics?", "vulnerabilit(?:y|ies)",
+    "security", "infosec", "cyber[^ ]*", "threats?", "forensics?", "vulnerabilit(?:y|ies)",
     "penetration test(?:er|ing)?", "pen ?test(?:er|ing)?", "red team(?:er|ing)?", "purple team",
     "soc", "csirt", "dfir", "grc", "governance risk (?:and )?compliance",
     "identity (?:and )?access", "identity management", "iam", "devsecops", "secdevops",
@@ -21,12 +21,12 @@ CORE = [
 
 # Terms that leave no doubt, used where another word is ambiguous.
 STRONG = [
-    "cyber[a-z0-9]*", "infosec", "information security", "vulnerabilit(?:y|ies)",
+    "cyber[^ ]*", "infosec", "information security", "vulnerabilit(?:y|ies)",
     "penetration test(?:er|ing)?", "pen ?test(?:er|ing)?", "red team(?:er|ing)?", "csirt", "dfir",
     "grc", "iam", "devsecops", "malware", "rmf", "siem", "appsec",
 ]
 
-CYBER = ["cyber[a-z0-9]*"]
+CYBER = ["cyber[^ ]*"]
 
 OPS_GRC = [
     "mdr", "csoc", "snoc", "cssp", "secops", "edr", "xdr", "soar (?:engineer|analyst)", "isso",
@@ -36,7 +36,7 @@ OPS_GRC = [
     "attack sensing", "assessment and authorization", "a and a (?:engineer|analyst|specialist)",
 ]
 THIRD_PARTY = ["third party risk", "vendor risk"]
-THIRD_PARTY_QUALIFIER = ["cyber[a-z0-9]*", "it", "technology", "security"]
+THIRD_PARTY_QUALIFIER = ["cyber[^ ]*", "it", "technology", "security"]
 CRITICAL_INFRA = ["critical infrastructure (?:protection|analysis)"]
 CRITICAL_INFRA_ROLE = ["engineer", "developer", "scientist", "researcher"]
 
@@ -96,7 +96,7 @@ SOLUTIONS_OUT = ["partner", "business", "project", "customer solutions? engineer
 SALES_ENGINEER = ["(?:sales|presales|pre sales) engineer(?:ing)?"]
 TECHNOLOGY = [
     "cloud", "software", "saas", "security", "it", "network", "data", "ai", "platform",
-    "cyber[a-z0-9]*",
+    "cyber[^ ]*",
 ]
 
 # --- weak nouns ----------------------------------------------------------------------
@@ -107,13 +107,13 @@ WEAK_NOUN = [
     "(?: [0-9]| i| ii)? security",
 ]
 SECOND_TERM = [
-    "cyber[a-z0-9]*", "information", "it", "network", "infosec", "cloud", "application", "data",
+    "cyber[^ ]*", "information", "it", "network", "infosec", "cloud", "application", "data",
     "product", "systems?", "computer",
 ]
 OFFICER = ["security officer"]
 OFFICER_OK = [
     "information systems? security officer", "is security officer", "information security",
-    "cyber[a-z0-9]*", "isso",
+    "cyber[^ ]*", "isso",
 ]
 SOC_ONE = ["soc 1"]
 SOC_TWO = ["soc 2"]
@@ -123,7 +123,7 @@ FORENSIC = ["forensics?"]
 LAB = [
     "lab", "laboratory", "chemistry", "toxicology", "dna", "biology", "healthcare", "coder",
 ]
-DIGITAL = ["digital", "computer", "cyber[a-z0-9]*", "mobile", "network", "malware"]
+DIGITAL = ["digital", "computer", "cyber[^ ]*", "mobile", "network", "malware"]
 
 # --- security companies --------------------------------------------------------------
 
@@ -206,7 +206,7 @@ PHYSICAL = [
     "workplace violence", "protective intelligence",
 ]
 GUARD_CENTER = ["gsoc", "global security operations"]
-INFO_OR_CYBER = ["cyber[a-z0-9]*", "information security"]
+INFO_OR_CYBER = ["cyber[^ ]*", "information security"]
 OTHER_SECURITY = [
     "(?:social|food|energy|border|homeland|national|campus|event|regional|global|facility) security",
     "fire and security", "security cooperation", "security resiliency center",
@@ -222,7 +222,7 @@ BUSINESS = [
     "paralegals?", "(?:administrative|executive) assistant", "facilities",
 ]
 INTERNAL_AUDIT = ["internal audit"]
-TECH_AUDIT = ["(?:it|technology) audit", "cyber[a-z0-9]*"]
+TECH_AUDIT = ["(?:it|technology) audit", "cyber[^ ]*"]
 UNDERWRITING = ["underwriting"]
 UNDERWRITING_OK = [
     "engineer", "developer", "architect", "administrator", "sre", "devops", "security analyst",

@@ -10,10 +10,10 @@ from vacantia.rules.match import first_reason, has
 
 #: A product may stand one word away from its role, a cloud word two.
 _PRODUCT_ROLE = (
-    f" (?:{'|'.join(lex.PRODUCTS)})(?: [a-z0-9+#]+)? (?:{'|'.join(lex.PRODUCT_ROLES)}) "
+    f" (?:{'|'.join(lex.PRODUCTS)})(?: [^ ]+)? (?:{'|'.join(lex.PRODUCT_ROLES)}) "
 )
 _CLOUD_ROLE = (
-    f" (?:{'|'.join(lex.CLOUD)})(?: [a-z0-9+#]+){{0,2}} (?:{'|'.join(lex.CLOUD_ROLES)}) "
+    f" (?:{'|'.join(lex.CLOUD)})(?: [^ ]+){{0,2}} (?:{'|'.join(lex.CLOUD_ROLES)}) "
 )
 _CLOUD_LATER = f" (?:{'|'.join(lex.CLOUD_LATER_ROLES)}) (?:.* )?(?:{'|'.join(lex.CLOUD)}) "
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "vacantia", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,3 +43,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="vacantia-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, "vacantia", f"{label}-{uuid.uuid4().hex}")
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows of a scan dealt out to all cores, if its files make fewer splits than that.
+
+    For work that costs much more than reading, such as patterns over long texts. A table
+    of many files is returned as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
