@@ -27,7 +27,7 @@ def listing(i, **given):
 
 
 def board(spark, rows):
-    return prepare.prepare(spark.createDataFrame(rows, schema.LISTING), AS_OF)
+    return prepare.prepare(prepare.with_defaults(spark.createDataFrame(rows, schema.LISTING)), AS_OF)
 
 
 def ids(frame):
@@ -71,7 +71,7 @@ def test_age_and_recency(spark):
     ]
     found = board(spark, rows)
     assert [r["age"] for r in found.orderBy("id").collect()] == [0, 7, 8]
-    assert sorted(ids(found.where(filters.added_within(7)))) == ["0001", "0002"]
+    assert sorted(ids(found.where(filters.added_within(7, AS_OF)))) == ["0001", "0002"]
     last = counts.pulse(found, AS_OF).orderBy(F.desc("day")).first()
     assert (last["day"], last["n"]) == (TODAY, 1)
 
@@ -90,11 +90,11 @@ def test_facets_leave_the_category_out(spark):
     rows = [listing(1), listing(2, category="GRC & Risk"), listing(3, category="Cloud Engineering", type="newgrad")]
     view = View(cat=("grc-and-risk",))
     order = ["GRC & Risk", "SOC & Detection", "Cloud Engineering", "Identity & IAM"]
-    got = counts.facet_counts(board(spark, rows), view, order).collect()
+    got = counts.facet_counts(board(spark, rows), view, AS_OF, order).collect()
     assert [(r["category"], r["n"]) for r in got] == [
         ("GRC & Risk", 1), ("SOC & Detection", 1), ("Cloud Engineering", 0),
     ]
-    shown = counts.shown_of_total(board(spark, rows), view).first()
+    shown = counts.shown_of_total(board(spark, rows), view, AS_OF).first()
     assert (shown["shown"], shown["total"]) == (1, 2)
 
 
@@ -188,7 +188,7 @@ def test_saved_searches_against_each_view(spark):
             assert 7 not in got
             continue
         view = View(kind, q, tuple(cat), state, days, noclear, closed)
-        assert got.get(view_id, set()) == set(ids(found.where(filters.matches(view)))), view
+        assert got.get(view_id, set()) == set(ids(found.where(filters.matches(view, AS_OF)))), view
 
 
 def test_view_links(spark):
@@ -221,3 +221,19 @@ def test_duplicates_keep_the_lowest_id(spark):
     rows = [listing(2, role="SOC  Analyst"), listing(1, role="soc analyst"), listing(3, role="Other")]
     found = prepare.locations(board(spark, rows).drop("locations"))
     assert sorted(ids(joins.drop_duplicates(found))) == ["0001", "0003"]
+
+
+def test_view_filters_reach_the_scan(spark, tmp_path):
+    """On the stored table type, flags, category and day are tested by the reader."""
+    path = str(tmp_path / "stored")
+    stored = prepare.with_defaults(spark.createDataFrame(random_board(5), schema.LISTING))
+    stored.write.parquet(path)
+    view = View(type="newgrad", days="7", noclear=True, q="soc")
+    shown = filters.board_view(prepare.prepare(spark.read.parquet(path), AS_OF), view, AS_OF)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = shown.select("id", "company", "date_added", "closed")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    for part in ("EqualTo(type,newgrad)", "Not(EqualTo(closed,true))", "Not(EqualTo(clearance,true))",
+                 "GreaterThanOrEqual(date_added,2026-11-14)"):
+        assert part in pushed, pushed
+    assert "url" not in plan.split("ReadSchema:")[1]

@@ -23,38 +23,40 @@ def _stack_types(wide: DataFrame) -> DataFrame:
     )
 
 
-def tab_counts(listings: DataFrame, view: View) -> DataFrame:
+def tab_counts(listings: DataFrame, view: View, as_of: str) -> DataFrame:
     """Matches per type under all filters, zeros kept."""
-    matched = filters.passes(view) & filters.in_categories(view.cat)
+    matched = filters.passes(view, as_of) & filters.in_categories(view.cat)
     return _stack_types(listings.where(matched).agg(*_per_type(F.lit(True))))
 
 
-def facet_counts(listings: DataFrame, view: View, categories: list[str] | tuple[str, ...]) -> DataFrame:
+def facet_counts(
+    listings: DataFrame, view: View, as_of: str, categories: list[str] | tuple[str, ...]
+) -> DataFrame:
     """Per category what ticking it alone would show in the active tab.
 
     Grouping every row and counting conditionally keeps categories with no match at
     zero and drops those absent from the data, in one scan without a join.
     """
-    hit = filters.of_type(view.type) & filters.passes(view)
+    hit = filters.of_type(view.type) & filters.passes(view, as_of)
     counted = listings.groupBy("category", "slug").agg(F.count_if(hit).alias("n"))
     order = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
     known = counted.withColumn("ordinal", order.cast("int")).where("ordinal > 0")
     return known.orderBy("ordinal")
 
 
-def shown_of_total(listings: DataFrame, view: View) -> DataFrame:
+def shown_of_total(listings: DataFrame, view: View, as_of: str) -> DataFrame:
     """Rows shown, and rows of the tab under the closed rule alone."""
     in_tab = filters.of_type(view.type)
     if not view.closed:
         in_tab = in_tab & filters.open_only()
     return listings.where(in_tab).agg(
-        F.count_if(filters.matches(view)).alias("shown"), F.count(F.lit(1)).alias("total")
+        F.count_if(filters.matches(view, as_of)).alias("shown"), F.count(F.lit(1)).alias("total")
     )
 
 
-def other_tab_hint(listings: DataFrame, view: View) -> DataFrame:
+def other_tab_hint(listings: DataFrame, view: View, as_of: str) -> DataFrame:
     """Types with matches to offer when the active tab shows nothing."""
-    matched = filters.passes(view) & filters.in_categories(view.cat)
+    matched = filters.passes(view, as_of) & filters.in_categories(view.cat)
     wide = listings.where(matched).agg(*_per_type(F.lit(True)))
     empty = wide.where(F.col(view.type) == 0)
     return _stack_types(empty).where("n > 0")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions import text
+from vacantia.functions import dates, text
 from vacantia.operators import sorts
 
 
@@ -42,8 +42,9 @@ def in_place(place: str) -> Column:
     return F.col("remote") if place == "remote" else F.array_contains("states", place)
 
 
-def added_within(days: int) -> Column:
-    return F.col("age") <= days
+def added_within(days: int, as_of: str) -> Column:
+    """Age of at most ``days``, stated on the stored date so that the scan can skip by it."""
+    return F.col("date_added") >= F.date_sub(dates.day(as_of), days)
 
 
 def in_categories(slugs: tuple[str, ...] | list[str]) -> Column:
@@ -64,7 +65,7 @@ def _all(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
-def passes(view: View) -> Column:
+def passes(view: View, as_of: str) -> Column:
     """Every filter but type and category, cheap ones first."""
     parts = []
     if not view.closed:
@@ -74,19 +75,21 @@ def passes(view: View) -> Column:
     if view.state:
         parts.append(in_place(view.state))
     if view.days:
-        parts.append(added_within(int(view.days)))
+        parts.append(added_within(int(view.days), as_of))
     if text.query_words(view.q):
         parts.append(search(view.q))
     return _all(parts)
 
 
-def matches(view: View) -> Column:
-    return of_type(view.type) & passes(view) & in_categories(view.cat)
+def matches(view: View, as_of: str) -> Column:
+    return of_type(view.type) & passes(view, as_of) & in_categories(view.cat)
 
 
-def board_view(listings: DataFrame, view: View, applied: DataFrame | None = None) -> DataFrame:
+def board_view(
+    listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
+) -> DataFrame:
     """The rows a view shows, in display order. ``applied`` holds ids to hide."""
-    shown = listings.where(matches(view))
+    shown = listings.where(matches(view, as_of))
     if applied is not None:
         shown = shown.join(applied.select(F.col("listing_id").alias("id")), "id", "left_anti")
     return sorts.company_a_to_z(shown) if view.sort == "company" else sorts.newest_first(shown)

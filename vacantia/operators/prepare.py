@@ -25,17 +25,20 @@ def hay() -> Column:
     )
 
 
+def with_defaults(listings: DataFrame) -> DataFrame:
+    """Absent flags read as false, absent states as none.
+
+    For rows as they come in. The stored table holds no nulls here, which keeps its filters
+    plain enough to reach the scan.
+    """
+    flags = {c: F.coalesce(c, F.lit(False)) for c in ("remote", "clearance", "closed")}
+    none = F.array().cast("array<string>")
+    return listings.withColumns({"states": F.coalesce("states", none), **flags})
+
+
 def prepare(listings: DataFrame, as_of: str) -> DataFrame:
-    """Adds slug, age and search text; absent flags read as false, absent states as none."""
-    no_states = F.array().cast("array<string>")
+    """Adds slug, age and search text to stored listings."""
     return listings.withColumns(
-        {
-            "states": F.coalesce("states", no_states),
-            "remote": F.coalesce("remote", F.lit(False)),
-            "clearance": F.coalesce("clearance", F.lit(False)),
-            "closed": F.coalesce("closed", F.lit(False)),
-        }
-    ).withColumns(
         {
             "slug": text.slug(F.col("category")),
             "age": dates.age_days(F.col("date_added"), as_of),

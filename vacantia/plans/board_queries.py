@@ -121,7 +121,7 @@ _filter(
 )
 _filter("flt4_place", lambda: filters.in_place("AL"), "list_contains(states, 'AL')", "places")
 _filter("flt4_remote", lambda: filters.in_place("remote"), "remote", "places")
-_filter("flt5_recency", lambda: filters.added_within(7), "age <= 7")
+_filter("flt5_recency", lambda: filters.added_within(7, LST_AS_OF), "age <= 7")
 _filter("flt6_no_clearance", lambda: filters.no_clearance(), "NOT clearance", "clearance")
 _filter("flt7_open_only", lambda: filters.open_only(), "NOT closed")
 
@@ -132,7 +132,7 @@ _filter("flt7_open_only", lambda: filters.open_only(), "NOT closed")
       FROM board WHERE type = 'newgrad' AND {_PASSES} AND slug IN ('1-urgent', '5-low')""",
 )
 def _(d):
-    shown = filters.board_view(d.board("role", "places", "clearance"), SEARCH)
+    shown = filters.board_view(d.board("role", "places", "clearance"), SEARCH, LST_AS_OF)
     return _dated(shown, "id", "company", "role", "category", "location", "date_added", "age")
 
 
@@ -217,7 +217,7 @@ def _tabs(where: str) -> str:
 
 @query("agg1_tab_counts", BOARD + _tabs(f"{_PASSES} AND slug IN ('1-urgent', '5-low')"))
 def _(d):
-    return counts.tab_counts(d.board("role", "places", "clearance"), SEARCH)
+    return counts.tab_counts(d.board("role", "places", "clearance"), SEARCH, LST_AS_OF)
 
 
 @query(
@@ -227,7 +227,7 @@ def _(d):
       FROM board GROUP BY category, slug""",
 )
 def _(d):
-    return counts.facet_counts(d.board("role", "places", "clearance"), SEARCH, CATEGORIES)
+    return counts.facet_counts(d.board("role", "places", "clearance"), SEARCH, LST_AS_OF, CATEGORIES)
 
 
 @query(
@@ -236,7 +236,7 @@ def _(d):
       count(*) AS total FROM board WHERE type = 'newgrad' AND NOT closed""",
 )
 def _(d):
-    return counts.shown_of_total(d.board("role", "places", "clearance"), SEARCH)
+    return counts.shown_of_total(d.board("role", "places", "clearance"), SEARCH, LST_AS_OF)
 
 
 @query(
@@ -247,7 +247,7 @@ def _(d):
 def _(d):
     """The active tab's rows of the one category asked for are left out of the data."""
     board = d.board("role", "places").where("NOT (type = 'intern' AND slug = '1-urgent')")
-    return counts.other_tab_hint(board, NARROW)
+    return counts.other_tab_hint(board, NARROW, LST_AS_OF)
 
 
 @query(
@@ -505,7 +505,7 @@ def _(d):
 def _(d):
     board = d.board("role", "places", "clearance")
     return board.groupBy("slug").agg(
-        F.count_if(filters.passes(SEARCH)).alias("matches"),
+        F.count_if(filters.passes(SEARCH, LST_AS_OF)).alias("matches"),
         F.count_if(prepare.is_new()).alias("fresh"),
         F.countDistinct("company").alias("companies"),
     )

@@ -42,14 +42,14 @@ _flag(
     r.level(TTL_AS_OF), "type",
 )
 
-_FLAGS = f"""flags AS (SELECT *, {r.SECURE} AS secure, {r.CLOUD} AS cloud, {r.SOLUTIONS} AS solutions,
+FLAGS = f"""flags AS (SELECT *, {r.SECURE} AS secure, {r.CLOUD} AS cloud, {r.SOLUTIONS} AS solutions,
     {r.SEC_CO} AS at_sec_co, {r.SPAN} AS spans, {r.level(TTL_AS_OF)} AS title_level FROM title)"""
 _FACTS = r.facts("title", "posting_id", "description")
 
 
 @query(
     "cls10_category",
-    with_(TITLES, _FLAGS) + f"SELECT posting_id, title, {r.CATEGORY} AS category FROM flags",
+    with_(TITLES, FLAGS) + f"SELECT posting_id, title, {r.CATEGORY} AS category FROM flags",
 )
 def _(d):
     t, s = F.col("t"), F.col("sec_co")
@@ -102,7 +102,7 @@ def _(d):
 
 @query(
     "cls15_reject_reason",
-    with_(TITLES, _FLAGS) + f"SELECT posting_id, title, {r.REJECT} AS reason FROM flags",
+    with_(TITLES, FLAGS) + f"SELECT posting_id, title, {r.REJECT} AS reason FROM flags",
 )
 def _(d):
     staged = _titles(d).withColumn("secure", roles.names_security(F.col("t")))
@@ -112,7 +112,7 @@ def _(d):
 
 @query(
     "cls16_stale_season",
-    with_(TITLES, _FLAGS) + f"""SELECT posting_id, title, coalesce(title_level = 'intern', FALSE)
+    with_(TITLES, FLAGS) + f"""SELECT posting_id, title, coalesce(title_level = 'intern', FALSE)
       AND {r.season_over(TTL_AS_OF)} AS stale FROM flags""",
 )
 def _(d):
@@ -124,7 +124,7 @@ def _(d):
 
 
 # What each location of the binding reads as: kept places, states, remote. Written by hand.
-_PLACES = [
+PLACE_ROWS = [
     ("Arlington, VA", "Arlington, VA", "VA", False),
     ("Arlington, Virginia", "Arlington, VA", "VA", False),
     ("Arlington VA", "Arlington, VA", "VA", False),
@@ -149,14 +149,14 @@ _PLACES = [
     ("Toronto, Canada", "", "", False),
     ("WA - Seattle - Office", "Seattle, WA", "WA", False),
 ]
-_PLACE = "place(location, kept, states, remote) AS (VALUES {})".format(
-    ", ".join(f"({q(a)}, {q(b)}, {q(c)}, {str(e).upper()})" for a, b, c, e in _PLACES)
+PLACE = "place(location, kept, states, remote) AS (VALUES {})".format(
+    ", ".join(f"({q(a)}, {q(b)}, {q(c)}, {str(e).upper()})" for a, b, c, e in PLACE_ROWS)
 )
 
 
 @query(
     "cls17_us_places",
-    with_(TITLES, _PLACE) + "SELECT posting_id, kept AS locations, states FROM title JOIN place USING (location)",
+    with_(TITLES, PLACE) + "SELECT posting_id, kept AS locations, states FROM title JOIN place USING (location)",
 )
 def _(d):
     found = d.titles().withColumn("us", usplaces.us_places(F.col("location")))
@@ -168,7 +168,7 @@ def _(d):
 
 @query(
     "cls18_remote_scope",
-    with_(TITLES, _PLACE) + "SELECT posting_id, location, remote FROM title JOIN place USING (location)",
+    with_(TITLES, PLACE) + "SELECT posting_id, location, remote FROM title JOIN place USING (location)",
 )
 def _(d):
     remote = usplaces.remote_scope(F.col("location"))
@@ -180,7 +180,7 @@ _ABROAD = f"({r.rx(' ' + lex.ABROAD_TITLE[0])} OR {r.rx(lex.ABROAD_TITLE[1])})"
 
 @query(
     "cls19_drop_foreign",
-    with_(TITLES, _PLACE) + f"""SELECT posting_id, CASE WHEN {_ABROAD} THEN '' ELSE kept END AS locations
+    with_(TITLES, PLACE) + f"""SELECT posting_id, CASE WHEN {_ABROAD} THEN '' ELSE kept END AS locations
       FROM title JOIN place USING (location)""",
 )
 def _(d):
@@ -204,7 +204,7 @@ def _(d):
 
 @query(
     "cls21_verdict",
-    with_(TITLES, _FLAGS, _PLACE) + f""", why AS (SELECT posting_id, list_filter([
+    with_(TITLES, FLAGS, PLACE) + f""", why AS (SELECT posting_id, list_filter([
         CASE WHEN NOT (secure OR cloud OR solutions OR at_sec_co) THEN 'role' END, {r.REJECT},
         CASE WHEN title_level IS NULL OR spans THEN 'level' END,
         CASE WHEN {_ABROAD} OR kept = '' THEN 'place' END,
@@ -219,7 +219,7 @@ def _(d):
     )
 
 
-_JUDGED = f"""judged0 AS (SELECT *, {r.REJECT} AS rejected, CASE
+JUDGED = f"""judged0 AS (SELECT *, {r.REJECT} AS rejected, CASE
       WHEN title_level = 'intern' THEN 'intern'
       WHEN spans THEN CASE WHEN floor <= 2 THEN coalesce(title_level, 'earlycareer') END
       WHEN title_level IS NOT NULL THEN title_level
@@ -232,7 +232,7 @@ _JUDGED = f"""judged0 AS (SELECT *, {r.REJECT} AS rejected, CASE
   verdicts AS (SELECT posting_id, title, type, category, reason,
     CASE WHEN reason IS NULL THEN 'in' ELSE 'out' END AS verdict,
     {_CLEARANCE.format('description')} AS needs_clearance, kept, states, remote FROM judged)"""
-_VERDICTS = with_(TITLES, _FLAGS, _FACTS, _PLACE, _JUDGED)
+_VERDICTS = with_(TITLES, FLAGS, _FACTS, PLACE, JUDGED)
 
 
 @query(
@@ -299,7 +299,7 @@ _CHANGED = """o.{0} IS NULL OR n.{0} IS NULL OR o.verdict <> n.verdict
 
 @query(
     "set3_run_diff",
-    with_(TITLES, _FLAGS, _FACTS, _PLACE, _JUDGED, _RUNS) + f"""SELECT
+    with_(TITLES, FLAGS, _FACTS, PLACE, JUDGED, _RUNS) + f"""SELECT
       coalesce(o.posting_id, n.posting_id) AS posting_id, o.verdict AS old_verdict,
       n.verdict AS new_verdict, o.type AS old_type, n.type AS new_type, {_MOVE.format('posting_id')} AS move
       FROM old o FULL JOIN new n ON o.posting_id = n.posting_id WHERE {_CHANGED.format('posting_id')}""",
@@ -322,7 +322,7 @@ _CORPUS = """corpus AS (SELECT title, max(verdict) AS verdict, max(type) AS type
 
 @query(
     "qlt4_corpus_diff",
-    with_(TITLES, _FLAGS, _FACTS, _PLACE, _JUDGED, _CORPUS) + f"""SELECT
+    with_(TITLES, FLAGS, _FACTS, PLACE, JUDGED, _CORPUS) + f"""SELECT
       coalesce(o.title, n.title) AS title, {_MOVE.format('title')} AS move
       FROM oldc o FULL JOIN newc n ON o.title = n.title WHERE {_CHANGED.format('title')}""",
 )

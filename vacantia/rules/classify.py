@@ -38,6 +38,16 @@ def category(
     )
 
 
+def _settled(frame: DataFrame, keep: list[str], result: Column) -> DataFrame:
+    """Result columns that a later filter reads instead of working them out again.
+
+    Spark moves a filter below a projection by writing the projected expressions into it,
+    which for a verdict repeats every rule many times over. It does not move one below a
+    generator, so the result passes through a one-element ``inline``.
+    """
+    return frame.select(*keep, F.inline(F.array(result)))
+
+
 def classify(postings: DataFrame, as_of: str) -> DataFrame:
     """Adds verdict, reason, type, category and places to (title, description, location, sec_co).
 
@@ -84,15 +94,15 @@ def classify(postings: DataFrame, as_of: str) -> DataFrame:
         .when(full_time & F.coalesce(F.col("facts.floor") > 2, F.lit(False)), F.lit("years"))
         .when(rejects.is_stale_season(t, F.col("type"), as_of), F.lit("season"))
     )
-    return judged.withColumn("reason", reason).select(
-        *postings.columns,
-        F.when(F.col("reason").isNull(), F.lit("in")).otherwise(F.lit("out")).alias("verdict"),
-        "reason", "type", "category",
+    verdict_of = F.when(F.col("reason").isNull(), F.lit("in")).otherwise(F.lit("out"))
+    result = F.struct(
+        verdict_of.alias("verdict"), F.col("reason"), F.col("type"), F.col("category"),
         F.col("us.locations").alias("us_locations"),
         F.col("us.states").alias("us_states"),
         F.col("us.remote").alias("us_remote"),
         experience.clearance(F.col("description")).alias("needs_clearance"),
     )
+    return _settled(judged.withColumn("reason", reason), postings.columns, result)
 
 
 def verdict(submissions: DataFrame, as_of: str) -> DataFrame:
@@ -122,8 +132,6 @@ def verdict(submissions: DataFrame, as_of: str) -> DataFrame:
             F.when(rejects.is_stale_season(t, F.col("title_level"), as_of), F.lit("season")),
         )
     )
-    return staged.withColumn("reasons", reasons).select(
-        *submissions.columns,
-        F.when(F.size("reasons") == 0, F.lit("valid")).otherwise(F.lit("needs-fix")).alias("label"),
-        "reasons",
-    )
+    label = F.when(F.size("reasons") == 0, F.lit("valid")).otherwise(F.lit("needs-fix"))
+    result = F.struct(label.alias("label"), F.col("reasons"))
+    return _settled(staged.withColumn("reasons", reasons), submissions.columns, result)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacantia import schema
 from vacantia.dims import NEW_DAYS, TYPES
+from vacantia.operators.prepare import with_defaults
 
 
 def _rows(documents: DataFrame) -> DataFrame:
@@ -14,13 +15,8 @@ def _rows(documents: DataFrame) -> DataFrame:
     row = documents.select(
         F.explode("rows").alias("row"), F.coalesce("new_days", F.lit(NEW_DAYS)).alias("new_days")
     ).select("row.*", "new_days")
-    return row.where(F.col("type").isin(*TYPES)).withColumns(
-        {
-            "states": F.coalesce("states", F.array().cast("array<string>")),
-            **{c: F.coalesce(c, F.lit(False)) for c in ("remote", "clearance", "closed")},
-            **{c: F.col(c).try_cast("date") for c in ("date_added", "closed_date")},
-        }
-    )
+    days = {c: F.col(c).try_cast("date") for c in ("date_added", "closed_date")}
+    return with_defaults(row.where(F.col("type").isin(*TYPES)).withColumns(days))
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
