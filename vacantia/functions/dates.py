@@ -15,5 +15,15 @@ def age_days(date: Column, as_of: str | Column) -> Column:
     return F.greatest(F.lit(0), F.datediff(day(as_of), date))
 
 
+def utc_midnight(date: Column) -> Column:
+    """Start of a UTC day, whatever the session's time zone."""
+    return F.timestamp_micros(F.unix_date(date) * F.lit(86_400_000_000))
+
+
+def utc_day(at: Column) -> Column:
+    """UTC day of an instant, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(at) / F.lit(86_400_000_000)).cast("int"))
+
+
 def iso(date: Column) -> Column:
     return date.cast("string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -29,6 +30,11 @@ def get_spark(app: str = "vacantia", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="vacantia-")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -40,8 +46,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="vacantia-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return os.path.join(base, "vacantia", f"{label}-{uuid.uuid4().hex}")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacantia.functions import dates
+
 
 def ingest_scans(scans: DataFrame, delay: str = "2 days", slices: int = 16) -> DataFrame:
     """Exactly one row per listing and scan day, however often it was read.
@@ -24,7 +26,7 @@ def ingest_scans(scans: DataFrame, delay: str = "2 days", slices: int = 16) -> D
 
 def daily_new(new: DataFrame, as_of: str) -> DataFrame:
     """New rows per UTC day of their first sighting, rows dated ahead under the as-of day."""
-    at = F.least(F.col("first_day").cast("timestamp"), F.lit(as_of).cast("date").cast("timestamp"))
+    at = dates.utc_midnight(F.least(F.col("first_day"), dates.day(as_of)))
     timed = new.withColumn("at", at).withWatermark("at", "1 day")
     counted = timed.groupBy(F.window("at", "1 day")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(F.to_date("window.start").alias("day"), "n")
+    return counted.select(dates.utc_day(F.col("window.start")).alias("day"), "n")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,21 +19,34 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.readStream.schema(schema).parquet(path)
 
 
-def _start(writer, spark: SparkSession, label: str):
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings that a stream picks up when it starts."""
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _start(writer, spark: SparkSession, label: str) -> None:
+    # State partitions are not coalesced at run time, so there are no more of them than a
+    # few per core.
+    shuffles = "spark.sql.shuffle.partitions"
+    few = min(int(spark.conf.get(shuffles)), 2 * spark.sparkContext.defaultParallelism)
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, shuffles: str(few)}
+    with _settings(spark, **settings):
         running = (
             writer.option("checkpointLocation", shared_dir(spark, f"{label}-state"))
             .trigger(availableNow=True)
             .start()
         )
-    finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
     running.awaitTermination()
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from vacantia.functions import dates
+
 FIRST = T.StructType(
     [T.StructField("listing_id", T.StringType()), T.StructField("first_day", T.DateType())]
 )
@@ -126,7 +128,7 @@ def first_seen(sightings: DataFrame) -> DataFrame:
 def close_absent(sightings: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Closings and reopenings of a stream of (listing_id, day, grace)."""
     timed = sightings.select(
-        "listing_id", "day", "grace", F.col("day").cast("timestamp").alias("at")
+        "listing_id", "day", "grace", dates.utc_midnight(F.col("day")).alias("at")
     ).withWatermark("at", delay)
     return timed.groupBy("listing_id").transformWithStateInPandas(
         CloseOnAbsence(), CHANGE, "append", "EventTime"
