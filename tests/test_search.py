@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vacantia import schema
 from vacantia.functions import text
-from vacantia.operators import counts, filters, joins, prepare, repeats, sorts, views
+from vacantia.operators import counts, filters, joins, prepare, publish, repeats, sorts, views
 from vacantia.operators.filters import View
 
 AS_OF = "2026-11-21"
@@ -237,3 +237,19 @@ def test_view_filters_reach_the_scan(spark, tmp_path):
                  "GreaterThanOrEqual(date_added,2026-11-14)"):
         assert part in pushed, pushed
     assert "url" not in plan.split("ReadSchema:")[1]
+
+
+def test_search_table_prunes_types_and_days(spark, tmp_path):
+    path = str(tmp_path / "search")
+    raw = prepare.with_defaults(spark.createDataFrame(random_board(6), schema.LISTING))
+    publish.write_search_table(raw, path)
+    table = publish.read_search_table(spark, path, AS_OF)
+    view = View(type="newgrad", days="7", q="soc an")
+    want = ids(filters.board_view(prepare.prepare(raw, AS_OF), view, AS_OF))
+    shown = filters.board_view(table, view, AS_OF)
+    assert want and ids(shown) == want
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = shown.select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "(type#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(date_added,2026-11-14)" in plan
+    assert "translate" not in plan

@@ -29,8 +29,13 @@ def overflow(parts: Column) -> Column:
     return F.greatest(F.lit(0), F.size(parts) - 1)
 
 
+def text_map(pairs: dict[str, str]) -> Column:
+    """A constant map, written as one expression."""
+    return F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in pairs.items()) + ")")
+
+
 def state_map() -> Column:
-    return F.create_map(*[F.lit(x) for pair in STATE_NAMES.items() for x in pair])
+    return text_map(STATE_NAMES)
 
 
 def state_name(code: Column, names: Column | None = None, default: Column | None = None) -> Column:

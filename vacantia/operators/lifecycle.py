@@ -135,6 +135,16 @@ def probe_streak(probes: DataFrame) -> DataFrame:
     )
 
 
+def followed_by_link(listings: DataFrame) -> DataFrame:
+    """Ids whose closing the link checks decide: what no scan of a board can match."""
+    own = (
+        (F.col("source") == "community")
+        | (F.col("platform") == "amazon")
+        | F.col("board_key").isNull()
+    )
+    return listings.where(own).select(F.col("id").alias("listing_id"))
+
+
 def close_dead_links(
     probes: DataFrame, hard: int = HARD_STREAK, soft: int = SOFT_STREAK
 ) -> DataFrame:

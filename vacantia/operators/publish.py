@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.dims import MONTHS, TABLE_RETENTION, TYPES
-from vacantia.functions.text import ci
+from vacantia.functions import dates
+from vacantia.functions.text import ci, slug
 from vacantia.operators import lifecycle, repeats, sorts
+from vacantia.operators.prepare import hay
 
 
 def write_board(listings: DataFrame, path: str, as_of: str, fmt: str = "parquet") -> None:
@@ -22,6 +24,22 @@ def write_board(listings: DataFrame, path: str, as_of: str, fmt: str = "parquet"
     ordered.write.mode("overwrite").partitionBy("type", "closed").format(fmt).save(path)
 
 
+def write_search_table(listings: DataFrame, path: str) -> None:
+    """The stored table searches run on: slug and search text worked out once.
+
+    A folder per type, rows of a file close in date, so a view reads one type and skips
+    the row groups outside its days. The age is left to the reader, as it changes daily.
+    """
+    ready = listings.withColumns({"slug": slug(F.col("category")), "hay": hay()})
+    keys = ["type", F.desc("date_added"), "id"]
+    ordered = ready.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered.write.mode("overwrite").partitionBy("type").parquet(path)
+
+
+def read_search_table(spark: SparkSession, path: str, as_of: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("age", dates.age_days(F.col("date_added"), as_of))
+
+
 def feed_rows(new: DataFrame) -> DataFrame:
     """New rows once for the common feed and once for the feed of their type."""
     return new.withColumn("feed", F.explode(F.array(F.lit("all"), F.col("type"))))

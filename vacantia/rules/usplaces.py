@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacantia.dims import STATE_NAMES
 from vacantia.functions.bind import let
+from vacantia.functions.places import text_map
 from vacantia.rules import lexicon as lex
 
 CODES = "|".join(STATE_NAMES)
@@ -25,7 +26,7 @@ ABROAD = rf"(?i)\b(?:{'|'.join(lex.ABROAD)}|worldwide|global|non-us|internationa
 
 
 def _code_of() -> Column:
-    return F.create_map(*[F.lit(x) for c, n in STATE_NAMES.items() for x in (n.lower(), c)])
+    return text_map({name.lower(): code for code, name in STATE_NAMES.items()})
 
 
 def parts(location: Column) -> Column:
