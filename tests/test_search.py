@@ -96,6 +96,10 @@ def test_facets_leave_the_category_out(spark):
     ]
     shown = counts.shown_of_total(board(spark, rows), view, AS_OF).first()
     assert (shown["shown"], shown["total"]) == (1, 2)
+    marks = spark.createDataFrame([("0002",), ("0002",)], "listing_id string")
+    shown = counts.shown_of_total(board(spark, rows), view, AS_OF, marks).first()
+    assert (shown["shown"], shown["total"]) == (0, 2)
+    assert ids(filters.board_view(board(spark, rows), view, AS_OF, marks)) == []
 
 
 def test_locations(spark):

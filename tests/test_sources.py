@@ -92,6 +92,7 @@ def test_links(spark):
             ("lever", "b", "1", "https://jobs.vendor.example/1"), ("lever", "b", "2", "https://b.example/2"),
             ("lever", "b", "3", "https://evil.example/\\@b.example"), ("lever", "b", "4", "ftp://b.example"),
             ("lever", "b", "5", "https://user@B.example:8443/x"), ("lever", "b", "6", "https://notvendor.example/"),
+            ("lever", "b", "7", "https://b.example/x\n"), ("lever", "b", "8", "https://b.example/\u00a0x"),
         ],
         "platform string, board_key string, posting_id string, url string",
     )
@@ -102,10 +103,10 @@ def test_links(spark):
         [("lever", "vendor.example", "https://vendor.example")], "platform string, domain string, job_page string"
     )
     got = prepare.trusted_links(rows, dim, vendors).orderBy("posting_id").collect()
-    assert [r["trusted"] for r in got] == [True, True, False, False, True, False]
+    assert [r["trusted"] for r in got] == [True, True, False, False, True, False, False, False]
     assert got[2]["link"] == "https://vendor.example/b/3"
     safe = prepare.safe_links(rows).orderBy("posting_id").collect()
-    assert [r["url"] != "" for r in safe] == [True, True, False, False, True, True]
+    assert [r["url"] != "" for r in safe] == [True, True, False, False, True, True, False, False]
 
 
 def stored(spark, n=400):

@@ -10,12 +10,12 @@ from vacantia.dims import STATE_NAMES
 ANYWHERE = "United States"
 
 
-def _strip(text: Column) -> Column:
+def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
 def location_list(location: Column) -> Column:
-    parts = F.transform(F.split(location, ";"), _strip)
+    parts = F.transform(F.split(location, ";"), strip)
     return F.coalesce(F.filter(parts, lambda p: p != ""), F.array().cast("array<string>"))
 
 

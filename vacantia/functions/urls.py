@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SAFE_LINK = r"(?i)^https?://[^\s\\]+$"
+# No blank of any script and no backslash, to the very end of the text.
+SAFE_LINK = (
+    r"(?i)^https?://[^\s\\\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+\z"
+)
 
 
 def safe_url(url: Column) -> Column:

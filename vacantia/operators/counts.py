@@ -44,14 +44,21 @@ def facet_counts(
     return known.orderBy("ordinal")
 
 
-def shown_of_total(listings: DataFrame, view: View, as_of: str) -> DataFrame:
-    """Rows shown, and rows of the tab under the closed rule alone."""
+def shown_of_total(
+    listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
+) -> DataFrame:
+    """Rows shown, and rows of the tab under the closed rule alone.
+
+    ``applied`` holds ids to hide; they still count in the total.
+    """
     in_tab = filters.of_type(view.type)
     if not view.closed:
         in_tab = in_tab & filters.open_only()
-    return listings.where(in_tab).agg(
-        F.count_if(filters.matches(view, as_of)).alias("shown"), F.count(F.lit(1)).alias("total")
-    )
+    tab, shown = listings.where(in_tab), filters.matches(view, as_of)
+    if applied is not None:
+        hidden = applied.select(F.col("listing_id").alias("id"), F.lit(True).alias("hide")).distinct()
+        tab, shown = tab.join(hidden, "id", "left"), shown & F.col("hide").isNull()
+    return tab.agg(F.count_if(shown).alias("shown"), F.count(F.lit(1)).alias("total"))
 
 
 def other_tab_hint(listings: DataFrame, view: View, as_of: str) -> DataFrame:

@@ -6,22 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.dims import QUERY_CAP, TYPES
-from vacantia.functions import text
+from vacantia.functions import places, text
 from vacantia.functions.urls import query_param
 from vacantia.operators import filters
 
 
-def normalize_views(links: DataFrame, slugs: Column, places: Column) -> DataFrame:
+def normalize_views(links: DataFrame, slugs: Column, states: Column) -> DataFrame:
     """Shared links to view records: known values are kept, the rest reads as the default.
 
-    ``slugs`` and ``places`` are array columns of what the data holds, as a rule scalar
+    ``slugs`` and ``states`` are array columns of what the data holds, as a rule scalar
     subqueries over the two small dimensions.
     """
     url = F.col("url")
     kind, place, days = (query_param(url, k) for k in ("type", "state", "days"))
     cats = F.split(query_param(url, "cat"), ",")
     allowed = F.concat("known_places", F.array(F.lit("remote")))
-    known = links.withColumns({"known_slugs": slugs, "known_places": places})
+    known = links.withColumns({"known_slugs": slugs, "known_places": states})
     return known.select(
         "view_id",
         F.when(kind.isin(*TYPES), kind).otherwise(F.lit(TYPES[0])).alias("type"),
@@ -47,7 +47,7 @@ def active_filters(hide_applied: Column | None = None) -> Column:
 
 def canonical_view() -> Column:
     """Query string of a view without its default values."""
-    q = F.trim(F.col("q"))
+    q = places.strip(F.col("q"))
     text_part = F.replace(F.url_encode(q), F.lit("%2C"), F.lit(","))
 
     def part(name: str, value: Column, shown: Column) -> Column:

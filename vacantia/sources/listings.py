@@ -13,7 +13,7 @@ from vacantia.operators.prepare import with_defaults
 def _rows(documents: DataFrame) -> DataFrame:
     """Rows of parsed documents: unknown types dropped, missing values defaulted."""
     row = documents.select(
-        F.explode("rows").alias("row"), F.coalesce("new_days", F.lit(NEW_DAYS)).alias("new_days")
+        F.explode("rows").alias("row"), F.coalesce(F.nullif("new_days", F.lit(0)), F.lit(NEW_DAYS)).alias("new_days")
     ).select("row.*", "new_days")
     days = {c: F.col(c).try_cast("date") for c in ("date_added", "closed_date")}
     return with_defaults(row.where(F.col("type").isin(*TYPES)).withColumns(days))
