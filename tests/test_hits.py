@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vacantia.functions.text import query_words
 from vacantia.rules.hits import rule_hits
+from vacantia.session import fixed_table
 from vacantia.sources.postings import union_postings
 
 
@@ -45,3 +46,14 @@ def test_union_of_dumps(spark):
     assert [tuple(r) for r in rows.collect()] == [
         ("lever", "1", "Intern", "Remote"), ("jibe", "2", "Analyst", None),
     ]
+
+
+def test_small_rules_go_to_the_texts(spark, tmp_path):
+    """The rules are sent to the texts, not the words of the texts to the rules."""
+    path = str(tmp_path / "docs")
+    spark.range(50).select(F.col("id").alias("doc_id"), F.lit("soc cloud").alias("text")).write.parquet(path)
+    rules = fixed_table(spark, [("it's", "soc"), ("b\\s", "soc cloud")], "rule, phrase")
+    got = rule_hits(spark.read.parquet(path), rules)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+    assert {(r["rule"], r["n"]) for r in got.collect()} == {("it's", 1), ("b\\s", 1)}

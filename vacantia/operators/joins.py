@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vacantia.dims import CATEGORIES, STATE_NAMES
 from vacantia.functions.text import slug, word_text
+from vacantia.session import fixed_table
 
 
 def with_board(postings: DataFrame, employers: DataFrame) -> DataFrame:
@@ -40,12 +41,12 @@ def with_applied(listings: DataFrame, marks: DataFrame, user: int | Column) -> D
 
 
 def states(spark) -> DataFrame:
-    return spark.createDataFrame(list(STATE_NAMES.items()), "code string, name string")
+    return fixed_table(spark, list(STATE_NAMES.items()), "code, name")
 
 
 def categories(spark) -> DataFrame:
     rows = [(i + 1, name, text) for i, (name, text) in enumerate(CATEGORIES.items())]
-    dim = spark.createDataFrame(rows, "ordinal int, category string, description string")
+    dim = fixed_table(spark, rows, "ordinal, category, description")
     return dim.withColumn("slug", slug(F.col("category")))
 
 

@@ -10,6 +10,7 @@ from vacantia.functions import dates
 from vacantia.functions.text import ci, slug
 from vacantia.operators import lifecycle, repeats, sorts
 from vacantia.operators.prepare import hay
+from vacantia.session import fixed_table
 
 
 def write_board(listings: DataFrame, path: str, as_of: str, fmt: str = "parquet") -> None:
@@ -134,9 +135,7 @@ def published_lines(listings: DataFrame) -> DataFrame:
         for shut, table in ((False, "TABLE"), (True, "CLOSED"))
         for part, edge in ((0, "START"), (2, "END"))
     ]
-    edges = listings.sparkSession.createDataFrame(
-        marks, "type string, closed boolean, part int, line string"
-    )
+    edges = fixed_table(listings.sparkSession, marks, "type, closed, part, line")
     return rows.unionByName(edges, allowMissingColumns=True)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vacantia.dims import GRACE_DAYS, LARGE_BOARD_GRACE, PLATFORM_KEYS, STATE_NAMES
 from vacantia.operators.prepare import prepare
-from vacantia.session import spread
+from vacantia.session import fixed_table, spread
 from vacantia.sources import employers as employer_source
 
 LST_AS_OF = "2001-08-01"
@@ -283,7 +283,7 @@ class Data:
             (p, ("example.com", "example.org", "vendor.example")[i % 3], f"https://{p}.vendor.example")
             for i, p in enumerate(PLATFORMS)
         ]
-        return self.spark.createDataFrame(rows, "platform string, domain string, job_page string")
+        return fixed_table(self.spark, rows, "platform, domain, job_page")
 
     def shared_links(self) -> DataFrame:
         """Pages as links to a view of the board, with known and unknown values."""
@@ -349,7 +349,7 @@ class Data:
     def grace(self) -> DataFrame:
         """Days of grace per board: the boards numbered 0 and 5 are the large ones."""
         rows = [(f"b{i}", LARGE_BOARD_GRACE if i % 5 == 0 else GRACE_DAYS) for i in range(10)]
-        return self.spark.createDataFrame(rows, "board string, grace int")
+        return fixed_table(self.spark, rows, "board, grace")
 
     def checks(self) -> DataFrame:
         """Events as link checks, one listing per user."""

@@ -14,6 +14,7 @@ from vacantia.plans.catalog import query
 from vacantia.plans.oracle import EMPLOYERS, LISTINGS, MARKS, POSTINGS, STATE_MAP, lst, q, with_
 from vacantia.plans.oracle import slug as sql_slug
 from vacantia.plans.oracle import word_text as sql_words
+from vacantia.session import fixed_table
 
 BOARD = with_(LISTINGS)
 AS_OF = f"DATE '{LST_AS_OF}'"
@@ -392,7 +393,7 @@ def _(d):
 )
 def _(d):
     rows = [(i + 1, c, c.lower()) for i, c in enumerate(CATEGORIES)]
-    dim = d.spark.createDataFrame(rows, "ordinal int, category string, description string")
+    dim = fixed_table(d.spark, rows, "ordinal, category, description")
     return joins.with_category_text(d.listings(), dim).select("id", "ordinal", "description")
 
 

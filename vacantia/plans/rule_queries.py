@@ -13,7 +13,7 @@ from vacantia.plans.oracle import TEXTS, TITLES, fold, q, with_
 from vacantia.rules import classify as cls
 from vacantia.rules import experience, hits, level, rejects, roles, usplaces
 from vacantia.rules import lexicon as lex
-from vacantia.session import spread
+from vacantia.session import fixed_table, spread
 
 TTL = with_(TITLES)
 
@@ -271,7 +271,7 @@ _HIT = " UNION ALL ".join(
       SELECT doc_id, rule, n FROM ({_HIT}) WHERE n > 0""",
 )
 def _(d):
-    rules = d.spark.createDataFrame(RULES, "rule string, phrase string")
+    rules = fixed_table(d.spark, RULES, "rule, phrase")
     return hits.rule_hits(spread(d.table("documents").select("doc_id", "text")), rules)
 
 

@@ -58,3 +58,23 @@ def spread(frame: DataFrame) -> DataFrame:
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def fixed_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A table of fixed values, for dimensions that are part of the program.
+
+    Rows handed over from Python have no known size, so Spark would shuffle the large side
+    of a join with them; as constants of the plan their size is known.
+    """
+    values = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS fixed({columns})")
