@@ -66,8 +66,8 @@ def measure_text(text: str | None) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, words per line,
     context per line).
 
-    A line's context is the hash of the document's longest other line: near copies of a document
-    share it, unrelated documents do not.
+    A line's context is the least hash of the document's other lines, a min-hash of what stands around
+    it: near copies of a document mostly share it, unrelated documents with a common line do not.
     """
     text = text or ""
     words = _WORD.findall(text)
@@ -84,10 +84,10 @@ def measure_text(text: str | None) -> tuple:
         normal = _DIGITS.sub("0", " ".join(parts).lower())
         lines[normal] = lines.get(normal, 0) + len(parts)
     hashes = [_signed(xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))) for x in lines]
-    order = sorted(zip(map(len, lines), hashes), reverse=True)[:2]
+    least = sorted(hashes)[:2]
     contexts = [0] * len(hashes)
-    if len(order) == 2:
-        contexts = [order[1][1] if h == order[0][1] else order[0][1] for h in hashes]
+    if len(least) == 2:
+        contexts = [least[1] if h == least[0] else least[0] for h in hashes]
     return (
         len(words),
         len(text) - sum(map(text.count, _SPACES)),
@@ -123,8 +123,8 @@ def judge(
 ) -> DataFrame:
     """Per row of documents: key (of id, host and text), id, the measures, removed_words, base_failed, kept.
 
-    Lines are counted over different documents: a host's copies of one text count once, and so do
-    documents that share their longest other line. A line counted in more than ``line_documents``
+    Lines are counted over different documents: a line's copies within one context (see ``measure_text``)
+    count once, so copies and near copies of a text are no furniture. A line counted in more than ``line_documents``
     documents and ``line_share`` of its host's is removed; more than ``max_removed`` of the words
     removed rejects the document.
     """

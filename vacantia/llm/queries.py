@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import quality
+from vacantia.llm import licenses, pii, quality, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,37 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_license_scan")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Words, base phrases and licence labels of every document."""
+    return licenses.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the base kinds and all spans of every document."""
+    found = pii.personal_spans(table(spark, folder, "documents"))
+    spelled = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ","
+    )
+    base = F.filter("spans", lambda s: s.kind.isin(*pii.BASE_KINDS))
+    kinds = F.transform("spans", lambda s: s.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(spelled(base), 256).alias("base_sha256"),
+        spelled(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_sharding")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    return shards.assign(table(spark, folder, "documents"), 40).select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of every document."""
