@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import licenses, pii, quality, shards
+from vacantia.llm import licenses, pages, pii, quality, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,12 +27,29 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_simhash")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query("op3_license_scan")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Words, base phrases and licence labels of every document."""
     return licenses.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_text(table(spark, folder, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 @query("op5_personal_data")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of the base kinds and all spans of every document."""
