@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import licenses, pages, pii, quality, shards, simhash
+from vacantia.llm import licenses, packing, pages, pii, quality, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 1024 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op2_simhash")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
