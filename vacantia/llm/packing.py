@@ -183,26 +183,26 @@ def _round(state: DataFrame) -> DataFrame:
     )
     wait = swept.where("kind = 1 AND bin IS NULL").select("part", "rank", "size", "uid")
     plan = _across(counts)
+    none = F.lit(None).cast("long")
+    columns = ["kind", "size", "uid", "bin", "gap"]
     if plan:
-        met = fixed_table(spark, plan, "ppart, low, past, other, top")
-        wait = wait.join(
-            F.broadcast(met), (F.col("part") == F.col("ppart")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("past")),
-            "left",
-        ).withColumn("to", F.col("top") - (F.col("rank") - F.col("low")))
-        rest = gaps.join(
-            wait, (F.col("gpart") == F.col("other").cast("long")) & (F.col("grank") == F.col("to").cast("long")), "full"
-        )
-        both = F.col("guid").isNotNull() & F.col("uid").isNotNull()
-        rest = rest.select(
-            F.when(both, 2).when(F.col("uid").isNotNull(), 1).otherwise(0).alias("kind"),
-            F.coalesce("size", "gsize").alias("size"), F.coalesce("uid", "guid").alias("uid"),
-            F.when(both, F.col("guid")).alias("bin"), F.when(both, F.col("gsize")).alias("gap"),
+        spans = fixed_table(spark, plan, "ppart, low, past, other, top")
+        within = (F.col("part") == F.col("ppart")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("past"))
+        wait = wait.join(F.broadcast(spans), within, "left").withColumn(
+            "to", (F.col("top") - (F.col("rank") - F.col("low"))).cast("long")
+        ).withColumn("other", F.col("other").cast("long"))
+        # Pieces that no gap is left for stay out of the join; they have no gap's rank to be dealt by.
+        met = wait.where("other IS NOT NULL")
+        taken = F.col("uid").isNotNull()
+        rest = gaps.join(met, (F.col("gpart") == F.col("other")) & (F.col("grank") == F.col("to")), "left").select(
+            F.when(taken, 2).otherwise(0).alias("kind"), F.coalesce("size", "gsize").alias("size"),
+            F.coalesce("uid", "guid").alias("uid"), F.when(taken, F.col("guid")).alias("bin"),
+            F.when(taken, F.col("gsize")).alias("gap"),
         )
+        wait = wait.where("other IS NULL")
     else:
-        none = F.lit(None).cast("long")
-        rest = gaps.select(F.lit(0).alias("kind"), F.col("gsize").alias("size"), F.col("guid").alias("uid")).unionByName(
-            wait.select(F.lit(1).alias("kind"), "size", "uid")
-        ).select("kind", "size", "uid", none.alias("bin"), none.alias("gap"))
+        rest = gaps.select(F.lit(0).alias("kind"), F.col("gsize").alias("size"), F.col("guid").alias("uid"), none.alias("bin"), none.alias("gap"))
+    rest = rest.unionByName(wait.select(F.lit(1).alias("kind"), "size", "uid", none.alias("bin"), none.alias("gap")).select(columns))
     after = settle(placed.unionByName(rest), "round")
     discard(swept)
     return after

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import licenses, packing, pages, pii, quality, shards, simhash
+from vacantia.llm import decontamination, licenses, packing, pages, pii, quality, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "removed_words", "base_failed", "kept",
     )
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that leaks a test item, with the item and the aligned passage."""
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "score", "from_word", "past_word")
