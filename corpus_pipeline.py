@@ -8,8 +8,9 @@ documents. ``run`` applies them to the whole documents table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vacantia.llm import quality
+from vacantia.llm import decontamination, linededup, packing, quality, simhash
 from vacantia.llm.common import settle
 
 
@@ -18,7 +19,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with one line of each component of similar lines; those without a line left go."""
+    return linededup.dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies."""
+    return simhash.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids and their places in sequences."""
+    return packing.pack_documents(docs, with_ids=True).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
 #: Tokenising, fingerprints and alignments have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontamination, licenses, packing, pages, pii, quality, shards, simhash
+from vacantia.llm import decontamination, licenses, linededup, packing, pages, pii, quality, shards, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,12 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that leaks a test item, with the item and the aligned passage."""
     found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "item_id", "score", "from_word", "past_word")
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's lines, and which of them go."""
+    return linededup.report(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
+    )
