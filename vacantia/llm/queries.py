@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontamination, licenses, linededup, packing, pages, pii, quality, shards, simhash
+from vacantia.llm import decontamination, licenses, linededup, packing, pages, pii, quality, shards, simhash, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,6 +90,16 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated passages of 200 bytes leave of every document."""
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.start)
+    return suffixes.repeats(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 @query("op9_decontamination")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that leaks a test item, with the item and the aligned passage."""
