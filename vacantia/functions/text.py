@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -29,19 +30,18 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     What leaves none (the trade mark sign folds to capitals) separates words as it is.
     """
     source, target, ligatures = [], [], []
-    for code in range(0x00A0, 0x2190):
+    for code in range(0x00A0, sys.maxunicode + 1):
         char = chr(code)
-        if char.lower() != char:
+        if not unicodedata.decomposition(char) or char.lower() != char:
             continue
         plain = _plain(char)
         if plain.strip():
             if len(plain) == 1:
                 source.append(char)
                 target.append(plain)
-            else:
+            elif code < 0x2190 or 0xFB00 <= code <= 0xFB06:
+                # Signs of units and the like, which spell several letters, stay out.
                 ligatures.append((char, plain))
-    for code in range(0xFB00, 0xFB07):
-        ligatures.append((chr(code), _plain(chr(code))))
     return "".join(source), "".join(target), ligatures
 
 
@@ -56,7 +56,7 @@ def _near(chars: list[str], gap: int = 16) -> str:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]"
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
 #: Any of these may need the slow spelling-out; one scan with a few ranges tells.

@@ -23,6 +23,11 @@ def host(url: Column) -> Column:
 
 
 def query_param(url: Column, key: str) -> Column:
-    """First value of a query parameter, decoded; empty when absent or malformed."""
+    """First value of a query parameter, decoded; empty when absent.
+
+    A percent sign that starts no escape stands for itself; a value that is no text when decoded stays
+    as it is.
+    """
     raw = F.regexp_extract(url, rf"^[^?#]*\?(?:[^#]*?&)?{key}=([^&#]*)", 1)
-    return F.coalesce(F.try_url_decode(raw), F.lit(""))
+    escaped = F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), raw, F.lit(""))

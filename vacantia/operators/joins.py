@@ -45,8 +45,8 @@ def states(spark) -> DataFrame:
 
 
 def categories(spark) -> DataFrame:
-    rows = [(i + 1, name, text) for i, (name, text) in enumerate(CATEGORIES.items())]
-    dim = fixed_table(spark, rows, "ordinal, category, description")
+    """The legend; what a category covers is a landed column of the caller's, if wanted."""
+    dim = fixed_table(spark, [(i + 1, name) for i, name in enumerate(CATEGORIES)], "ordinal, category")
     return dim.withColumn("slug", slug(F.col("category")))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacantia.dims import COMMUNITY_EXPIRY, HARD_STREAK, SOFT_STREAK
+from vacantia.dims import COMMUNITY_EXPIRY, GRACE_DAYS, HARD_STREAK, SOFT_STREAK
 from vacantia.functions import dates
 
 
@@ -56,12 +56,15 @@ def gaps(seen: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFr
 
     A gap closes the listing on the first successful scan at least ``grace`` days after
     the sighting that still comes before the next one. Without ``scan_days`` every
-    calendar day counts as scanned. ``grace`` holds (board, grace).
+    calendar day counts as scanned. ``grace`` holds (board, grace); a board without a row
+    there has the usual one.
     """
     rows = seen.where(F.col("day") <= dates.day(as_of)).withColumn(
         "next_day", F.lead("day").over(_by_day())
     )
-    rows = rows.join(grace, "board").withColumn("target", F.date_add("day", F.col("grace")))
+    rows = rows.join(grace, "board", "left").withColumn(
+        "target", F.date_add("day", F.coalesce("grace", F.lit(GRACE_DAYS)))
+    )
     if scan_days is None:
         rows = rows.withColumn("scan", F.col("target"))
     else:
@@ -88,7 +91,7 @@ def absence(seen: DataFrame, scan_days: DataFrame, as_of: str) -> DataFrame:
         F.max("day").alias("last_seen"),
         F.coalesce(F.max("gap"), F.lit(0)).alias("longest_gap"),
     )
-    return per.join(last_scan, "board").select(
+    return per.join(last_scan, "board", "left").select(
         "listing_id", "board", "last_seen", "last_scan", "longest_gap",
         F.greatest(F.lit(0), F.datediff("last_scan", "last_seen")).alias("absent_days"),
     )
@@ -148,12 +151,14 @@ def followed_by_link(listings: DataFrame) -> DataFrame:
 def close_dead_links(
     probes: DataFrame, hard: int = HARD_STREAK, soft: int = SOFT_STREAK
 ) -> DataFrame:
-    """First day on which a listing's link counts as gone.
+    """First day on which a listing's link counts as gone; a later good check cancels it.
 
     A run of failures with a soft one in it needs the longer streak.
     """
     needed = F.when(F.col("soft") > 0, F.lit(soft)).otherwise(F.lit(hard))
-    due = probe_streak(probes).where(F.col("streak") >= needed)
+    good = probes.where("outcome = 'ok'").groupBy("listing_id").agg(F.max("probe_date").alias("last_good"))
+    due = probe_streak(probes).where(F.col("streak") >= needed).join(good, "listing_id", "left")
+    due = due.where(F.col("last_good").isNull() | (F.col("probe_date") > F.col("last_good")))
     return due.groupBy("listing_id").agg(F.min("probe_date").alias("closed_date"))
 
 
@@ -184,18 +189,29 @@ def retain_closed(listings: DataFrame, as_of: str, days: int) -> DataFrame:
 
 
 def resolve_lifecycle(listings: DataFrame, closers: dict[str, DataFrame]) -> DataFrame:
-    """Open or closed, when and why: the earliest closing wins, ties in the order given."""
+    """Open or closed, when and why: the earliest closing wins, ties in the order given.
+
+    A closing that the listings already carry is the first claim, so resolving again changes
+    nothing; to reopen a listing, take its stored closing out first.
+    """
     claims = None
-    for rank, (reason, rows) in enumerate(closers.items()):
+    stored = {}
+    if {"closed", "closed_date"} <= set(listings.columns):
+        why = F.col("reason") if "reason" in listings.columns else F.lit("stored")
+        stored = {"stored": listings.where("closed AND closed_date IS NOT NULL").select(
+            F.col("listing_id"), "closed_date", why.alias("reason")
+        )}
+    for rank, (reason, rows) in enumerate((stored | closers).items()):
+        told = F.coalesce("reason", F.lit(reason)) if "reason" in rows.columns else F.lit(reason)
         claim = rows.select(
             "listing_id",
             F.struct(
-                F.col("closed_date"), F.lit(rank).alias("rank"), F.lit(reason).alias("reason")
+                F.col("closed_date"), F.lit(rank).alias("rank"), told.alias("reason")
             ).alias("claim"),
         )
         claims = claim if claims is None else claims.unionByName(claim)
     won = claims.groupBy("listing_id").agg(F.min("claim").alias("claim"))
-    keep = [c for c in listings.columns if c not in ("closed", "closed_date")]
+    keep = [c for c in listings.columns if c not in ("closed", "closed_date", "reason")]
     return listings.join(won, "listing_id", "left").select(
         *keep,
         F.col("claim").isNotNull().alias("closed"),

@@ -135,7 +135,10 @@ def _(d):
 
 
 _DEAD = """dead AS (SELECT listing_id, min(probe_date) AS closed_date FROM streak
-    WHERE streak >= CASE WHEN soft > 0 THEN 3 ELSE 2 END GROUP BY listing_id)"""
+    WHERE streak >= CASE WHEN soft > 0 THEN 3 ELSE 2 END
+      AND NOT EXISTS (SELECT 1 FROM probe p WHERE p.listing_id = streak.listing_id
+        AND p.outcome = 'ok' AND p.probe_date > streak.probe_date)
+    GROUP BY listing_id)"""
 
 
 @query(
