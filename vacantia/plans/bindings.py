@@ -52,15 +52,15 @@ PLACES = [
     "San Juan, Puerto Rico, PR", "", "Toronto, Canada", "WA - Seattle - Office",
 ]
 DEMANDS = [
-    "Requires 0 to 2 years of experience.", "We ask for 2 to 4 years in security.",
-    "BS and 5 years, or MS and 3, or PhD and 0.",
-    "Level 2: Bachelor's + 2 years. Level 3: Bachelor's + 5 years.",
-    "Build on our 50+ years of experience. Must be at least 21 years old.",
-    "5 years preferred.", "3+ years of networking.\n1 year of scripting; 10 years ideally.",
+    "Candidates bring 0 to 3 years of experience.", "You have 3 to 5 years in defence.",
+    "BS and 4 years, or MS and 2, or PhD and 0.",
+    "Grade 1: Bachelor's + 1 year. Grade 2: Bachelor's + 4 years.",
+    "Join a firm with 30+ years of experience. Must be at least 18 years old.",
+    "6 years preferred.", "2+ years of scripting.\n1 year of networking; 8 years ideally.",
     "This is an entry-level role, no prior experience.", "Open to recent graduates.",
-    "2+ years of web protocols, common security attacks, and remediation.",
-    "Bachelor's Degree with 5 years. Doctoral Degree with 2 years.", "Join us.",
-    "No experience required; 4 years a bonus.",
+    "3+ years of protocols, threats, and response.",
+    "Bachelor's Degree with 4 years. Doctoral Degree with 1 year.", "Send us a letter.",
+    "No experience required; 3 years a bonus.",
 ]
 SECRETS = [
     "An active Secret clearance is required.", "No security clearance needed.",
