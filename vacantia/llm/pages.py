@@ -228,32 +228,34 @@ def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
 
 def importance(parsed: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of the merged tree of each host."""
-    seen = (
-        parsed.select("host", F.xxhash64("blocks").alias("page"), "blocks").dropDuplicates(["host", "page"])
-        .select("host", "page", F.explode("blocks").alias("b"))
-        .select("host", "page", "b.path", "b.text_hash", "b.style", "b.inline").distinct()
-    )
-
-    def entropy(feature):
+    # Features are made distinct within a page by its own row; only different pages of a host count.
+    slim = lambda *fields: F.array_distinct(F.transform("blocks", lambda b: F.struct(*[b[f].alias(f) for f in fields])))
+    seen = parsed.select(
+        "host", F.xxhash64("blocks").alias("page"), slim("path").alias("paths"),
+        slim("path", "text_hash").alias("texts"), slim("path", "style", "inline").alias("styles"),
+    ).dropDuplicates(["host", "page"])
+
+    def entropy(features, feature, *more):
         """Sum over a path's features of k log k, and of k, where k pages have the feature."""
         k = (
-            seen.select("host", "path", "page", feature).distinct()
-            .groupBy("host", "path", feature).agg(F.count(F.lit(1)).alias("k"))
+            seen.select("host", F.explode(features).alias("f")).groupBy("host", "f.path", f"f.{feature}", *[f"f.{m}" for m in more])
+            .agg(F.count(F.lit(1)).alias("k"))
         )
-        return k.groupBy("host", "path").agg(F.sum(F.col("k") * F.log("k")).alias("klogk"), F.sum("k").alias("n"))
+        means = [(F.sum(F.col(m) * F.col("k")) / F.sum("k")).alias(m) for m in more]
+        return k.groupBy("host", "path").agg(F.sum(F.col("k") * F.log("k")).alias("klogk"), F.sum("k").alias("n"), *means)
 
     pages = (
-        seen.groupBy("host", "path", "page").agg(F.max("inline").alias("inline"))
-        .groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.avg("inline").alias("inline"))
+        seen.select("host", F.explode("paths").alias("f")).groupBy("host", "f.path")
+        .agg(F.count(F.lit(1)).alias("pages"))
     )
     size = F.log("pages")
     content = 1 - F.col("klogk") / F.col("n") / size
     # Entropy of the styles, to the base of the pages: (log n - sum(k log k) / n) / log pages.
     presentation = F.least(F.lit(1.0), (F.log("n2") - F.col("klogk2") / F.col("n2")) / size)
     weight = F.pow(F.lit(GAMMA), F.col("inline"))
-    shown = entropy("style").withColumnsRenamed({"klogk": "klogk2", "n": "n2"})
+    shown = entropy("styles", "style", "inline").withColumnsRenamed({"klogk": "klogk2", "n": "n2"})
     return (
-        pages.join(entropy("text_hash"), ["host", "path"]).join(shown, ["host", "path"])
+        pages.join(entropy("texts", "text_hash"), ["host", "path"]).join(shown, ["host", "path"])
         .select("host", "path", "pages", F.when(
             F.col("pages") > 1, (1 - weight) * presentation + weight * content
         ).otherwise(1.0).alias("importance"))
@@ -271,8 +273,9 @@ def main_text(
         .select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
     )
     plain = F.filter("blocks", lambda b: b.role == 0)
+    # Equal rows give equal paths, which the set below joins; no text goes along.
     hit = (
-        parsed.dropDuplicates(["key"]).select("key", "host", F.explode(F.array_distinct(plain["path"])).alias("path"))
+        parsed.select("key", "host", F.explode(F.array_distinct(plain["path"])).alias("path"))
         .withColumn("part", F.pmod(F.col("key"), F.lit(PARTS)).cast("int"))
         .join(noise, ["host", "path", "part"])
         .groupBy("key").agg(F.collect_set("path").alias("noise"))
