@@ -11,7 +11,7 @@ are taken out on any page, and the inside of an article or main element is not j
 host of one page, or of copies of a page, keeps its text.
 
 Defined results: null html is empty; a null or hostless url is a host of its own; repeated rows get equal
-rows and count as one page; other columns are never read.
+rows and count as a page each; other columns are never read.
 """
 
 from __future__ import annotations
@@ -228,12 +228,12 @@ def parse(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFra
 
 def importance(parsed: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of the merged tree of each host."""
-    # Features are made distinct within a page by its own row; only different pages of a host count.
+    # Features are made distinct within a page by its own row.
     slim = lambda *fields: F.array_distinct(F.transform("blocks", lambda b: F.struct(*[b[f].alias(f) for f in fields])))
     seen = parsed.select(
-        "host", F.xxhash64("blocks").alias("page"), slim("path").alias("paths"),
-        slim("path", "text_hash").alias("texts"), slim("path", "style", "inline").alias("styles"),
-    ).dropDuplicates(["host", "page"])
+        "host", slim("path").alias("paths"), slim("path", "text_hash").alias("texts"),
+        slim("path", "style", "inline").alias("styles"),
+    )
 
     def entropy(features, feature, *more):
         """Sum over a path's features of k log k, and of k, where k pages have the feature."""
@@ -267,7 +267,12 @@ def main_text(
     min_importance: float = MIN_IMPORTANCE, min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """Per row: id, url, text (the kept blocks in page order, joined by a space)."""
-    parsed = settle(parse(pages, id_col, url_col, html_col), "pages")
+    whole = parse(pages, id_col, url_col, html_col)
+    # Statistics are written without texts; pages are parsed again for theirs, which then move once.
+    parsed = settle(
+        whole.select("key", "host", F.transform("blocks", lambda b: F.struct(b.path, b.text_hash, b.style, b.inline, b.role)).alias("blocks")),
+        "pages",
+    )
     noise = (
         importance(parsed).where((F.col("importance") < min_importance) & (F.col("pages") >= min_pages))
         .select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
@@ -280,10 +285,10 @@ def main_text(
         .join(noise, ["host", "path", "part"])
         .groupBy("key").agg(F.collect_set("path").alias("noise"))
     )
-    named = F.filter("blocks", lambda b: b.role < 2)
+    named = F.transform(F.filter("blocks", lambda b: b.role < 2), lambda b: F.struct(b.path, b.role, b.text))
     kept = F.filter("named", lambda b: (b.role == 1) | ~F.array_contains(F.coalesce("noise", F.array().cast("array<bigint>")), b.path))
     return (
-        parsed.withColumn("named", named).join(hit, "key", "left").withColumn("kept", kept)
+        whole.select("key", "id", "url", named.alias("named")).join(hit, "key", "left").withColumn("kept", kept)
         # A page of which nothing is left has no branch of its own, such as one of a host of copies.
         .withColumn("kept", F.when(F.size("kept") > 0, F.col("kept")).otherwise(F.col("named")))
         .select("id", "url", F.array_join(F.transform("kept", lambda b: b.text), " ").alias("text"))
