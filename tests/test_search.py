@@ -208,7 +208,7 @@ def test_view_links(spark):
     got = views.normalize_views(links, known, F.array(F.lit("VA"))).orderBy("view_id").collect()
     assert [tuple(r)[1:] for r in got[:3]] == [
         ("intern", "a b c", ["soc", "soc"], "", "", True, False, ""),
-        ("newgrad", "", [], "remote", "30", False, True, "company"),
+        ("newgrad", "%ZZ", [], "remote", "30", False, True, "company"),
         ("intern", "", [], "", "", False, False, ""),
     ]
     assert len(got[3]["q"]) == 120
@@ -217,7 +217,7 @@ def test_view_links(spark):
     ).orderBy("view_id").collect()
     assert [(r["v"], r["n"]) for r in shown[:3]] == [
         ("q=a+b+c&cat=soc,soc&noclear=1", 3),
-        ("type=newgrad&state=remote&days=30&closed=1&sort=company", 3), ("", 0),
+        ("type=newgrad&q=%25ZZ&state=remote&days=30&closed=1&sort=company", 3), ("", 0),
     ]
 
 
