@@ -80,7 +80,7 @@ def test_closing_and_reopening(spark, seed):
 @pytest.mark.parametrize(
     "outcomes, want",
     [
-        ("gg", 1), ("gog", None), ("gs", None), ("gsg", 2), ("sss", 2), ("oggo", 2), ("g", None),
+        ("gg", 1), ("gog", None), ("gs", None), ("gsg", 2), ("sss", 2), ("oggo", None), ("g", None),
         ("sg", None), ("sgg", 2), ("ggs", 1), ("sogg", 3),
     ],
 )
