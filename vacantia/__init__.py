@@ -1,5 +1,5 @@
 """Vacantia: a job-listing analytics engine written as Spark DataFrame programs."""
 
-from vacantia.session import get_spark, shared_dir, spread
+from vacantia.session import get_spark, shared_dir, stored
 
-__all__ = ["get_spark", "shared_dir", "spread"]
+__all__ = ["get_spark", "shared_dir", "stored"]

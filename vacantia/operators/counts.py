@@ -23,27 +23,46 @@ def _stack_types(wide: DataFrame) -> DataFrame:
     )
 
 
-def tab_counts(listings: DataFrame, view: View, as_of: str) -> DataFrame:
-    """Matches per type under all filters, zeros kept."""
+def _matched(
+    listings: DataFrame, view: View, as_of: str, applied: DataFrame | None
+) -> DataFrame:
+    """Rows of any type that pass every filter, without those in ``applied`` (listing_id)."""
     matched = filters.passes(view, as_of) & filters.in_categories(view.cat)
-    return _stack_types(listings.where(matched).agg(*_per_type(F.lit(True))))
+    return filters.hide(listings.where(matched), applied)
+
+
+def tab_counts(
+    listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
+) -> DataFrame:
+    """Matches per type under all filters, hidden ids included, zeros kept."""
+    return _stack_types(_matched(listings, view, as_of, applied).agg(*_per_type(F.lit(True))))
 
 
 def facet_counts(
-    listings: DataFrame, view: View, as_of: str, categories: list[str] | tuple[str, ...]
+    listings: DataFrame, view: View, as_of: str, categories: list[str] | tuple[str, ...],
+    applied: DataFrame | None = None,
 ) -> DataFrame:
     """Per category what ticking it alone would show in the active tab.
 
     Grouping every row and counting conditionally keeps categories with no match at
-    zero and drops those absent from the data, in one scan without a join.
+    zero and drops those absent from the data, in one scan; only ids to hide need a join.
     """
     hit = filters.of_type(view.type) & filters.passes(view, as_of)
+    if applied is not None:
+        listings = _with_hide(listings, applied)
+        hit = hit & F.col("hide").isNull()
     counted = listings.groupBy("category", "slug").agg(F.count_if(hit).alias("n"))
     order = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
     known = counted.withColumn("ordinal", order.cast("int")).where("ordinal > 0")
     return known.orderBy("ordinal")
 
 
+def _with_hide(listings: DataFrame, applied: DataFrame) -> DataFrame:
+    """All rows, with ``hide`` set on those whose id is in ``applied`` (listing_id)."""
+    hidden = applied.select(F.col("listing_id").alias("id"), F.lit(True).alias("hide")).distinct()
+    return listings.join(hidden, "id", "left")
+
+
 def shown_of_total(
     listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
 ) -> DataFrame:
@@ -56,15 +75,15 @@ def shown_of_total(
         in_tab = in_tab & filters.open_only()
     tab, shown = listings.where(in_tab), filters.matches(view, as_of)
     if applied is not None:
-        hidden = applied.select(F.col("listing_id").alias("id"), F.lit(True).alias("hide")).distinct()
-        tab, shown = tab.join(hidden, "id", "left"), shown & F.col("hide").isNull()
+        tab, shown = _with_hide(tab, applied), shown & F.col("hide").isNull()
     return tab.agg(F.count_if(shown).alias("shown"), F.count(F.lit(1)).alias("total"))
 
 
-def other_tab_hint(listings: DataFrame, view: View, as_of: str) -> DataFrame:
+def other_tab_hint(
+    listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
+) -> DataFrame:
     """Types with matches to offer when the active tab shows nothing."""
-    matched = filters.passes(view, as_of) & filters.in_categories(view.cat)
-    wide = listings.where(matched).agg(*_per_type(F.lit(True)))
+    wide = _matched(listings, view, as_of, applied).agg(*_per_type(F.lit(True)))
     empty = wide.where(F.col(view.type) == 0)
     return _stack_types(empty).where("n > 0")
 
@@ -148,11 +167,19 @@ def place_options(listings: DataFrame) -> DataFrame:
     return named.orderBy("name", "code")
 
 
-def board_yield(postings: DataFrame) -> DataFrame:
-    """Postings read and kept per board and scan day."""
-    return postings.groupBy("board_key", "scan_date").agg(
+def board_yield(postings: DataFrame, scans: DataFrame | None = None) -> DataFrame:
+    """Postings read and kept per board and scan day.
+
+    ``scans`` holds (board_key, scan_date) of the scans that were due; one that landed
+    nothing has a row of zeros.
+    """
+    landed = postings.groupBy("board_key", "scan_date").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept")
     )
+    if scans is None:
+        return landed
+    due = scans.select("board_key", "scan_date").distinct()
+    return due.join(landed, ["board_key", "scan_date"], "full").na.fill(0, ["n", "kept"])
 
 
 def verdict_counts(judged: DataFrame) -> DataFrame:

@@ -89,11 +89,16 @@ def matches(view: View, as_of: str) -> Column:
     return of_type(view.type) & passes(view, as_of) & in_categories(view.cat)
 
 
+def hide(listings: DataFrame, applied: DataFrame | None) -> DataFrame:
+    """Rows whose id is not in ``applied`` (listing_id); all rows if there is none."""
+    if applied is None:
+        return listings
+    return listings.join(applied.select(F.col("listing_id").alias("id")), "id", "left_anti")
+
+
 def board_view(
     listings: DataFrame, view: View, as_of: str, applied: DataFrame | None = None
 ) -> DataFrame:
     """The rows a view shows, in display order. ``applied`` holds ids to hide."""
-    shown = listings.where(matches(view, as_of))
-    if applied is not None:
-        shown = shown.join(applied.select(F.col("listing_id").alias("id")), "id", "left_anti")
+    shown = hide(listings.where(matches(view, as_of)), applied)
     return sorts.company_a_to_z(shown) if view.sort == "company" else sorts.newest_first(shown)

@@ -34,11 +34,11 @@ def first_seen(log: DataFrame) -> DataFrame:
     return log.groupBy("listing_id").agg(F.min("ts").alias("first_ts"))
 
 
-def _next_scan(scan_days: DataFrame, as_of: str, reach: int) -> DataFrame:
+def _next_scan(scan_days: DataFrame, as_of: str) -> DataFrame:
     """For each board and calendar day the first successful scan on or after it."""
     span = scan_days.groupBy("board").agg(F.min("day").alias("lo"))
     calendar = span.select(
-        "board", F.explode(F.sequence("lo", F.date_add(dates.day(as_of), reach))).alias("target")
+        "board", F.explode(F.sequence("lo", dates.day(as_of))).alias("target")
     )
     ok = scan_days.select("board", F.col("day").alias("target"), F.col("day").alias("scan"))
     ahead = (
@@ -69,7 +69,7 @@ def gaps(seen: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFr
         rows = rows.withColumn("scan", F.col("target"))
     else:
         done = scan_days.where(F.col("day") <= dates.day(as_of)).select("board", "day").distinct()
-        rows = rows.join(_next_scan(done, as_of, 31), ["board", "target"], "left")
+        rows = rows.join(_next_scan(done, as_of), ["board", "target"], "left")
     closes = (F.col("scan") <= dates.day(as_of)) & (
         F.col("next_day").isNull() | (F.col("scan") < F.col("next_day"))
     )
@@ -87,7 +87,7 @@ def absence(seen: DataFrame, scan_days: DataFrame, as_of: str) -> DataFrame:
     )
     stepped = seen.withColumn("gap", F.datediff("day", F.lag("day").over(_by_day())))
     per = stepped.groupBy("listing_id").agg(
-        F.first("board").alias("board"),
+        F.max_by("board", "day").alias("board"),
         F.max("day").alias("last_seen"),
         F.coalesce(F.max("gap"), F.lit(0)).alias("longest_gap"),
     )

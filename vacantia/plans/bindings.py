@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vacantia.dims import GRACE_DAYS, LARGE_BOARD_GRACE, PLATFORM_KEYS, STATE_NAMES
 from vacantia.operators.prepare import prepare
-from vacantia.session import fixed_table, spread
+from vacantia.session import fixed_table
 from vacantia.sources import employers as employer_source
 
 LST_AS_OF = "2001-08-01"
@@ -220,17 +220,16 @@ class Data:
     # --- titles and texts ---------------------------------------------------------------
 
     def titles(self) -> DataFrame:
-        """One posting per part, worded from the literal lists."""
+        """One posting per part, worded from its name and the literal lists."""
         key, size = F.col("p_partkey"), F.col("p_size").cast("long")
         third, fourth = F.floor(key / 17), F.floor(key / 7)
         words = [pick(LEADS, size), pick(PRODUCTS, key), pick(NOUNS, third), pick(LEVELS, fourth + size)]
         title = F.trim(F.regexp_replace(F.concat_ws(" ", *words), " +", " "))
-        parts = spread(self.table("part").select("p_partkey", "p_size"))
-        return parts.select(
+        return self.table("part").select(
             key.alias("posting_id"),
-            title.alias("title"),
+            F.when(key % 2 == 0, title).otherwise(F.concat_ws(" ", "p_name", title)).alias("title"),
             pick(PLACES, key + size).alias("location"),
-            pick(DEMANDS, third + size).alias("description"),
+            F.concat_ws("\n", "p_name", pick(DEMANDS, third + size)).alias("description"),
             (key % 4 == 0).alias("sec_co"),
         )
 
@@ -238,8 +237,7 @@ class Data:
         """Documents with a sentence on experience and one on clearance appended."""
         key = F.col("doc_id")
         text = F.concat_ws("\n", F.col("text"), pick(DEMANDS, key), pick(SECRETS, key))
-        docs = spread(self.table("documents").select("doc_id", "source", "text"))
-        return docs.select("doc_id", "source", text.alias("text"))
+        return self.table("documents").select("doc_id", "source", text.alias("text"))
 
     def submissions(self) -> DataFrame:
         """Documents as issue forms; some unlabelled, some with markup or a heading twice."""
@@ -356,13 +354,13 @@ class Data:
         outcome = (
             F.when(F.col("event_type") == "error", F.lit("gone"))
             .when(F.col("event_type") == "signup", F.lit("soft_gone"))
-            .when(F.col("event_type") == "view", F.lit("ok"))
+            .otherwise(F.when(F.col("user_id") % 2 == 0, F.lit("ok")).otherwise(F.lit("gone")))
         )
         return self.table("events").select(
             F.col("user_id").cast("string").alias("listing_id"),
             F.col("ts").alias("probe_ts"),
             outcome.alias("outcome"),
-        ).where("outcome IS NOT NULL")
+        )
 
     def marks(self) -> DataFrame:
         """Clicks as applied marks on the order of the same number."""

@@ -68,9 +68,9 @@ def _(d):
     return counted.select("name", text.slug(F.col("name")).alias("slug"), "n")
 
 
-@query("prj4_search_text", BOARD + "SELECT id, hay FROM board WHERE remote")
+@query("prj4_search_text", BOARD + "SELECT id, hay FROM board")
 def _(d):
-    return d.board("role", "places").where("remote").select("id", "hay")
+    return d.board("role", "places").select("id", "hay")
 
 
 @query(
@@ -231,6 +231,45 @@ def _(d):
     return counts.facet_counts(d.board("role", "places", "clearance"), SEARCH, LST_AS_OF, CATEGORIES)
 
 
+_HIDDEN = "NOT EXISTS (SELECT 1 FROM mark WHERE user_id = 8 AND listing_id = board.id)"
+
+
+def _applied(d):
+    return d.marks().where("user_id = 8").select("listing_id")
+
+
+@query(
+    "agg1_tab_counts_hidden",
+    with_(LISTINGS, MARKS) + _tabs(f"{_PASSES} AND slug IN ('1-urgent', '5-low') AND {_HIDDEN}"),
+)
+def _(d):
+    board = d.board("role", "places", "clearance")
+    return counts.tab_counts(board, SEARCH, LST_AS_OF, _applied(d))
+
+
+@query(
+    "agg2_facet_counts_hidden",
+    with_(LISTINGS, MARKS) + f"""SELECT category, slug,
+      count(*) FILTER (WHERE type = 'newgrad' AND {_PASSES} AND {_HIDDEN}) AS n,
+      CAST(list_position({lst(CATEGORIES)}, category) AS INTEGER) AS ordinal
+      FROM board GROUP BY category, slug""",
+)
+def _(d):
+    board = d.board("role", "places", "clearance")
+    return counts.facet_counts(board, SEARCH, LST_AS_OF, CATEGORIES, _applied(d))
+
+
+@query(
+    "agg4_other_tab_hint_hidden",
+    with_(LISTINGS, MARKS) + f"""SELECT CASE type WHEN 'intern' THEN 'newgrad' ELSE type END AS type,
+      count(*) AS n FROM board WHERE {_NARROW} AND slug = '1-urgent' AND {_HIDDEN} GROUP BY 1""",
+)
+def _(d):
+    moved = F.expr("CASE WHEN type = 'intern' AND slug = '1-urgent' THEN 'newgrad' ELSE type END")
+    board = d.board("role", "places").withColumn("type", moved)
+    return counts.other_tab_hint(board, NARROW, LST_AS_OF, _applied(d))
+
+
 @query(
     "agg3_shown_of_total",
     BOARD + f"""SELECT count(*) FILTER (WHERE {_PASSES} AND slug IN ('1-urgent', '5-low')) AS shown,
@@ -242,13 +281,13 @@ def _(d):
 
 @query(
     "agg4_other_tab_hint",
-    BOARD + f"""SELECT type, count(*) AS n FROM board WHERE NOT (type = 'intern' AND slug = '1-urgent')
-      AND {_NARROW} AND slug = '1-urgent' GROUP BY type""",
+    BOARD + f"""SELECT CASE type WHEN 'intern' THEN 'newgrad' ELSE type END AS type, count(*) AS n
+      FROM board WHERE {_NARROW} AND slug = '1-urgent' GROUP BY 1""",
 )
 def _(d):
-    """The active tab's rows of the one category asked for are left out of the data."""
-    board = d.board("role", "places").where("NOT (type = 'intern' AND slug = '1-urgent')")
-    return counts.other_tab_hint(board, NARROW, LST_AS_OF)
+    """The active tab's rows of the one category asked for sit in another tab."""
+    moved = F.expr("CASE WHEN type = 'intern' AND slug = '1-urgent' THEN 'newgrad' ELSE type END")
+    return counts.other_tab_hint(d.board("role", "places").withColumn("type", moved), NARROW, LST_AS_OF)
 
 
 @query(
@@ -413,8 +452,11 @@ def _(d):
         AND p.board_key = e.board_key AND p.n % 10 <> 3)""",
 )
 def _(d):
-    """Boards of every tenth employer land nothing."""
-    landed = d.postings().where("NOT endswith(company, '3')")
+    """Every tenth employer's postings land under a board that is not configured."""
+    old = F.concat("board_key", F.lit("-old"))
+    landed = d.postings().withColumn(
+        "board_key", F.when(F.endswith("company", F.lit("3")), old).otherwise(F.col("board_key"))
+    )
     return joins.silent_boards(d.employers(), landed).select("platform", "board_key", "name")
 
 
@@ -443,9 +485,9 @@ def _(d):
 # --- windows ----------------------------------------------------------------------------
 
 
-def _repeat_sql(partition: str, order: str, same: str, where: str = "TRUE") -> str:
+def _repeat_sql(partition: str, order: str, same: str) -> str:
     return BOARD + f"""SELECT id, coalesce({same}, FALSE) AS is_repeat FROM (SELECT *,
-      lag(company) OVER w AS p_company, lag(date_added) OVER w AS p_date FROM board WHERE {where}
+      lag(company) OVER w AS p_company, lag(date_added) OVER w AS p_date FROM board
       WINDOW w AS (PARTITION BY {partition} ORDER BY {order}))"""
 
 
@@ -464,11 +506,11 @@ def _(d):
     "win1_company_repeats",
     _repeat_sql(
         "type", "lower(strip_accents(company)), date_added DESC, company, id",
-        "p_company = company", "NOT closed",
+        "p_company = company",
     ),
 )
 def _(d):
-    return repeats.company_a_to_z(d.board().where("NOT closed")).select("id", "is_repeat")
+    return repeats.company_a_to_z(d.board()).select("id", "is_repeat")
 
 
 @query(

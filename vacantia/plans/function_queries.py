@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from vacantia.functions import text, urls
 from vacantia.plans.catalog import query
 from vacantia.plans.oracle import fold, word_text
-from vacantia.session import spread
 
 
 @query(
@@ -17,7 +16,7 @@ from vacantia.session import spread
       FROM documents)""",
 )
 def _(d):
-    docs = spread(d.table("documents").select("doc_id", "text"))
+    docs = d.table("documents")
     ws = docs.select("doc_id", text.words(F.col("text")).alias("w"))
     return ws.select(
         "doc_id", F.size("w").cast("long").alias("n"), F.md5(F.array_join("w", " ")).alias("words")
@@ -29,7 +28,7 @@ def _(d):
     f"SELECT conv_id, turn, md5({word_text('text')}) AS words FROM conversations",
 )
 def _(d):
-    turns = spread(d.table("conversations").select("conv_id", "turn", "text"))
+    turns = d.table("conversations")
     return turns.select("conv_id", "turn", F.md5(text.word_text(F.col("text"))).alias("words"))
 
 

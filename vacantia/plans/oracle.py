@@ -112,11 +112,12 @@ posting AS (
 TITLES = f"""
 raw_title AS (
   SELECT p_partkey AS posting_id,
-    trim(regexp_replace(concat_ws(' ', {pick(b.LEADS, 'p_size')}, {pick(b.PRODUCTS, 'p_partkey')},
+    CASE WHEN p_partkey % 2 = 1 THEN p_name || ' ' ELSE '' END ||
+      trim(regexp_replace(concat_ws(' ', {pick(b.LEADS, 'p_size')}, {pick(b.PRODUCTS, 'p_partkey')},
       {pick(b.NOUNS, 'p_partkey // 17')}, {pick(b.LEVELS, 'p_partkey // 7 + p_size')}),
       ' +', ' ', 'g')) AS title,
     {pick(b.PLACES, 'p_partkey + p_size')} AS location,
-    {pick(b.DEMANDS, 'p_partkey // 17 + p_size')} AS description,
+    p_name || chr(10) || {pick(b.DEMANDS, 'p_partkey // 17 + p_size')} AS description,
     p_partkey % 4 = 0 AS sec_co
   FROM part),
 title AS (
@@ -157,12 +158,12 @@ gap AS (
 CHECKS = """
 checked AS (
   SELECT CAST(user_id AS VARCHAR) AS listing_id, ts,
-    CASE event_type WHEN 'error' THEN 'gone' WHEN 'signup' THEN 'soft_gone' WHEN 'view' THEN 'ok'
-    END AS outcome
+    CASE WHEN event_type = 'error' THEN 'gone' WHEN event_type = 'signup' THEN 'soft_gone'
+      WHEN user_id % 2 = 0 THEN 'ok' ELSE 'gone' END AS outcome
   FROM events),
 probe AS (
   SELECT listing_id, CAST(ts AS DATE) AS probe_date, max_by(outcome, (ts, outcome)) AS outcome
-  FROM checked WHERE outcome IS NOT NULL GROUP BY 1, 2),
+  FROM checked GROUP BY 1, 2),
 run0 AS (
   SELECT *, sum(CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END)
     OVER (PARTITION BY listing_id ORDER BY probe_date) AS island FROM probe),

@@ -46,13 +46,13 @@ def _scraped(d):
     + """SELECT platform || '/' || board_key || '/' || posting_id AS id, name AS company, type, category,
       replace(kept, ';', '; ') AS location, 'board' AS source FROM kept WHERE posting_id % 4 <> 1
       UNION ALL SELECT 'issue/' || doc_id, source, 'intern', 'Security Engineering', 'Remote (US)', 'community'
-      FROM documents WHERE doc_id % 3 = 0""",
+      FROM documents""",
 )
 def _(d):
     scraped = _scraped(d)
     key = F.substring_index("id", "/", -1).cast("long")
     stored = scraped.where(key % 4 == 1)
-    community = d.table("documents").where("doc_id % 3 = 0").select(
+    community = d.table("documents").select(
         F.concat(F.lit("issue/"), F.col("doc_id").cast("string")).alias("id"),
         F.col("source").alias("company"), F.lit("intern").alias("type"),
         F.lit("Security Engineering").alias("category"), F.lit("Remote (US)").alias("location"),

@@ -13,7 +13,7 @@ from vacantia.plans.oracle import TEXTS, TITLES, fold, q, with_
 from vacantia.rules import classify as cls
 from vacantia.rules import experience, hits, level, rejects, roles, usplaces
 from vacantia.rules import lexicon as lex
-from vacantia.session import fixed_table, spread
+from vacantia.session import fixed_table, stored
 
 TTL = with_(TITLES)
 
@@ -272,24 +272,27 @@ _HIT = " UNION ALL ".join(
 )
 def _(d):
     rules = fixed_table(d.spark, RULES, "rule, phrase")
-    return hits.rule_hits(spread(d.table("documents").select("doc_id", "text")), rules)
+    return hits.rule_hits(d.table("documents").select("doc_id", "text"), rules)
 
 
 def _runs(d):
-    """Verdicts of all titles, and of a run that lost some, gained others and moved a season."""
+    """Two stored runs over all titles: some under another id in one of them, some judged anew."""
     judged = cls.classify(d.titles(), TTL_AS_OF)
-    parts = judged.select("posting_id", "title", "verdict", "type", "category")
-    before = parts.where("posting_id % 11 <> 0")
+    parts = stored(judged.select("posting_id", "title", "verdict", "type", "category"), "run")
+    key = F.col("posting_id")
+    before = parts.withColumn("posting_id", F.when(key % 11 == 0, -key).otherwise(key))
     kind = F.when(F.col("posting_id") % 5 == 0, F.lit("newgrad")).otherwise(F.col("type"))
     flipped = F.when(F.col("posting_id") % 7 == 0, F.lit("in")).otherwise(F.col("verdict"))
-    after = parts.where("posting_id % 13 <> 0").withColumns({"type": kind, "verdict": flipped})
+    own = F.when(key % 13 == 0, -key).otherwise(key)
+    after = parts.withColumns({"type": kind, "verdict": flipped, "posting_id": own})
     return before, after
 
 
-_RUNS = """old AS (SELECT posting_id, title, verdict, type, category FROM verdicts WHERE posting_id % 11 <> 0),
-  new AS (SELECT posting_id, title, CASE WHEN posting_id % 7 = 0 THEN 'in' ELSE verdict END AS verdict,
+_RUNS = """old AS (SELECT CASE WHEN posting_id % 11 = 0 THEN -posting_id ELSE posting_id END AS posting_id,
+    title, verdict, type, category FROM verdicts),
+  new AS (SELECT CASE WHEN posting_id % 13 = 0 THEN -posting_id ELSE posting_id END AS posting_id, title, CASE WHEN posting_id % 7 = 0 THEN 'in' ELSE verdict END AS verdict,
     CASE WHEN posting_id % 5 = 0 THEN 'newgrad' ELSE type END AS type, category
-    FROM verdicts WHERE posting_id % 13 <> 0)"""
+    FROM verdicts)"""
 _MOVE = """CASE WHEN o.{0} IS NULL THEN 'added' WHEN n.{0} IS NULL THEN 'removed'
     WHEN o.verdict <> n.verdict THEN o.verdict || '->' || n.verdict
     WHEN o.type IS DISTINCT FROM n.type THEN 'type' ELSE 'category' END"""
@@ -315,7 +318,8 @@ def _(d):
 
 _CORPUS = """corpus AS (SELECT title, max(verdict) AS verdict, max(type) AS type,
     max(category) AS category FROM verdicts GROUP BY title),
-  oldc AS (SELECT * FROM corpus WHERE length(title) % 9 <> 0),
+  oldc AS (SELECT * REPLACE (CASE WHEN length(title) % 9 = 0 THEN title || ' (old)' ELSE title END AS title)
+    FROM corpus),
   newc AS (SELECT title, CASE WHEN length(title) % 10 = 3 THEN 'in' ELSE verdict END AS verdict, type,
     CASE WHEN length(title) % 10 = 4 THEN NULL ELSE category END AS category FROM corpus)"""
 
@@ -327,16 +331,19 @@ _CORPUS = """corpus AS (SELECT title, max(verdict) AS verdict, max(type) AS type
       FROM oldc o FULL JOIN newc n ON o.title = n.title WHERE {_CHANGED.format('title')}""",
 )
 def _(d):
+    """Two stored runs over all titles; in the earlier one some read otherwise."""
     judged = cls.classify(d.titles(), TTL_AS_OF)
     corpus = judged.groupBy("title").agg(
         F.max("verdict").alias("verdict"), F.max("type").alias("type"),
         F.max("category").alias("category"),
     )
-    size = F.length("title")
+    corpus = stored(corpus, "corpus")
+    size, title = F.length("title"), F.col("title")
+    earlier = F.when(size % 9 == 0, F.concat(title, F.lit(" (old)"))).otherwise(title)
     later = corpus.withColumns(
         {
             "verdict": F.when(size % 10 == 3, F.lit("in")).otherwise(F.col("verdict")),
             "category": F.when(size % 10 != 4, F.col("category")),
         }
     )
-    return sets.run_diff(corpus.where(size % 9 != 0), later, "title").select("title", "move")
+    return sets.run_diff(corpus.withColumn("title", earlier), later, "title").select("title", "move")

@@ -35,12 +35,12 @@ def _sides(d):
     """Listings read before a day, and those read from it on."""
     ids = d.scans().select(F.col("listing_id").alias("id"), "day", "board")
     stored = ids.where(F.col("day") < CUT).select("id").distinct()
-    scan = ids.where(F.col("day") >= "2024-01-29").select("id", "board").distinct()
+    scan = ids.where(F.col("day") >= CUT).select("id", "board").distinct()
     return scan, stored
 
 
 _SIDES = f"""stored AS (SELECT DISTINCT listing_id AS id FROM scan WHERE day < DATE '{CUT}'),
-  fresh AS (SELECT DISTINCT listing_id AS id, board FROM scan WHERE day >= DATE '2024-01-29')"""
+  fresh AS (SELECT DISTINCT listing_id AS id, board FROM scan WHERE day >= DATE '{CUT}')"""
 
 
 @query(
@@ -56,13 +56,12 @@ def _(d):
 
 @query(
     "set2_new_rows",
-    with_(SCANS) + """SELECT DISTINCT listing_id AS id, board FROM scan WHERE user_id % 2 = 0
-      AND day >= DATE '2024-01-03' AND listing_id NOT IN
+    with_(SCANS) + """SELECT DISTINCT listing_id AS id, board FROM scan WHERE day >= DATE '2024-01-03' AND listing_id NOT IN
       (SELECT listing_id FROM scan WHERE day < DATE '2024-01-03')""",
 )
 def _(d):
-    rows = d.scans().select(F.col("listing_id").alias("id"), "day", "board", "user_id")
-    scan = rows.where("day >= '2024-01-03' AND user_id % 2 = 0").select("id", "board").distinct()
+    rows = d.scans().select(F.col("listing_id").alias("id"), "day", "board")
+    scan = rows.where("day >= '2024-01-03'").select("id", "board").distinct()
     return sets.new_rows(scan, rows.where("day < '2024-01-03'"))
 
 
@@ -197,23 +196,24 @@ def _(d):
 @query(
     "str10_daily_new",
     LOG + """SELECT CAST(least(CAST(f AS DATE), DATE '2024-01-10') AS VARCHAR) AS day, count(*) AS n
-      FROM (SELECT listing_id, min(ts) AS f FROM scan WHERE value > 20 GROUP BY listing_id) GROUP BY 1""",
+      FROM (SELECT listing_id, min(ts) AS f FROM scan GROUP BY listing_id) GROUP BY 1""",
 )
 def _(d):
     """As of a day inside the log, so that rows dated ahead occur."""
-    return _iso(lifecycle.daily_new(d.scans().where("value > 20"), "2024-01-10"), "day")
+    return _iso(lifecycle.daily_new(d.scans(), "2024-01-10"), "day")
 
 
-_YIELD = """yield AS (SELECT board AS board_key, day AS scan_date, count(*) AS n,
-    count(*) FILTER (WHERE value > 20) AS kept FROM scan GROUP BY ALL)"""
+_YIELD = """yield AS (SELECT board AS board_key, day AS scan_date, count(*) FILTER (WHERE scan_ok) AS n,
+    count(*) FILTER (WHERE scan_ok AND value > 20) AS kept FROM scan GROUP BY ALL)"""
 
 
 def _yields(d):
+    """A failed scan lands nothing."""
     rows = d.scans().select(
-        F.col("board").alias("board_key"), F.col("day").alias("scan_date"),
+        F.col("board").alias("board_key"), F.col("day").alias("scan_date"), "scan_ok",
         (F.col("value") > 20).alias("kept"),
     )
-    return counts.board_yield(rows)
+    return counts.board_yield(rows.where("scan_ok"), rows)
 
 
 @query(

@@ -355,8 +355,7 @@ def _(d):
 def _published(d):
     """What a faulty run would have printed: rows dropped, printed twice, marked wrongly."""
     key = F.col("id").cast("long")
-    open_rows = d.listings("role").where("NOT closed")
-    rows = repeats.published(open_rows)
+    rows = repeats.published(d.listings("role"))
     printed = rows.where(key % 50 != 7).unionByName(rows.where(key % 50 == 9))
     wrong = F.when(key % 41 == 3, ~F.col("is_repeat")).otherwise(F.col("is_repeat"))
     return printed.withColumn("is_repeat", wrong)
@@ -364,15 +363,16 @@ def _published(d):
 
 @query(
     "qlt1_reconcile",
-    BOARD + """, o AS (SELECT *, coalesce(lag(company) OVER w = company AND lag(date_added) OVER w
-        = date_added, FALSE) AS rep FROM listing WHERE NOT closed
-        WINDOW w AS (PARTITION BY type ORDER BY date_added DESC, company, id))
-      SELECT issue, count(*) AS n FROM (SELECT CASE WHEN k % 50 = 7 THEN 'missing row'
-        WHEN k % 50 = 9 THEN 'extra row' WHEN k % 41 = 3 THEN 'repeat marker' END AS issue FROM o)
+    BOARD + """, o AS (SELECT CASE WHEN closed THEN concat_ws('/', type, company, role) ELSE url END AS key,
+        closed, CASE k % 50 WHEN 7 THEN -1 WHEN 9 THEN 1 ELSE 0 END AS step,
+        NOT closed AND k % 41 = 3 AS wrong FROM listing),
+      p AS (SELECT key, closed, sum(step) AS balance, bool_or(wrong) AS wrong FROM o GROUP BY ALL)
+      SELECT issue, count(*) AS n FROM (SELECT CASE WHEN balance < 0 THEN 'missing row'
+        WHEN balance > 0 THEN 'extra row' WHEN wrong THEN 'repeat marker' END AS issue FROM p)
       WHERE issue IS NOT NULL GROUP BY issue""",
 )
 def _(d):
-    return quality.reconcile(_published(d), d.listings("role").where("NOT closed"))
+    return quality.reconcile(_published(d), d.listings("role"))
 
 
 _BROKEN = """bad AS (SELECT CASE WHEN k % 29 = 28 THEN CAST(k - 28 AS VARCHAR) ELSE id END AS id,

@@ -50,14 +50,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(base, "vacantia", f"{label}-{uuid.uuid4().hex}")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Rows of a scan dealt out to all cores, if its files make fewer splits than that.
-
-    For work that costs much more than reading, such as patterns over long texts. A table
-    of many files is returned as it is.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder and read back, for what is read more than once."""
+    path = shared_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def _literal(value: object) -> str:
