@@ -1,62 +1,85 @@
-"""Streams over files that land one after the other."""
+"""Streams over files that land one after the other, in several runs on one checkpoint."""
 
 import datetime
 
 from pyspark.sql import functions as F
 
-from vacantia.streaming import ingest, run, state
+from vacantia.operators import lifecycle
+from vacantia.streaming import ingest, run
 
 START = datetime.date(2026, 1, 1)
+SCHEMA = "event_id long, listing_id string, board string, day date, hour int, scan_ok boolean"
 
 
 def day(n):
     return START + datetime.timedelta(days=n)
 
 
-def land(spark, path, rows, schema):
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+def land(spark, path, rows):
+    """Rows of (listing, day, scan_ok) as one more file of the log."""
+    made = [(i, k, "b0", day(n), i % 24, ok) for i, (k, n, ok) in enumerate(rows)]
+    spark.createDataFrame(made, SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_ingest_drops_duplicates_across_files(spark, tmp_path):
-    path = str(tmp_path / "scans")
-    schema = "event_id long, listing_id string, board string, day date, hour int, scan_ok boolean"
-    land(spark, path, [(i, "a", "b0", day(0), i, True) for i in range(20)], schema)
-    land(spark, path, [(50, "a", "b0", day(0), 23, True), (51, "a", "b0", day(1), 1, True),
-                       (52, "b", "b0", day(1), 2, True), (53, "c", "b0", day(1), 2, False)], schema)
-    landed = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1)
-    stream = landed.parquet(path).withColumn(
-        "ts", F.col("day").cast("timestamp") + F.make_dt_interval(hours=F.col("hour"))
-    )
-    got = spark.read.parquet(run.append_to_table(ingest.ingest_scans(stream), "t-sightings"))
-    assert sorted((r["listing_id"], r["day"]) for r in got.collect()) == [
-        ("a", day(0)), ("a", day(1)), ("b", day(1)),
-    ]
+def timed(frame):
+    return frame.withColumn("ts", F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hour")))
+
+
+#: Files in the order they land: days out of order, repeated rows, a failed scan, days long gone.
+FILES = [
+    [("a", 20, True)] * 20 + [("b", 20, True)],
+    [("a", 20, True), ("a", 21, True), ("c", 21, False)],
+    [("late", 1, True), ("a", 2, True), ("b", 3, True), ("d", 10, True)],
+    [("a", 21, True), ("b", 29, True), ("c", 30, True)],
+]
+
 
+def run_streams(spark, log, tables):
+    stream = timed(run.read_landed(spark, log, spark.read.parquet(log).schema, files=1))
+    for name, into in (("seen", ingest.ingest_scans), ("days", ingest.ingest_scan_days),
+                       ("first", ingest.ingest_first_seen)):
+        into(stream, f"{tables}/{name}", f"{tables}/{name}-progress")
 
-def test_absence_over_several_batches(spark, tmp_path):
-    """A listing closes by its timer, comes back in a later file and closes again."""
-    path = str(tmp_path / "seen")
-    schema = "listing_id string, day date, grace int"
-    for batch in ([("a", 0), ("b", 0)], [("b", 2)], [("b", 4)], [("b", 6), ("a", 6)], [("b", 8)], [("b", 12)]):
-        land(spark, path, [(k, day(d), 3) for k, d in batch], schema)
-    table = spark.read.parquet(path)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = spark.read.parquet(run.append_to_table(state.close_absent(stream), "t-changes")).collect()
-    assert sorted(tuple(r) for r in got) == [
-        ("a", "closed", day(3)), ("a", "closed", day(9)), ("a", "reopened", day(6)),
-        ("b", "closed", day(11)), ("b", "reopened", day(12)),
+
+def results(spark, seen, days, first):
+    none = spark.createDataFrame([], "board string, grace int")
+    gaps = lifecycle.gaps(seen, days, day(40).isoformat(), none)
+    return [
+        sorted(tuple(r) for r in frame.collect())
+        for frame in (seen.select("listing_id", "board", "day"), days.select("board", "day"), first,
+                      lifecycle.close_absent(gaps), lifecycle.reopen(gaps),
+                      lifecycle.new_per_day(first, day(25).isoformat()))
     ]
 
 
-def test_first_seen_is_emitted_once(spark, tmp_path):
-    path = str(tmp_path / "seen")
-    for batch in ([("a", 1), ("a", 0)], [("a", 2), ("b", 2)], [("b", 3)]):
-        land(spark, path, [(k, day(d)) for k, d in batch], "listing_id string, day date")
-    table = spark.read.parquet(path)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    first = run.append_to_table(state.first_seen(stream), "t-first")
-    got = spark.read.parquet(first).collect()
-    assert sorted(tuple(r) for r in got) == [("a", day(0)), ("b", day(2))]
-    daily = ingest.daily_new(run.read_landed(spark, first, state.FIRST), day(1).isoformat())
-    counted = run.complete_to_view(daily, "t_daily").collect()
-    assert sorted(tuple(r) for r in counted) == [(day(0), 1), (day(1), 1)]
+def test_streams_equal_batch_over_two_runs(spark, tmp_path):
+    log, tables = str(tmp_path / "log"), str(tmp_path / "tables")
+    for i, rows in enumerate(FILES):
+        land(spark, log, rows)
+        if i in (1, 3):
+            run_streams(spark, log, tables)
+    run_streams(spark, log, tables)
+    whole = timed(spark.read.parquet(log))
+    want = results(
+        spark, lifecycle.sightings(whole), whole.where("scan_ok").select("board", "day").distinct(),
+        lifecycle.first_seen(whole),
+    )
+    got = results(
+        spark, ingest.sightings(spark, f"{tables}/seen"), ingest.scan_days(spark, f"{tables}/days"),
+        ingest.first_seen(spark, f"{tables}/first"),
+    )
+    assert got == want
+    assert ("late", "b0", day(1)) in got[0] and len(got[0]) == 9
+    assert ("a", day(29)) in got[3] and ("a", day(10), day(20)) in got[4]
+
+
+def test_a_batch_run_again_replaces_its_rows(spark, tmp_path):
+    log, path = str(tmp_path / "log"), str(tmp_path / "seen")
+    for rows in FILES:
+        land(spark, log, rows)
+    stream = timed(run.read_landed(spark, log, spark.read.parquet(log).schema, files=1))
+    ingest.ingest_scans(stream, path, str(tmp_path / "one"))
+    once = sorted(map(tuple, ingest.sightings(spark, path).collect()))
+    # A lost checkpoint: every batch is handed over again.
+    ingest.ingest_scans(stream, path, str(tmp_path / "two"))
+    assert sorted(map(tuple, ingest.sightings(spark, path).collect())) == once

@@ -222,6 +222,10 @@ def resolve_lifecycle(listings: DataFrame, closers: dict[str, DataFrame]) -> Dat
 
 def daily_new(log: DataFrame, as_of: str) -> DataFrame:
     """New rows per UTC day; rows dated ahead count under the as-of day."""
-    seen = first_seen(log)
+    return new_per_day(first_seen(log), as_of)
+
+
+def new_per_day(first: DataFrame, as_of: str) -> DataFrame:
+    """Listings per UTC day of their ``first_ts``."""
     day = F.least(F.to_date("first_ts"), dates.day(as_of))
-    return seen.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return first.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))

@@ -82,9 +82,16 @@ def trusted_links(postings: DataFrame, employers: DataFrame, vendor_domains: Dat
     one row per platform: the domain and the address the job's id is appended to.
     """
     hosts = employers.select("platform", "board_key", "apply_hosts")
-    joined = postings.join(hosts, ["platform", "board_key"], "left").join(
-        vendor_domains, "platform", "left"
-    )
+    joined = postings.join(hosts, ["platform", "board_key"], "left")
+    return safe_links(joined, vendor_domains).drop("apply_hosts")
+
+
+def safe_links(postings: DataFrame, vendor_domains: DataFrame) -> DataFrame:
+    """``trusted`` and ``link`` of postings that carry their board's ``apply_hosts``.
+
+    A platform without a row in ``vendor_domains`` has no page to fall back to: its links stay.
+    """
+    joined = postings.join(vendor_domains, "platform", "left")
     host = urls.host(F.col("url"))
     on_vendor = (host == F.col("domain")) | F.endswith(
         host, F.concat(F.lit("."), F.col("domain"))
@@ -93,5 +100,8 @@ def trusted_links(postings: DataFrame, employers: DataFrame, vendor_domains: Dat
     trusted = F.coalesce(on_vendor, F.lit(False)) | F.coalesce(listed, F.lit(False))
     fallback = F.concat_ws("/", F.col("job_page"), F.col("board_key"), F.col("posting_id"))
     return joined.withColumns(
-        {"trusted": trusted, "link": F.when(trusted, F.col("url")).otherwise(fallback)}
-    ).drop("apply_hosts", "domain", "job_page")
+        {
+            "trusted": trusted,
+            "link": F.when(trusted | F.col("job_page").isNull(), F.col("url")).otherwise(fallback),
+        }
+    ).drop("domain", "job_page")

@@ -83,11 +83,10 @@ def write_alerts(new: DataFrame, path: str) -> None:
 
 
 def _escape(text: Column) -> Column:
-    return F.replace(
-        F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-        F.lit(">"),
-        F.lit("&gt;"),
-    )
+    """Text for a cell: markup as entities, a pipe behind a backslash."""
+    for char, spelled in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("|", "\\|")):
+        text = F.replace(text, F.lit(char), F.lit(spelled))
+    return text
 
 
 def _short(date: Column) -> Column:
@@ -108,12 +107,13 @@ def published_lines(listings: DataFrame) -> DataFrame:
         F.when(F.col("clearance"), F.lit(" 🇺🇸")).otherwise(F.lit("")),
         F.lit("<br><sub>"), _escape(F.col("category")), F.lit("</sub>"),
     )
+    spots = F.transform("locations", _escape)
     many = F.concat(
         F.lit("<details><summary>**"), F.size("locations").cast("string"),
-        F.lit(" locations**</summary>"), F.array_join("locations", "<br>"), F.lit("</details>"),
+        F.lit(" locations**</summary>"), F.array_join(spots, "<br>"), F.lit("</details>"),
     )
     place = F.when(F.size("locations") > 1, many).otherwise(
-        F.coalesce(F.get("locations", F.lit(0)), F.lit("United States"))
+        F.coalesce(F.get(spots, F.lit(0)), F.lit("United States"))
     )
     link = F.concat(F.lit('<a href="'), F.col("url"), F.lit('">Apply</a>'))
     open_row = F.concat_ws(" | ", name, title, link, place, _short(F.col("date_added")))

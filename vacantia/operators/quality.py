@@ -76,6 +76,25 @@ def reconcile(published: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
+def out_of_order(published: DataFrame) -> DataFrame:
+    """Rows printed below an older one, per table (type, closed).
+
+    Rows are known by their place (folder, file, split, at), as ``read_published`` gives them. Neighbours
+    are compared within an input split, and each split's first row with the last row of those before.
+    """
+    day = F.when(F.col("closed"), F.col("closed_date")).otherwise(F.col("date_added"))
+    rows = published.select("type", "closed", "folder", "file", "split", "at", day.alias("day"))
+    table, split = ["type", "closed", "folder"], ["type", "closed", "folder", "file", "split"]
+    above = F.lag("day").over(Window.partitionBy(*split).orderBy("at"))
+    within = rows.withColumn("above", above).groupBy(*split).agg(
+        F.count_if(F.col("day") > F.col("above")).alias("n"),
+        F.min_by("day", "at").alias("first"), F.max_by("day", "at").alias("last"),
+    )
+    before = F.lag("last").over(Window.partitionBy(*table).orderBy("file", "split"))
+    seams = within.withColumn("seam", F.coalesce((F.col("first") > before).cast("int"), F.lit(0)))
+    return seams.groupBy("type", "closed").agg(F.sum(F.col("n") + F.col("seam")).alias("n"))
+
+
 def board_health(yields: DataFrame, scans: int = 7, floor: float = 0.5) -> DataFrame:
     """Scans that kept nothing, or far less than the board's own recent average.
 

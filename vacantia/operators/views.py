@@ -71,17 +71,28 @@ def group_views(views: DataFrame) -> DataFrame:
     return views.groupBy(canonical_view().alias("view")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def distinct_searches(views: DataFrame) -> DataFrame:
-    """One row per search, however many people saved it; the display order plays no part."""
-    keyed = views.withColumn("cat", F.array_sort(F.array_distinct("cat"))).withColumn(
+_SEARCH = ["type", "needles", "cat", "state", "days", "noclear", "closed"]
+
+
+def _searches(views: DataFrame) -> DataFrame:
+    return views.withColumn("cat", F.array_sort(F.array_distinct("cat"))).withColumn(
         "needles", F.array_sort(F.array_distinct(text.words(F.col("q"))))
     )
-    parts = ["type", "needles", "cat", "state", "days", "noclear", "closed"]
-    return keyed.groupBy(*parts).agg(
+
+
+def distinct_searches(views: DataFrame) -> DataFrame:
+    """One row per search, however many people saved it; the display order plays no part."""
+    return _searches(views).groupBy(*_SEARCH).agg(
         F.min("view_id").alias("search_id"), F.count(F.lit(1)).alias("saved")
     )
 
 
+def view_searches(views: DataFrame) -> DataFrame:
+    """(view_id, search_id) of every stored view: the search whose matches are the view's."""
+    ids = distinct_searches(views).select(*_SEARCH, "search_id")
+    return _searches(views).join(ids, _SEARCH).select("view_id", "search_id")
+
+
 def _anchors() -> Column:
     """The join keys of one search: the rarest kind of filter it has.
 
@@ -111,15 +122,21 @@ def _listing_keys() -> Column:
     return F.array_distinct(F.concat(own, states, remote, starts))
 
 
-def saved_search_matches(views: DataFrame, listings: DataFrame, salts: int = 16) -> DataFrame:
-    """For each saved search every listing it shows.
+def saved_search_matches(
+    views: DataFrame, listings: DataFrame, salts: int | None = None
+) -> DataFrame:
+    """For each saved search every listing it shows; ``view_searches`` names each view's search.
 
     The predicate is not an equality, but each search has a part that is: it is joined
     on its type and one anchor, then the whole predicate is tested on the candidates.
     A search has anchors of one kind only and a listing holds each key once, so no pair
     comes out twice. Listings of a common key are spread over ``salts`` slices, against
-    which the searches, already one row per distinct search, are repeated.
+    which the searches, already one row per distinct search, are repeated; without a number,
+    an eighth of the configured shuffle partitions. A search without a filter shows every
+    open listing of its type.
     """
+    if salts is None:
+        salts = max(1, int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     searches = distinct_searches(views).select(
         "search_id", F.col("type").alias("v_type"), "needles",
         F.col("cat").alias("v_cat"), F.col("state").alias("v_state"),

@@ -42,7 +42,7 @@ NOUNS = [
 LEVELS = [
     "", "I", "II", "III", "II / III", "- Summer 2027", "(Level 2 or 3)", "New Grad 2027",
     "Internship - Summer 2025", "(Associate or Mid-Level)", "- Azure", "Residency 2024", "- UK",
-    "Tier 1-3",
+    "Tier 1-3", "- Costa Rica", "- New Mexico", "$18.50/hr", "- 24 hr Operations",
 ]
 PLACES = [
     "Arlington, VA", "Arlington, Virginia", "Arlington VA", "Washington, D.C.", "Hamburg, NY",
@@ -60,7 +60,9 @@ DEMANDS = [
     "This is an entry-level role, no prior experience.", "Open to recent graduates.",
     "3+ years of protocols, threats, and response.",
     "Bachelor's Degree with 4 years. Doctoral Degree with 1 year.", "Send us a letter.",
-    "No experience required; 3 years a bonus.",
+    "No experience required; 3 years a bonus.", "Requires five years in a SOC, a degree preferred.",
+    "At least 21 years old and 6 years of networking.", "Ideally, 4 years of scripting.",
+    "2 years of Linux, 5 years of Go preferred.", "4 years of C, Rust, or Go preferred.",
 ]
 SECRETS = [
     "An active Secret clearance is required.", "No security clearance needed.",

@@ -106,7 +106,7 @@ def _(d):
 )
 def _(d):
     staged = _titles(d).withColumn("secure", roles.names_security(F.col("t")))
-    reason = rejects.reject_reason(F.col("t"), F.col("secure"))
+    reason = rejects.reject_reason(F.col("t"), F.col("secure"), F.col("title"))
     return staged.select("posting_id", "title", reason.alias("reason"))
 
 
@@ -175,7 +175,8 @@ def _(d):
     return d.titles().select("posting_id", "location", remote.alias("remote"))
 
 
-_ABROAD = f"({r.rx(' ' + lex.ABROAD_TITLE[0])} OR {r.rx(lex.ABROAD_TITLE[1])})"
+_HOME = f"replace(t, ' {lex.HOME_NAMES} ', ' ')"
+_ABROAD = f"({r.rx(' ' + lex.ABROAD_TITLE[0], _HOME)} OR {r.rx(lex.ABROAD_TITLE[1], _HOME)})"
 
 
 @query(

@@ -84,7 +84,7 @@ REJECT = first(
     hardware=f"({has(lex.HARDWARE)} OR ({has(lex.SILICON)} AND NOT secure))",
     placeholder=has(lex.PLACEHOLDER),
     closed_program=has(lex.CLOSED_PROGRAM),
-    plant_security=has(lex.PLANT),
+    plant_security=f"({has(lex.PLANT)} OR {rx(lex.PAY_RATE, 'title')})",
 )
 
 
@@ -137,11 +137,21 @@ def facts(source: str, key: str, text: str) -> str:
     def numbers(s: str, pattern: str) -> str:
         return f"list_transform(regexp_extract_all({s}, {q(pattern)}, 1), lambda n: CAST(n AS INTEGER))"
 
+    def required(s: str) -> str:
+        for word, number in exp.NUMBERS.items():
+            s = f"regexp_replace({s}, {q(chr(92) + 'b' + word + exp.WORD_TAIL)}, '{number}{chr(92)}1', 'g')"
+        clause = f"[^,()]*{exp.MARK}[^,()]*"
+        listed = f"[^,()]*[0-9][^,()]*(?:,[^,()0-9]*)*, *or [^,()0-9]*{exp.MARK}[^,()]*"
+        for pattern in (exp.AGE, exp.EMPLOYER, f"{listed}|{clause}"):
+            s = f"regexp_replace({s}, {q(pattern)}, ' ', 'g')"
+        return s
+
     return f"""
 low AS (SELECT {key}, lower(coalesce({text}, '')) AS low FROM {source}),
-asked AS (SELECT {key}, low, list_filter(regexp_split_to_array(low, {q(exp.SENTENCE)}), lambda s:
-  regexp_matches(s, {q(exp.YEARS)}) AND regexp_matches(s, '[0-9]')
-  AND NOT regexp_matches(s, {q(exp.OPTIONAL)}) AND NOT regexp_matches(s, {q(exp.EMPLOYER)})) AS ask FROM low),
+dated AS (SELECT {key}, low, list_filter(regexp_split_to_array(low, {q(exp.SENTENCE)}), lambda s:
+  regexp_matches(s, {q(exp.YEARS)}) AND NOT regexp_matches(s, {q(exp.HEADING)})) AS said FROM low),
+asked AS (SELECT {key}, low, list_filter(list_transform(said, lambda s: {required('s')}), lambda s:
+  regexp_matches(s, {q(exp.YEARS)}) AND regexp_matches(s, '[0-9]')) AS ask FROM dated),
 counted AS (SELECT {key}, low,
   flatten(list_transform(list_filter(ask, lambda s: NOT regexp_matches(s, {q(exp.DEGREE)})),
     lambda s: {numbers('s', exp.COUNT)})) AS plain,

@@ -14,6 +14,8 @@ LOG = with_(SCANS)
 LINKS = with_(CHECKS)
 AS_OF = f"DATE '{EVT_AS_OF}'"
 CUT = "2024-01-20"
+#: A day inside the log, so that rows dated ahead occur.
+NEW_AS_OF = "2024-01-10"
 
 
 def _gaps(d):
@@ -99,14 +101,14 @@ def _(d):
     return _iso(lifecycle.probe_streak(_probes(d)), "probe_date")
 
 
-_SPANS = """span AS (SELECT listing_id, min(day) AS first_seen, max(day) AS last_seen,
+SPANS = """span AS (SELECT listing_id, min(day) AS first_seen, max(day) AS last_seen,
     max(next_day) FILTER (WHERE closed_on IS NOT NULL) AS last_reopened,
     max(closed_on) FILTER (WHERE next_day IS NULL) AS closed_date FROM gap GROUP BY listing_id)"""
 
 
 @query(
     "win6_spans",
-    with_(SCANS, _SPANS) + """SELECT listing_id, CAST(first_seen AS VARCHAR) AS first_seen,
+    with_(SCANS, SPANS) + """SELECT listing_id, CAST(first_seen AS VARCHAR) AS first_seen,
       CAST(last_seen AS VARCHAR) AS last_seen, CAST(last_reopened AS VARCHAR) AS last_reopened,
       CAST(closed_date AS VARCHAR) AS closed_date FROM span""",
 )
@@ -126,14 +128,14 @@ def _(d):
 
 @query(
     "str3_close_absent",
-    with_(SCANS, _SPANS) + """SELECT listing_id, CAST(closed_date AS VARCHAR) AS closed_date
+    with_(SCANS, SPANS) + """SELECT listing_id, CAST(closed_date AS VARCHAR) AS closed_date
       FROM span WHERE closed_date IS NOT NULL""",
 )
 def _(d):
     return _iso(lifecycle.close_absent(_gaps(d)), "closed_date")
 
 
-_DEAD = """dead AS (SELECT listing_id, min(probe_date) AS closed_date FROM streak
+DEAD = """dead AS (SELECT listing_id, min(probe_date) AS closed_date FROM streak
     WHERE streak >= CASE WHEN soft > 0 THEN 3 ELSE 2 END
       AND NOT EXISTS (SELECT 1 FROM probe p WHERE p.listing_id = streak.listing_id
         AND p.outcome = 'ok' AND p.probe_date > streak.probe_date)
@@ -142,7 +144,7 @@ _DEAD = """dead AS (SELECT listing_id, min(probe_date) AS closed_date FROM strea
 
 @query(
     "str5_close_dead_links",
-    with_(CHECKS, _DEAD) + """SELECT listing_id, CAST(closed_date AS VARCHAR) AS closed_date
+    with_(CHECKS, DEAD) + """SELECT listing_id, CAST(closed_date AS VARCHAR) AS closed_date
       FROM dead WHERE CAST(listing_id AS BIGINT) % 3 <> 2""",
 )
 def _(d):
@@ -168,9 +170,20 @@ def _(d):
     return _iso(lifecycle.reopen(_gaps(d)), "closed_date", "reopened_date")
 
 
+def closers(d):
+    """Closings by reason; a listing of views has the checks of its user's link, one board is untracked."""
+    links = lifecycle.close_dead_links(_probes(d)).withColumn(
+        "listing_id", F.concat("listing_id", F.lit("-view"))
+    )
+    gone = d.scans().where("board = 'b7'").select("listing_id").distinct().select(
+        "listing_id", F.lit(EVT_AS_OF).cast("date").alias("closed_date")
+    )
+    return {"absent": lifecycle.close_absent(_gaps(d)), "link gone": links, "untracked": gone}
+
+
 @query(
     "str9_resolve_lifecycle",
-    with_(SCANS, _SPANS, CHECKS, _DEAD) + f""", claim AS (
+    with_(SCANS, SPANS, CHECKS, DEAD) + f""", claim AS (
         SELECT listing_id, closed_date, 0 AS rank, 'absent' AS reason FROM span
           WHERE closed_date IS NOT NULL
         UNION ALL SELECT listing_id || '-view', closed_date, 1, 'link gone' FROM dead
@@ -183,24 +196,16 @@ def _(d):
 )
 def _(d):
     rows = d.scans().select("listing_id", "board").distinct()
-    links = lifecycle.close_dead_links(_probes(d)).withColumn(
-        "listing_id", F.concat("listing_id", F.lit("-view"))
-    )
-    gone = rows.where("board = 'b7'").select(
-        "listing_id", F.lit(EVT_AS_OF).cast("date").alias("closed_date")
-    )
-    closers = {"absent": lifecycle.close_absent(_gaps(d)), "link gone": links, "untracked": gone}
-    return _iso(lifecycle.resolve_lifecycle(rows, closers), "closed_date")
+    return _iso(lifecycle.resolve_lifecycle(rows, closers(d)), "closed_date")
 
 
 @query(
     "str10_daily_new",
-    LOG + """SELECT CAST(least(CAST(f AS DATE), DATE '2024-01-10') AS VARCHAR) AS day, count(*) AS n
+    LOG + f"""SELECT CAST(least(CAST(f AS DATE), DATE '{NEW_AS_OF}') AS VARCHAR) AS day, count(*) AS n
       FROM (SELECT listing_id, min(ts) AS f FROM scan GROUP BY listing_id) GROUP BY 1""",
 )
 def _(d):
-    """As of a day inside the log, so that rows dated ahead occur."""
-    return _iso(lifecycle.daily_new(d.scans(), "2024-01-10"), "day")
+    return _iso(lifecycle.daily_new(d.scans(), NEW_AS_OF), "day")
 
 
 _YIELD = """yield AS (SELECT board AS board_key, day AS scan_date, count(*) FILTER (WHERE scan_ok) AS n,

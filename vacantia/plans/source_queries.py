@@ -349,6 +349,18 @@ def _(d):
     return views.saved_search_matches(_views(d), d.board("role", "places", "clearance"))
 
 
+@query(
+    "joi4_view_searches",
+    with_(SHARED) + """, v AS (SELECT view_id, type, list_sort(list_distinct(cat)) AS cat, state, days, noclear,
+      closed, list_sort(list_distinct(list_filter(regexp_split_to_array(strip_accents(lower(q)),
+        '[^a-z0-9+#]+'), lambda w: w <> ''))) AS needles FROM "view")
+      SELECT view_id, min(view_id) OVER (PARTITION BY type, cat, state, days, noclear, closed, needles)
+        AS search_id FROM v""",
+)
+def _(d):
+    return views.view_searches(_views(d))
+
+
 # --- checks of the output -----------------------------------------------------------------
 
 
@@ -375,6 +387,25 @@ def _(d):
     return quality.reconcile(_published(d), d.listings("role"))
 
 
+@query(
+    "qlt1_out_of_order",
+    BOARD + """, o AS (SELECT type, closed, CASE WHEN k % 97 = 5 THEN date_added + 40 ELSE date_added END
+        AS late, date_added, company, id FROM listing)
+      SELECT type, closed, CAST(count(*) FILTER (WHERE late > above) AS BIGINT) AS n FROM (SELECT *, lag(late)
+        OVER (PARTITION BY type, closed ORDER BY date_added DESC, lower(company), company, id) AS above FROM o)
+      WHERE NOT closed GROUP BY ALL""",
+)
+def _(d):
+    """The published tables read back, some open rows with a day that does not fit their place."""
+    board = d.board("role").withColumn("is_new", prepare.is_new())
+    path = shared_dir(d.spark, "published")
+    publish.write_published(board.where("NOT closed"), path)
+    rows = published.read_published(d.spark, path, LST_AS_OF)
+    key = F.substring_index("url", "/", -1).cast("long")
+    late = F.when(key % 97 == 5, F.date_add("date_added", 40)).otherwise(F.col("date_added"))
+    return quality.out_of_order(rows.withColumn("date_added", late))
+
+
 _BROKEN = """bad AS (SELECT CASE WHEN k % 29 = 28 THEN CAST(k - 28 AS VARCHAR) ELSE id END AS id,
     CASE WHEN k % 31 = 1 THEN 'senior' ELSE type END AS type,
     CASE WHEN k % 37 = 2 THEN 'Other' ELSE category END AS category,

@@ -1,4 +1,4 @@
-"""Streaming twins of the lifecycle, run over the whole event log."""
+"""Streaming twins of the lifecycle, run over the whole event log; their SQL is that of the batch queries."""
 
 from __future__ import annotations
 
@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from vacantia import schema
 from vacantia.functions.dates import iso
-from vacantia.plans.bindings import Data
-from vacantia.plans.catalog import query
+from vacantia.operators import lifecycle
+from vacantia.plans.bindings import EVT_AS_OF, Data
+from vacantia.plans.catalog import ORACLES, query
 from vacantia.plans.oracle import SCANS, with_
-from vacantia.streaming import ingest, run, state
-
-LOG = with_(SCANS)
-AHEAD = "2024-01-10"
+from vacantia.plans.scan_queries import NEW_AS_OF
+from vacantia.session import shared_dir
+from vacantia.streaming import ingest, run
 
 
 class _Landed(Data):
@@ -24,57 +24,40 @@ class _Landed(Data):
         return run.read_landed(self.spark, f"{self.folder}/events.parquet*", schema.SCAN_EVENT)
 
 
-def _ingest(d) -> str:
-    """Runs the first stream; the folder of its sightings."""
-    return run.append_to_table(ingest.ingest_scans(_Landed(d.spark, d.folder).scans()), "sightings")
+def _kept(d, into, label: str) -> str:
+    """Runs one stream over the log; the folder of its table."""
+    path = shared_dir(d.spark, label)
+    into(_Landed(d.spark, d.folder).scans(), path, shared_dir(d.spark, f"{label}-progress"))
+    return path
 
 
-def _next(d, path: str):
-    """A written folder as the input of the next stream."""
-    return run.read_landed(d.spark, path, d.spark.read.parquet(path).schema)
+def _first(d):
+    path = _kept(d, ingest.ingest_first_seen, "first-seen")
+    return ingest.first_seen(d.spark, path, lifecycle.first_seen(d.scans()).schema)
 
 
 @query(
     "str1_ingest_scans",
-    LOG + "SELECT listing_id, board, CAST(day AS VARCHAR) AS day FROM seen",
+    with_(SCANS) + "SELECT listing_id, board, CAST(day AS VARCHAR) AS day FROM seen",
 )
 def _(d):
-    return d.spark.read.parquet(_ingest(d)).select("listing_id", "board", iso(F.col("day")).alias("day"))
+    seen = ingest.sightings(d.spark, _kept(d, ingest.ingest_scans, "sightings"))
+    return seen.withColumn("day", iso(F.col("day")))
 
 
-@query(
-    "str2_first_seen_stream",
-    LOG + "SELECT listing_id, CAST(min(day) AS VARCHAR) AS first_day FROM seen GROUP BY listing_id",
-)
+@query("str2_first_seen_stream", ORACLES["str2_first_seen"])
 def _(d):
-    stream = state.first_seen(_next(d, _ingest(d)))
-    rows = d.spark.read.parquet(run.append_to_table(stream, "first-seen"))
-    return rows.withColumn("first_day", iso(F.col("first_day")))
+    return _first(d).withColumn("first_ts", F.col("first_ts").cast("string"))
 
 
-@query(
-    "str3_close_absent_stream",
-    LOG + """, g AS (SELECT listing_id, day, lead(day) OVER (PARTITION BY listing_id ORDER BY day) AS nx,
-        CAST(day + CASE WHEN board IN ('b0', 'b5') THEN 14 ELSE 3 END AS DATE) AS due FROM seen),
-      c AS (SELECT *, (SELECT max(day) FROM seen) AS edge FROM g)
-      SELECT listing_id, 'closed' AS change, CAST(due AS VARCHAR) AS day FROM c
-        WHERE due < nx OR (nx IS NULL AND due <= edge)
-      UNION ALL SELECT listing_id, 'reopened', CAST(nx AS VARCHAR) FROM c WHERE due < nx""",
-)
+@query("str3_close_absent_stream", ORACLES["str3_close_absent"])
 def _(d):
-    seen = _next(d, _ingest(d))
-    grace = F.when(F.col("board").isin("b0", "b5"), F.lit(14)).otherwise(F.lit(3))
-    stream = state.close_absent(seen.withColumn("grace", grace))
-    rows = d.spark.read.parquet(run.append_to_table(stream, "changes"))
-    return rows.withColumn("day", iso(F.col("day")))
+    seen = ingest.sightings(d.spark, _kept(d, ingest.ingest_scans, "sightings"))
+    days = ingest.scan_days(d.spark, _kept(d, ingest.ingest_scan_days, "scan-days"))
+    rows = lifecycle.close_absent(lifecycle.gaps(seen, days, EVT_AS_OF, d.grace()))
+    return rows.withColumn("closed_date", iso(F.col("closed_date")))
 
 
-@query(
-    "str10_daily_new_stream",
-    LOG + f"""SELECT CAST(least(f, DATE '{AHEAD}') AS VARCHAR) AS day, count(*) AS n
-      FROM (SELECT listing_id, min(day) AS f FROM seen GROUP BY listing_id) GROUP BY 1""",
-)
+@query("str10_daily_new_stream", ORACLES["str10_daily_new"])
 def _(d):
-    first = run.append_to_table(state.first_seen(_next(d, _ingest(d))), "first-seen")
-    counted = run.complete_to_view(ingest.daily_new(_next(d, first), AHEAD), "daily")
-    return counted.withColumn("day", iso(F.col("day")))
+    return ingest.daily_new(_first(d), NEW_AS_OF).withColumn("day", iso(F.col("day")))

@@ -70,7 +70,7 @@ def classify(postings: DataFrame, as_of: str) -> DataFrame:
     )
     judged = staged.withColumns(
         {
-            "rejected": rejects.reject_reason(t, F.col("secure")),
+            "rejected": rejects.reject_reason(t, F.col("secure"), F.col("title")),
             "type": F.coalesce(
                 F.when(~F.col("spans_levels") | (F.col("title_level") == "intern"), F.col("title_level")),
                 F.when(
@@ -124,7 +124,7 @@ def verdict(submissions: DataFrame, as_of: str) -> DataFrame:
     reasons = F.array_compact(
         F.array(
             F.when(~role, F.lit("role")),
-            rejects.reject_reason(t, F.col("secure")),
+            rejects.reject_reason(t, F.col("secure"), F.col("title")),
             F.when(
                 F.col("title_level").isNull() | rejects.is_multi_level(t), F.lit("level")
             ),

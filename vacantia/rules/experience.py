@@ -1,6 +1,8 @@
 """What a posting's text says about years of experience, new graduates and clearance.
 
-The whole text is read: it is cut into sentences and each is judged on its own.
+The whole text is read: it is cut into sentences and each is judged on its own. Within a sentence
+only the clause that is marked optional falls away, and of age bars and of counts about the employer
+only the words themselves, so a requirement beside them still counts.
 """
 
 from __future__ import annotations
@@ -14,16 +16,37 @@ from vacantia.functions.bind import let
 
 # Patterns over a lower-case posting text.
 SENTENCE = r"[.!?]+\s+|[;\n•]+"
+MARK = r"(?:preferred|ideally|nice to have|nice-to-have|in lieu of|in place of)"
+# A sentence that opens with "ideally" or with a heading of the mark is optional as a whole.
+HEADING = r"^\W*(?:ideally\b|(?:preferred|nice[- ]to[- ]have)[^,:]*:)"
+# A list ended by the mark ("5 years of a, b, or c preferred") is optional back to its count. Matches
+# start where a clause starts and give nothing back, so that a long sentence is read once.
+_CLAUSE = r"(?:^|(?<=[,()]))"
 OPTIONAL = (
-    r"preferred|ideally|nice to have|nice-to-have|in lieu of|in place of|years? old|years of age"
+    rf"{_CLAUSE}[^,()0-9]*+[0-9][^,()]*+(?:,[^,()0-9]*+)*?, *or [^,()0-9]*?{MARK}[^,()]*+"
+    rf"|{_CLAUSE}[^,()]*?{MARK}[^,()]*+"
 )
+AGE = r"[0-9]+\+? ?(?:years? old|years? of age)"
+# Characters between a phrase about the employer and its count, and between a degree and
+# its count. Further apart the two are not read together.
+EMPLOYER_REACH, DEGREE_REACH = 20, 30
 EMPLOYER = (
     r"(?:our|with over|we have|we bring|for over|for more than|founded|history of)"
-    r"[^0-9]{0,20}[0-9]+\+? years"
+    rf"[^0-9]{{0,{EMPLOYER_REACH}}}[0-9]+\+? years(?: of experience)?"
 )
+# Numbers in words.
+NUMBERS = {
+    "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
+    "ten": 10, "eleven": 11, "twelve": 12, "fifteen": 15, "twenty": 20,
+}
+# What may stand between a number in words and its unit: the digits again, the end of a range.
+WORD_TAIL = r"((?: ?\([0-9]+\))?\+? ?(?:(?:-|–|to) ?[a-z0-9]+\+? ?)?(?:years?|yrs?))"
 COUNT = r"([0-9]{1,3})\)?\+?(?: ?(?:-|–|to) ?[0-9]+\+?)? ?(?:years|year|yrs|yr)"
 DEGREE = r"(?:bachelor|master|doctora|phd|ph\.d|degree|\bbs\b|\bms\b|\bba\b)"
-ROUTE = r"(?:bachelor'?s?|master'?s?|doctora(?:l|te)|phd|\bbs\b|\bms\b)[^0-9;]{0,30}([0-9]{1,3})"
+ROUTE = (
+    r"(?:bachelor'?s?|master'?s?|doctora(?:l|te)|phd|\bbs\b|\bms\b)"
+    rf"[^0-9;]{{0,{DEGREE_REACH}}}([0-9]{{1,3}})"
+)
 YEARS = r"years?|yrs?"
 # Words without which the patterns above cannot match: a plain scan for them comes first.
 YEAR_WORDS = ("year", "yr")
@@ -53,6 +76,20 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
 
 
+def _in_digits(sentence: Column) -> Column:
+    """Counts of years written in words, in digits."""
+    spelled = sentence
+    for word, number in NUMBERS.items():
+        spelled = F.regexp_replace(spelled, rf"\b{word}{WORD_TAIL}", f"{number}$1")
+    return F.when(sentence.rlike(rf"\b(?:{'|'.join(NUMBERS)}){WORD_TAIL}"), spelled).otherwise(sentence)
+
+
+def _required(sentence: Column) -> Column:
+    """A sentence without what it marks optional, age bars and counts about the employer."""
+    told = F.regexp_replace(F.regexp_replace(sentence, AGE, " "), EMPLOYER, " ")
+    return F.when(sentence.rlike(MARK), F.regexp_replace(told, OPTIONAL, " ")).otherwise(told)
+
+
 def _numbers(found: Column) -> Column:
     return F.transform(found, lambda n: n.cast("int"))
 
@@ -66,13 +103,12 @@ def facts(text: Column) -> Column:
 
     def ask(low: Column) -> Column:
         sentences = F.when(_any(low, YEAR_WORDS), F.split(low, SENTENCE))
-        return F.filter(
+        dated = F.filter(
             F.coalesce(sentences, F.array().cast("array<string>")),
-            lambda s: _any(s, YEAR_WORDS)
-            & s.rlike("[0-9]")
-            & ~s.rlike(OPTIONAL)
-            & ~s.rlike(EMPLOYER),
+            lambda s: _any(s, YEAR_WORDS) & ~s.rlike(HEADING),
         )
+        required = F.transform(dated, lambda s: _required(_in_digits(s)))
+        return F.filter(required, lambda s: _any(s, YEAR_WORDS) & s.rlike("[0-9]"))
 
     def counts(asked: Column) -> Column:
         plain = F.transform(

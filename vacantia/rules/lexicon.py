@@ -244,7 +244,9 @@ CLOSED_PROGRAM = [
     "former interns?", "skillbridge", "military (?:fellowship|development program|spouses?)",
     "veterans? (?:transition|integration)", "returnship", "hiring event",
 ]
-PLANT = ["asset protection", "security licen[cs]e", "[0-9]+ (?:an|per) hour", "[0-9]+ hr"]
+PLANT = ["asset protection", "security licen[cs]e", "[0-9]+ (?:an|per) hour"]
+# A pay rate in a title as written: a currency mark before an hour, or a number over an hour.
+PAY_RATE = r"(?i)(?:[$€£]|\busd) ?[0-9][0-9.,]*[^a-z]*(?:hr|hour)|[0-9] ?/ ?(?:hr|hour)"
 
 # --- level from the posting ----------------------------------------------------------
 
@@ -310,9 +312,23 @@ FOREIGN_TWINS = [
 ]
 
 # Countries and regions a title or a remote scope may name.
+# Countries and regions that a title can end with. Names that are also a state, a town or a given
+# name of the United States (Georgia, Jordan, Chad, Lebanon, Cuba, Peru) are left to the location.
 ABROAD = [
-    "uk", "united kingdom", "england", "germany", "france", "india", "canada", "australia",
-    "ireland", "israel", "japan", "singapore", "poland", "spain", "italy", "netherlands",
-    "mexico", "brazil", "philippines", "romania", "korea", "europe", "emea", "apac", "latam",
+    "uk", "united kingdom", "england", "scotland", "wales", "ireland", "germany", "france", "spain",
+    "portugal", "italy", "netherlands", "belgium", "luxembourg", "switzerland", "austria", "denmark",
+    "sweden", "norway", "finland", "iceland", "poland", "czechia", "czech republic", "slovakia",
+    "slovenia", "hungary", "romania", "bulgaria", "greece", "cyprus", "malta", "croatia", "serbia",
+    "bosnia", "albania", "estonia", "latvia", "lithuania", "ukraine", "moldova", "belarus", "russia",
+    "turkey", "turkiye", "israel", "saudi arabia", "uae", "united arab emirates", "qatar", "kuwait",
+    "bahrain", "oman", "egypt", "morocco", "tunisia", "algeria", "kenya", "nigeria", "ghana",
+    "ethiopia", "south africa", "india", "pakistan", "bangladesh", "sri lanka", "nepal", "china",
+    "hong kong", "taiwan", "japan", "korea", "singapore", "malaysia", "indonesia", "thailand",
+    "vietnam", "philippines", "kazakhstan", "uzbekistan", "australia", "new zealand", "canada",
+    "costa rica", "guatemala", "el salvador", "honduras", "nicaragua", "dominican republic",
+    "jamaica", "colombia", "ecuador", "bolivia", "chile", "argentina", "uruguay", "paraguay",
+    "brazil", "venezuela", "mexico", "europe", "emea", "apac", "latam",
 ]
 ABROAD_TITLE = [f"(?:{'|'.join(ABROAD)}) $", f" located (?:at|in) .* (?:{'|'.join(ABROAD)}) "]
+# States whose names end like a country.
+HOME_NAMES = "new mexico"

@@ -48,8 +48,14 @@ def _hardware(t: Column, secure: Column) -> Column:
     return has(t, lex.HARDWARE) | (has(t, lex.SILICON) & ~secure)
 
 
-def reject_reason(t: Column, secure: Column | None = None) -> Column:
-    """First family that rules a title out; null when none does."""
+def reject_reason(
+    t: Column, secure: Column | None = None, title: Column | None = None
+) -> Column:
+    """First family that rules a title out; null when none does.
+
+    ``title`` is the title as written, where a pay rate still has its marks.
+    """
+    paid = F.lit(False) if title is None else F.coalesce(title.rlike(lex.PAY_RATE), F.lit(False))
     secure = roles.names_security(t) if secure is None else secure
     return first_reason(
         seniority=_seniority(t),
@@ -59,7 +65,7 @@ def reject_reason(t: Column, secure: Column | None = None) -> Column:
         hardware=_hardware(t, secure),
         placeholder=has(t, lex.PLACEHOLDER),
         closed_program=has(t, lex.CLOSED_PROGRAM),
-        plant_security=has(t, lex.PLANT),
+        plant_security=has(t, lex.PLANT) | paid,
     )
 
 

@@ -153,7 +153,8 @@ def remote_scope(location: Column) -> Column:
 def placed_abroad(t: Column) -> Column:
     """A normalised title that puts the job outside the country."""
     ends, located = lex.ABROAD_TITLE
-    return t.rlike(f" {ends}") | t.rlike(located)
+    named = F.replace(t, F.lit(f" {lex.HOME_NAMES} "), F.lit(" "))
+    return named.rlike(f" {ends}") | named.rlike(located)
 
 
 def drop_foreign(location: Column, t: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.dims import SEARCHED_PLATFORMS
+from vacantia.functions import text
 
 # The searches run on boards that cannot be read whole.
 DEFAULT_TERMS = ("cyber", "cloud", "student")
@@ -37,10 +38,16 @@ def prune_by_terms(
     """
     own = employers.select("platform", "board_key", "search_terms")
     joined = postings.join(own, ["platform", "board_key"], "left")
-    wanted = F.concat(
-        F.array(*[F.lit(t) for t in terms]),
+    return joined.where(found_by_terms(hay, terms)).drop("search_terms")
+
+
+def found_by_terms(hay: Column, terms: tuple[str, ...] = DEFAULT_TERMS) -> Column:
+    """Does a posting with its board's ``search_terms`` come up? Terms are read as words, like the text."""
+    common = [" ".join(text.query_words(t)) for t in terms]
+    own = F.transform(
         F.coalesce("search_terms", F.array().cast("array<string>")),
+        lambda t: F.array_join(text.words(t), " "),
     )
-    found = F.exists(wanted, lambda t: F.contains(hay, F.lower(t)))
-    searched = F.col("platform").isin(*SEARCHED_PLATFORMS)
-    return joined.where(~searched | found).drop("search_terms")
+    named = [F.contains(hay, F.lit(t)) for t in common if t]
+    found = F.exists(own, lambda t: (t != "") & F.contains(hay, t))
+    return ~F.col("platform").isin(*SEARCHED_PLATFORMS) | reduce(lambda a, b: a | b, named, found)

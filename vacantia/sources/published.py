@@ -50,7 +50,7 @@ def _fill_down(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _unescape(text: Column) -> Column:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+    for entity, char in (("\\|", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
@@ -80,7 +80,7 @@ def read_published(spark: SparkSession, path: str, as_of: str) -> DataFrame:
     cells = F.split(F.regexp_replace("line", r"^\| | \|$", ""), r" \| ")
     is_row = (
         F.startswith(F.col("line"), F.lit("| "))
-        & ~F.startswith(F.col("line"), F.lit("| Company "))
+        & ~F.startswith(F.col("line"), F.lit("| Company | Role |"))
         & ~F.startswith(F.col("line"), F.lit("| --"))
     )
     name = F.when(is_row, F.trim(F.get(cells, F.lit(0))))
@@ -108,7 +108,7 @@ def read_published(spark: SparkSession, path: str, as_of: str) -> DataFrame:
         closed.alias("closed"),
         _unescape(F.col("company")).alias("company"),
         "is_repeat",
-        _unescape(role).alias("role"),
+        _unescape(F.trim(role)).alias("role"),
         F.when(~closed, _unescape(F.regexp_extract(title, "<sub>(.*)</sub>", 1))).alias("category"),
         F.contains(title, F.lit("🆕")).alias("marked_new"),
         F.contains(title, F.lit("🇺🇸")).alias("clearance"),

@@ -1,32 +1,62 @@
-"""Incremental ingest of scans."""
+"""Incremental ingest of scans, and the tables that follow from it.
+
+Nothing waits for a watermark: a row that lands days late is kept like any other. What the tables say is
+read by the operators that batch queries use, so a stream and a batch over the same rows agree.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vacantia.operators import lifecycle
+from vacantia.streaming import run
+
+SIGHTING = T.StructType(
+    [
+        T.StructField("listing_id", T.StringType()),
+        T.StructField("board", T.StringType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
+SCAN_DAY = T.StructType([T.StructField("board", T.StringType()), T.StructField("day", T.DateType())])
+FIRST = T.StructType(
+    [T.StructField("listing_id", T.StringType()), T.StructField("first_ts", T.TimestampNTZType())]
+)
 
-from vacantia.functions import dates
 
+def ingest_scans(scans: DataFrame, path: str, checkpoint: str) -> None:
+    """Keeps exactly one row per listing and scan day, however often and however late it was read."""
+    run.merge_by_day(scans, path, checkpoint, lifecycle.sightings)
 
-def ingest_scans(scans: DataFrame, delay: str = "2 days", slices: int = 16) -> DataFrame:
-    """Exactly one row per listing and scan day, however often it was read.
 
-    Duplicates are dropped in two steps: first within slices of a listing's rows, so a
-    listing that holds much of a batch is spread over many tasks, then across the at most
-    ``slices`` survivors.
-    """
-    rows = scans.where("scan_ok").select(
-        "listing_id", "board", "day", F.col("ts").cast("timestamp").alias("seen_at"),
-        F.pmod(F.xxhash64("event_id"), F.lit(slices)).alias("slice"),
+def ingest_scan_days(scans: DataFrame, path: str, checkpoint: str) -> None:
+    """Keeps one row per board and day of a successful scan."""
+    run.merge_by_day(
+        scans, path, checkpoint, lambda batch: batch.where("scan_ok").select("board", "day").distinct()
     )
-    timed = rows.withWatermark("seen_at", delay)
-    thinned = timed.dropDuplicatesWithinWatermark(["listing_id", "day", "slice"])
-    return thinned.dropDuplicatesWithinWatermark(["listing_id", "day"]).drop("slice")
 
 
-def daily_new(new: DataFrame, as_of: str) -> DataFrame:
+def ingest_first_seen(scans: DataFrame, path: str, checkpoint: str) -> None:
+    """Keeps each batch's first sighting of a listing; the least of them is the listing's."""
+    run.append_batches(scans, path, checkpoint, lifecycle.first_seen)
+
+
+def sightings(spark: SparkSession, path: str) -> DataFrame:
+    return run.table(spark, path, SIGHTING).drop("batch")
+
+
+def scan_days(spark: SparkSession, path: str) -> DataFrame:
+    return run.table(spark, path, SCAN_DAY).drop("batch")
+
+
+def first_seen(spark: SparkSession, path: str, schema: T.StructType = FIRST) -> DataFrame:
+    """Each listing once; a sighting that landed late moves its first day back."""
+    kept = run.table(spark, path, schema)
+    return kept.groupBy("listing_id").agg(F.min("first_ts").alias("first_ts"))
+
+
+def daily_new(first: DataFrame, as_of: str) -> DataFrame:
     """New rows per UTC day of their first sighting, rows dated ahead under the as-of day."""
-    at = dates.utc_midnight(F.least(F.col("first_day"), dates.day(as_of)))
-    timed = new.withColumn("at", at).withWatermark("at", "1 day")
-    counted = timed.groupBy(F.window("at", "1 day")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(dates.utc_day(F.col("window.start")).alias("day"), "n")
+    return lifecycle.new_per_day(first, as_of)

@@ -1,71 +1,75 @@
-"""Starting a stream over what has landed and waiting for it."""
+"""Streams that keep tables up to date, batch by batch.
+
+Each stream reads what has landed since its last run and ends. Its progress is in the checkpoint folder
+the caller names, its rows in the table folder, one sub-folder per batch: a batch that is run again after
+a failure replaces its own rows. All folders must be in storage that every executor reaches.
+"""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacantia.session import shared_dir
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files of a folder, or those a pattern names, as a stream."""
-    return spark.readStream.schema(schema).parquet(path)
-
-
-@contextmanager
-def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Session settings that a stream picks up when it starts."""
-    before = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
-def _start(writer, spark: SparkSession, label: str) -> None:
-    # State partitions are not coalesced at run time, so there are no more of them than a
-    # few per core.
-    shuffles = "spark.sql.shuffle.partitions"
-    few = min(int(spark.conf.get(shuffles)), 2 * spark.sparkContext.defaultParallelism)
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, shuffles: str(few)}
-    with _settings(spark, **settings):
-        running = (
-            writer.option("checkpointLocation", shared_dir(spark, f"{label}-state"))
-            .trigger(availableNow=True)
-            .start()
-        )
+
+def read_landed(
+    spark: SparkSession, path: str, schema: T.StructType, files: int | None = None
+) -> DataFrame:
+    """Files of a folder, or those a pattern names, as a stream; at most ``files`` of them a batch."""
+    reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(path)
+
+
+def drain(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
+    """Hands every batch that has landed since the last run to ``each``, then ends."""
+    running = (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     running.awaitTermination()
 
 
-def append_to_table(stream: DataFrame, label: str) -> str:
-    """Runs a stream to the end of its input into a shared folder; returns that folder."""
-    path = shared_dir(stream.sparkSession, label)
-    writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
-    _start(writer, stream.sparkSession, label)
-    return path
+def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that a stream has kept in a folder, with the number of their ``batch``."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+
+
+def append_batches(
+    stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Writes what ``reduce`` makes of each batch into the table."""
 
+    def write(batch: DataFrame, number: int) -> None:
+        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-def complete_to_view(stream: DataFrame, label: str) -> DataFrame:
-    """Runs an aggregate stream and returns its final state.
+    drain(stream, checkpoint, write)
 
-    The in-memory sink keeps the result on the driver, so this is for results as long
-    as the calendar only.
+
+def merge_by_day(
+    stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Like ``append_batches``, for distinct rows with a ``day``: rows the table holds already are left out.
+
+    The table is partitioned by day, and only the days a batch names are read, so the cost of a batch does
+    not grow with the table. The days come to the driver; there are as many as the calendar has.
     """
-    spark = stream.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    writer = stream.writeStream.outputMode("complete").format("memory").queryName(name)
-    _start(writer, spark, label)
-    return spark.table(name)
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = reduce(batch).persist()
+        days = [r["day"] for r in rows.select("day").distinct().collect()]
+        new = rows
+        if number and days:
+            known = table(batch.sparkSession, path, rows.schema).where(
+                F.col("day").isin(days) & (F.col("batch") < number)
+            )
+            new = rows.join(known.select(rows.columns), rows.columns, "left_anti")
+        new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+        rows.unpersist()
+
+    drain(stream, checkpoint, write)
