@@ -83,10 +83,10 @@ def trusted_links(postings: DataFrame, employers: DataFrame, vendor_domains: Dat
     """
     hosts = employers.select("platform", "board_key", "apply_hosts")
     joined = postings.join(hosts, ["platform", "board_key"], "left")
-    return safe_links(joined, vendor_domains).drop("apply_hosts")
+    return link_or_page(joined, vendor_domains).drop("apply_hosts")
 
 
-def safe_links(postings: DataFrame, vendor_domains: DataFrame) -> DataFrame:
+def link_or_page(postings: DataFrame, vendor_domains: DataFrame) -> DataFrame:
     """``trusted`` and ``link`` of postings that carry their board's ``apply_hosts``.
 
     A platform without a row in ``vendor_domains`` has no page to fall back to: its links stay.

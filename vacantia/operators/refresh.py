@@ -40,7 +40,7 @@ def board_rows(
     known = known.where("company IS NOT NULL").withColumn("sec_co", F.coalesce("sec_co", F.lit(False)))
     found = known.where(found_by_terms(word_text(F.col("title")), terms))
     judged = classify(found, as_of).where("verdict = 'in'")
-    rows = prepare.safe_links(judged, vendor_domains).select(
+    rows = prepare.link_or_page(judged, vendor_domains).select(
         F.concat_ws("/", "platform", "board_key", "posting_id").alias("id"),
         "platform", "board_key", "company",
         F.col("title").alias("role"),
