@@ -98,3 +98,23 @@ def test_blocks_and_empty_tables(spark, make, monkeypatch):
     assert dec.leaks(make([]), bench).collect() == []
     assert dec.leaks(frame, bench.limit(0)).collect() == []
     assert dec.keep_clean(frame, bench.limit(0)).count() == 12
+
+
+def test_edited_copies_beside_exact_ones_equal_the_plain_alignment(spark, make):
+    rng = random.Random(9)
+    items = [(i, _words(rng, 48)) for i in range(12)]
+    docs = []
+    for i, own in items:
+        docs += [(10 * i + k, " ".join(own)) for k in range(1 + i % 3)]
+        for step in (4, 5, 6):
+            edited = [f"edit{i}x{step}x{at}" if at % step == step - 1 else w for at, w in enumerate(own)]
+            docs.append((10 * i + step, " ".join(_words(rng, 30) + edited + _words(rng, 30))))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    want = {
+        (d, i): score for d, text in docs for i, own in items
+        if (score := smith_waterman(own, text.split())) >= dec.MIN_SCORE
+    }
+    assert all((10 * i + step, i) in want for i, _ in items for step in (4, 5, 6))
+    got = dec.leaks(make(docs), bench).collect()
+    assert {(r["id"], r["item_id"]): r["score"] for r in got} == want
+    assert len(got) == len(want)

@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram hits, then Smith-Waterman alignment.
 
 Test items are taken in blocks of a bounded number of words; each block meets all documents in one pass,
 which joins document passages to items over word n-grams: hits of one item on nearby diagonals make a
-candidate. From the hits of all documents follows how many hold each n-gram; an item's rarest n-grams are
-its seeds, and a candidate without seeds falls away. The passages left are aligned with their items. Edits,
-gaps and replaced words lower the score, which is the alignment's share of the item's own. An item is leaked
-by a document if the score reaches the threshold.
-
-Rarity only orders an item's own n-grams, so a passage copied into most documents is still found.
+candidate. Every candidate is aligned with its item, but for those whose words cannot reach the threshold:
+a score needs as many shared words as its share of the item. Edits, gaps and replaced words lower the
+score, which is the alignment's share of the item's own. An item is leaked by a document if the score
+reaches the threshold. How many documents hold an n-gram decides nothing.
 
 Defined results: null or empty texts and items match nothing; repeated rows get equal rows; an item shorter
 than an n-gram is its own seed; other columns are never read by ``leaks`` and all are kept by ``keep_clean``.
@@ -27,9 +25,6 @@ from pyspark.sql import functions as F
 from vacantia.llm.common import fresh, row_key, settle
 
 NGRAM = 3
-#: Share of an item's n-grams that are seeds, the rarest first, and the least number of them.
-SEED_SHARE = 0.5
-SEED_LEAST = 8
 #: Least alignment score of a leak.
 MIN_SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -125,42 +120,35 @@ class Block:
                 self.places[g].append((i, at))
 
     def needed(self, item: int) -> int:
-        """Seeds that a candidate holds at least."""
+        """Hits that a candidate holds at least."""
         return 2 if len(self.words[item]) > NGRAM + 1 else 1
 
-    def seeds(self, counts: dict[int, int]) -> list[set[int]]:
-        """Each item's rarest n-grams, of those that occur; edited copies may lack the rest everywhere."""
-        out = []
-        for own in self.grams:
-            distinct = sorted({g for g in own.tolist() if g in counts}, key=lambda g: (counts[g], g))
-            out.append(set(distinct[: max(SEED_LEAST, round(SEED_SHARE * len(distinct)))]))
-        return out
+    def bound(self, item: int, passage: np.ndarray) -> float:
+        """No alignment of the item with the passage has a higher score: each match takes a word of both."""
+        own = self.words[item]
+        return min(int(np.isin(own, passage).sum()), int(np.isin(passage, own).sum())) / len(own)
 
-    def hits(self, words: np.ndarray) -> tuple[list[int], list[tuple[int, int, int, list[int]]]]:
-        """The block's n-grams in a text, and (item, from, past, n-grams) of each cluster of diagonals."""
-        held: set[int] = set()
-        diagonals: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    def hits(self, words: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, from, past) of each cluster of diagonals with the needed number of n-grams."""
+        diagonals: dict[int, list[int]] = defaultdict(list)
         for size in self.sizes:
             found = grams(words, size) if len(words) >= size else words[:0]
             for at in self.filter.places(found).tolist():
-                g = int(found[at])
-                for item, place in self.places[g]:
+                for item, place in self.places[int(found[at])]:
                     if min(NGRAM, len(self.words[item])) == size:
-                        held.add(g)
-                        diagonals[item].append((at - place, g))
+                        diagonals[item].append(at - place)
         out = []
-        for item, shifts in diagonals.items():
+        for item, shifts in sorted(diagonals.items()):
             n = len(self.words[item])
             slack, needed = 4 + n // 3, self.needed(item)
             shifts.sort()
             start = 0
             for i in range(1, len(shifts) + 1):
-                if i == len(shifts) or shifts[i][0] - shifts[i - 1][0] > slack or shifts[i][0] - shifts[start][0] > n:
+                if i == len(shifts) or shifts[i] - shifts[i - 1] > slack or shifts[i] - shifts[start] > n:
                     if i - start >= needed:
-                        past = min(len(words), shifts[i - 1][0] + n + slack)
-                        out.append((item, max(0, shifts[start][0] - slack), past, [g for _, g in shifts[start:i]]))
+                        out.append((item, max(0, shifts[start] - slack), min(len(words), shifts[i - 1] + n + slack)))
                     start = i
-        return sorted(held), out
+        return out
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str):
@@ -179,74 +167,33 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str):
         yield Block(held)
 
 
-def _signed(values) -> pa.Array:
-    return pa.array(np.asarray(values, np.uint64).view(np.int64))
-
-
-def _scan(rows: DataFrame, block: Block) -> DataFrame:
-    """One pass over all documents: those that hold an n-gram of the block, and their candidates."""
-    candidate = pa.struct([
-        ("item", pa.int32()), ("start", pa.int64()), ("past", pa.int64()), ("grams", pa.list_(pa.int64())),
-        ("words", pa.list_(pa.int64())),
-    ])
+def _scan(rows: DataFrame, block: Block, min_score: float, item_type: str) -> DataFrame:
+    """One pass over all documents: the best leak of each document and item of the block."""
+    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
 
     def scan(batches):
         words = Words()
-        for batch in batches:
-            source, held, candidates = [], [], []
-            for row, text in enumerate(batch.column("text")):
-                hashes = words(text.as_py())
-                own, clusters = block.hits(hashes)
-                if own:
-                    source.append(row)
-                    held.append(_signed(own))
-                    candidates.append([
-                        {"item": item, "start": a, "past": b, "grams": _signed(g), "words": _signed(hashes[a:b])}
-                        for item, a, b, g in clusters
-                    ])
-            at = pa.array(source, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(at), batch.column("id").take(at), pa.array(held, pa.list_(pa.int64())),
-                 pa.array(candidates, pa.list_(candidate))],
-                ["key", "id", "grams", "candidates"],
-            )
-
-    schema = (
-        f"key long, id {dict(rows.dtypes)['id']}, grams array<long>, candidates "
-        "array<struct<item:int,start:bigint,past:bigint,grams:array<bigint>,words:array<bigint>>>"
-    )
-    return rows.mapInArrow(scan, schema)
-
-
-def _verify(hits: DataFrame, block: Block, min_score: float, item_type: str) -> DataFrame:
-    """Aligns the candidates that hold seeds; the best leak of each document and item."""
-    mask = (1 << 64) - 1
-    counted = hits.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    # As many rows as the block has n-grams.
-    seeds = block.seeds({r["gram"] & mask: r["n"] for r in counted.collect()})
-
-    def verify(batches):
         for batch in batches:
             ids, keys = batch.column("id"), batch.column("key")
             source, item_ids, scores, starts, pasts = [], [], [], [], []
-            waiting, cells, best = [], 0, {}
+            waiting, widest, best = [], 0, {}
 
             def flush():
                 for (row, item, start, past, _), score in zip(waiting, align([block.words[w[1]] for w in waiting], [w[4] for w in waiting]).tolist()):
                     if score >= min_score and (-score, start) < best.get((row, item), (1, 0))[:2]:
                         best[row, item] = (-score, start, past)
 
-            for row, candidates in enumerate(batch.column("candidates")):
-                for c in sorted(candidates.as_py(), key=lambda c: (c["item"], c["start"])):
-                    item = c["item"]
-                    if sum((g & mask) in seeds[item] for g in c["grams"]) < block.needed(item):
+            for row, text in enumerate(batch.column("text")):
+                hashes = words(text.as_py())
+                for item, start, past in block.hits(hashes):
+                    passage = hashes[start:past]
+                    if block.bound(item, passage) < min_score:
                         continue
-                    words = np.array(c["words"], np.int64).view(np.uint64)
-                    waiting.append((row, item, c["start"], c["past"], words))
-                    cells += len(words)
-                    if cells > 200_000:
+                    widest = max(widest, len(passage))
+                    waiting.append((row, item, start, past, passage))
+                    if widest * len(waiting) > 200_000:
                         flush()
-                        waiting, cells = [], 0
+                        waiting, widest = [], 0
             if waiting:
                 flush()
             for (row, item), (score, start, past) in sorted(best.items()):
@@ -262,9 +209,7 @@ def _verify(hits: DataFrame, block: Block, min_score: float, item_type: str) ->
                 ["key", "id", "item_id", "score", "from_word", "past_word"],
             )
 
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
-    some = hits.where(F.size("candidates") > 0).select("key", "id", "candidates")
-    return some.mapInArrow(verify, _LEAK.format(id=dict(hits.dtypes)["id"], item=item_type))
+    return rows.mapInArrow(scan, _LEAK.format(id=dict(rows.dtypes)["id"], item=item_type))
 
 
 _LEAK = "key long, id {id}, item_id {item}, score double, from_word long, past_word long"
@@ -281,8 +226,7 @@ def leaks(
     item_type = dict(benchmark.dtypes)[item_col]
     found = None
     for block in blocks(benchmark, item_col, item_text_col):
-        hits = settle(_scan(rows, block), "hits")
-        part = settle(_verify(hits, block, min_score, item_type), "leaks")
+        part = settle(_scan(rows, block, min_score, item_type), "leaks")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return documents.sparkSession.createDataFrame([], _LEAK.format(id=dict(rows.dtypes)["id"], item=item_type))
