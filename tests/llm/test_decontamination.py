@@ -118,3 +118,16 @@ def test_edited_copies_beside_exact_ones_equal_the_plain_alignment(spark, make):
     got = dec.leaks(make(docs), bench).collect()
     assert {(r["id"], r["item_id"]): r["score"] for r in got} == want
     assert len(got) == len(want)
+
+
+def test_long_passages_of_longer_items(spark, make):
+    rng = random.Random(10)
+    items = [(1, [f"a{i}" for i in range(200)]), (2, [f"b{i}" for i in range(1000)])]
+    docs = [
+        (1, items[0][1][40:150]), (2, items[1][1][300:800]), (3, items[1][1][:50]), (4, items[0][1][100:149]),
+        (5, items[1][1][:40] + ["edit"] + items[1][1][41:60]),
+    ]
+    docs = [(i, " ".join(_words(rng, 20) + w + _words(rng, 20))) for i, w in docs]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r["id"], r["item_id"]): r["score"] for r in dec.leaks(make(docs), bench).collect()}
+    assert got == {(1, 1): 0.55, (2, 2): 0.5, (3, 2): 0.05, (5, 2): (2 * 59 - 1) / 2000}

@@ -3,9 +3,10 @@
 Test items are taken in blocks of a bounded number of words; each block meets all documents in one pass,
 which joins document passages to items over word n-grams: hits of one item on nearby diagonals make a
 candidate. Every candidate is aligned with its item, but for those whose words cannot reach the threshold:
-a score needs as many shared words as its share of the item. Edits, gaps and replaced words lower the
+an alignment needs as many shared words as it is worth. Edits, gaps and replaced words lower the
 score, which is the alignment's share of the item's own. An item is leaked by a document if the score
-reaches the threshold. How many documents hold an n-gram decides nothing.
+reaches the threshold, or if the alignment is worth a number of verbatim words, whatever share of a long
+item they are. How many documents hold an n-gram decides nothing.
 
 Defined results: null or empty texts and items match nothing; repeated rows get equal rows; an item shorter
 than an n-gram is its own seed; other columns are never read by ``leaks`` and all are kept by ``keep_clean``.
@@ -27,6 +28,8 @@ from vacantia.llm.common import fresh, row_key, settle
 NGRAM = 3
 #: Least alignment score of a leak.
 MIN_SCORE = 0.6
+#: An alignment worth so many verbatim words is a leak whatever share of its item it is.
+LEAST_WORDS = 50
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of the items of one block; a longer item is a block of its own.
 BLOCK_WORDS = 200_000
@@ -123,6 +126,10 @@ class Block:
         """Hits that a candidate holds at least."""
         return 2 if len(self.words[item]) > NGRAM + 1 else 1
 
+    def least(self, item: int, min_score: float) -> float:
+        """Score from which an alignment with the item is a leak."""
+        return min(min_score, LEAST_WORDS / len(self.words[item]))
+
     def bound(self, item: int, passage: np.ndarray) -> float:
         """No alignment of the item with the passage has a higher score: each match takes a word of both."""
         own = self.words[item]
@@ -180,14 +187,14 @@ def _scan(rows: DataFrame, block: Block, min_score: float, item_type: str) -> Da
 
             def flush():
                 for (row, item, start, past, _), score in zip(waiting, align([block.words[w[1]] for w in waiting], [w[4] for w in waiting]).tolist()):
-                    if score >= min_score and (-score, start) < best.get((row, item), (1, 0))[:2]:
+                    if score >= block.least(item, min_score) and (-score, start) < best.get((row, item), (1, 0))[:2]:
                         best[row, item] = (-score, start, past)
 
             for row, text in enumerate(batch.column("text")):
                 hashes = words(text.as_py())
                 for item, start, past in block.hits(hashes):
                     passage = hashes[start:past]
-                    if block.bound(item, passage) < min_score:
+                    if block.bound(item, passage) < block.least(item, min_score):
                         continue
                     widest = max(widest, len(passage))
                     waiting.append((row, item, start, past, passage))
