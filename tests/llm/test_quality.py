@@ -67,3 +67,23 @@ def test_odd_rows(spark, make):
     good = quality.keep_good(frame)
     assert good.columns == frame.columns and good.count() == 3
     assert quality.judge(make([])).collect() == []
+
+
+def test_many_furniture_lines_with_few_own_words(spark, make):
+    menus = {h: "\n".join(_words(f"{h}menu{k}x", 5) for k in range(20)) for h in ("p", "q", "r", "s")}
+    rows = [
+        (1000 * k + i, f"{menu}\n{_words(f'{h}own{i}x', 10)}", h) for k, (h, menu) in enumerate(menus.items()) for i in range(300)
+    ]
+    got = {r["id"]: r for r in quality.judge(make(rows)).collect()}
+    assert all(got[1000 * k + i]["removed_words"] == 100 and not got[1000 * k + i]["kept"] for k in range(4) for i in range(300))
+
+
+def test_edited_copies_of_a_text_count_once(spark, make):
+    lines = [_words(f"line{k}x", 40) for k in range(8)]
+    rows = []
+    for i in range(120):
+        own = list(lines)
+        own[i % 8] = own[i % 8].replace(own[i % 8].split()[20], _words(f"new{i}x", 1))
+        rows.append((i, "\n".join(own), "site"))
+    got = quality.judge(make(rows)).collect()
+    assert len(got) == 120 and all(r["kept"] and r["removed_words"] == 0 for r in got)

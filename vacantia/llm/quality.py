@@ -5,7 +5,7 @@ of a host is furniture; it is taken out, and a document of which too little is l
 is one that fails the base rules.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; repeated rows
-get the same verdict, and copies of a text count as one document; columns of any other name are kept
+get the same verdict, and copies and near copies of a whole text count as one document; columns of any other name are kept
 by ``keep_good`` and never read.
 """
 
@@ -31,6 +31,11 @@ LINE_SHARE = 0.05
 MAX_REMOVED = 0.8
 #: Parts over which the rows of one line are spread when they meet its verdict.
 PARTS = 32
+#: Texts are near copies if their sets of word pairs have at least this Jaccard similarity.
+NEAR = 0.95
+# Minimum hashes by which near copies meet, and the bands of them.
+_KEYS = np.array([(2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for k in range(12)], np.uint64)
+_BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (0, 3, 6), (1, 4, 9), (2, 7, 10), (5, 8, 11))
 
 _SPACES = "\t\n\x0b\x0c\r "
 _SYMBOLS = "#*$%&|<>"
@@ -62,13 +67,19 @@ def repeated_words(words: list) -> int:
     return int(covered.sum())
 
 
+def word_pairs(words: list) -> list[int]:
+    """Different 32-bit hashes of two words in a row, or of a lone word."""
+    names = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in set(words)}
+    x = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
+    if len(x) > 1:
+        x = (x[:-1] * _KEYS[1]) ^ x[1:]
+    x = (x ^ (x >> np.uint64(29))) * _KEYS[2]
+    return np.unique((x >> np.uint64(32)).astype(np.uint32).view(np.int32)).tolist()
+
+
 def measure_text(text: str | None) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, words per line,
-    context per line).
-
-    A line's context is the least hash of the document's other lines, a min-hash of what stands around
-    it: near copies of a document mostly share it, unrelated documents with a common line do not.
-    """
+    word pairs of the different lines)."""
     text = text or ""
     words = _WORD.findall(text)
     lines: dict[str, int] = {}
@@ -84,10 +95,6 @@ def measure_text(text: str | None) -> tuple:
         normal = _DIGITS.sub("0", " ".join(parts).lower())
         lines[normal] = lines.get(normal, 0) + len(parts)
     hashes = [_signed(xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))) for x in lines]
-    least = sorted(hashes)[:2]
-    contexts = [0] * len(hashes)
-    if len(least) == 2:
-        contexts = [least[1] if h == least[0] else least[0] for h in hashes]
     return (
         len(words),
         len(text) - sum(map(text.count, _SPACES)),
@@ -96,13 +103,13 @@ def measure_text(text: str | None) -> tuple:
         repeated_words(words),
         hashes,
         list(lines.values()),
-        contexts,
+        word_pairs(" ".join(lines).split(" ")) if lines else [],
     )
 
 
 _MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "hashes array<long>, counts array<long>, contexts array<long>"
+    "hashes array<long>, counts array<long>, pairs array<int>"
 )
 
 
@@ -110,21 +117,63 @@ def _measure_batches(batches):
     for batch in batches:
         rows = [measure_text(t) for t in batch.column("text").to_pylist()]
         columns = list(zip(*rows)) if rows else [()] * 8
-        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 3
+        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2 + [pa.list_(pa.int32())]
         arrays = [batch.column("key"), batch.column("id"), batch.column("host")]
         arrays += [pa.array(c, k) for c, k in zip(columns, kinds)]
         names = ["key", "id", "host"] + [part.split()[0] for part in _MEASURES.split(", ")]
         yield pa.RecordBatch.from_arrays(arrays, names)
 
 
+def _band_batches(batches):
+    for batch in batches:
+        rows = []
+        for pairs in batch.column("pairs"):
+            x = np.array(pairs.as_py(), np.int32).view(np.uint32).astype(np.uint64) + np.uint64(1)
+            least = []
+            for k in _KEYS:
+                h = (x ^ k) * _KEYS[3]
+                least.append(int(((h ^ (h >> np.uint64(32))) * _KEYS[4]).min()))
+            rows.append([
+                _signed(xxhash.xxh64_intdigest(repr((b, *[least[k] for k in band])))) for b, band in enumerate(_BANDS)
+            ])
+        arrays = [batch.column(c) for c in ("host", "body")] + [pa.array(rows, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["host", "body", "bands"])
+
+
+def near_copies(bodies: DataFrame) -> DataFrame:
+    """(host, body, first): the least body that a body is a near copy of, among the least of its buckets.
+
+    ``bodies`` are (host, body, pairs) rows, one for each body of a host. Bodies that share a bucket only
+    are compared with its least one pair by pair, so texts that merely share lines stay apart.
+    """
+    members = bodies.mapInArrow(_band_batches, "host string, body long, bands array<long>").select(
+        "host", "body", F.explode("bands").alias("band")
+    ).withColumn("part", F.pmod(F.col("body"), F.lit(PARTS)).cast("int"))
+    members = settle(members, "quality-bands")
+    least = (
+        members.groupBy("host", "band").agg(F.min("body").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        .select("host", "band", "first", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    )
+    met = members.join(least, ["host", "band", "part"]).where("body <> first").select("host", "body", "first").distinct()
+    own = bodies.select("host", "body", F.col("pairs").alias("a"))
+    other = bodies.select("host", F.col("body").alias("first"), F.col("pairs").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    return (
+        met.join(own, ["host", "body"]).join(other, ["host", "first"])
+        .where(common >= NEAR * (F.size("a") + F.size("b") - common))
+        .groupBy("host", "body").agg(F.min("first").alias("first"))
+    )
+
+
 def judge(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     line_documents: int = LINE_DOCUMENTS, line_share: float = LINE_SHARE, max_removed: float = MAX_REMOVED,
 ) -> DataFrame:
     """Per row of documents: key (of id, host and text), id, the measures, removed_words, base_failed, kept.
 
-    Lines are counted over different documents: a line's copies within one context (see ``measure_text``)
-    count once, so copies and near copies of a text are no furniture. A line counted in more than ``line_documents``
+    Lines are counted over different documents: copies and near copies of a whole text count once, so the lines
+    of a large group of them are no furniture. Near copies are sought only among documents with a line that
+    is furniture as counted without them. A line counted in more than ``line_documents``
     documents and ``line_share`` of its host's is removed; more than ``max_removed`` of the words
     removed rejects the document.
     """
@@ -137,31 +186,41 @@ def judge(
     measured = settle(
         rows.mapInArrow(_measure_batches, f"key long, id {id_type}, host string, {_MEASURES}"), "quality"
     )
+    measured = measured.withColumn("body", F.xxhash64("hashes"))
     lines = measured.where(F.size("hashes") > 0).select(
-        "key", "host", F.explode(F.arrays_zip("hashes", "counts", "contexts")).alias("l")
-    ).select(
-        "key", "host", F.col("l.hashes").alias("line"), F.col("l.counts").alias("words"),
-        F.col("l.contexts").alias("context"),
-    )
-    totals = (
-        measured.select("host", F.xxhash64("hashes").alias("body")).distinct()
-        .groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+        "key", "host", "body", F.explode(F.arrays_zip("hashes", "counts")).alias("l")
+    ).select("key", "host", "body", F.col("l.hashes").alias("line"), F.col("l.counts").alias("words"))
+    totals = measured.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+
+    def frequent(seen):
+        """Lines over the limits, once for each part; ``seen`` has a row for each line of a document."""
+        return (
+            seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > line_documents)
+            .join(totals, "host").where(F.col("n") > line_share * F.col("documents"))
+            .select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+        )
+
+    hits = settle(
+        lines.withColumn("part", F.pmod(F.col("key"), F.lit(PARTS)).cast("int"))
+        .join(frequent(lines.select("host", "line", "body").distinct()), ["host", "line", "part"])
+        .groupBy("key", "host", "line", "body", "part").agg(F.first("words").alias("words")),
+        "quality-hits",
     )
-    frequent = (
-        lines.select("host", "line", "context").distinct()
-        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > line_documents)
-        .join(totals, "host").where(F.col("n") > line_share * F.col("documents"))
-        .select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    bodies = settle(
+        measured.select("key", "host", "body", "pairs").join(hits.select("key").distinct(), "key", "left_semi")
+        .select("host", "body", "pairs").dropDuplicates(["host", "body"]),
+        "quality-bodies",
     )
+    near = near_copies(bodies)
+    counted = hits.select("host", "line", "body").distinct().join(near, ["host", "body"], "left").select(
+        "host", "line", F.coalesce("first", "body").alias("document")
+    ).distinct()
     removed = (
-        lines.withColumn("part", F.pmod(F.col("key"), F.lit(PARTS)).cast("int"))
-        .join(frequent, ["host", "line", "part"])
-        .groupBy("key", "line").agg(F.first("words").alias("words"))
-        .groupBy("key").agg(F.sum("words").alias("removed_words"))
+        hits.join(frequent(counted), ["host", "line", "part"]).groupBy("key").agg(F.sum("words").alias("removed_words"))
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     return (
-        measured.drop("hashes", "counts", "contexts", "host").join(removed, "key", "left")
+        measured.drop("hashes", "counts", "pairs", "host", "body").join(removed, "key", "left")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("removed_words") <= max_removed * F.col("n_words")))
