@@ -63,3 +63,13 @@ def test_empty_table(spark, make):
 def test_main_path_is_native(spark, folder):
     plan = queries.QUERIES["op3_license_scan"](spark, folder)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_file_of_all_templates_with_words_of_different_idf(spark, make):
+    notices = "\n".join(f"{body}. {'. '.join(phrases)}" for _, phrases, body in licenses.TEMPLATES)
+    common = "the license version 2 0 gnu general public apache licensed under".split()
+    vocabulary = [w for w in licenses._vocabulary() if w not in common] + common
+    rows = [(0, notices)] + [(1 + i, " x ".join(vocabulary[i:])) for i in range(len(vocabulary))]
+    got = {r["id"]: r for r in licenses.scan(make(rows)).collect()}
+    assert got[0]["labels"] == ",".join(sorted({label for label, _, _ in licenses.TEMPLATES}))
+    assert got[0]["score"] == 1

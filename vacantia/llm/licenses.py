@@ -1,8 +1,8 @@
 """Licence scans by a positional index of rare words; DataFrame functions only.
 
 Each template is indexed by the positions of its highest-IDF words, where IDF is counted over all files
-scanned. A file's own highest-IDF licence words are looked up, their postings are joined and grouped by
-relative position (place in the file less place in the template), and the best aligned share of a
+scanned. All indexed words of a file are looked up, their postings are joined and grouped by relative
+position (place in the file less place in the template), and the best aligned share of a
 template's weight is its score. A template is reported if its score reaches the threshold and every
 mandatory phrase of it stands in the file.
 
@@ -62,9 +62,8 @@ TEMPLATES = (
     ("all-rights-reserved", ("all rights reserved",), "all rights reserved"),
 )
 
-#: Rarest words of a template that are indexed, and of a file that are looked up (ties come along).
+#: Rarest words of a template that are indexed.
 TEMPLATE_WORDS = 8
-FILE_WORDS = 32
 #: Least aligned share of a template's weight.
 MIN_SCORE = 0.6
 
@@ -149,19 +148,13 @@ def template_index(files: DataFrame) -> DataFrame:
     return fixed_table(spark, rows, "label, template, word, at, idf, weight")
 
 
-def align(files: DataFrame, file_words: int = FILE_WORDS, min_score: float = MIN_SCORE) -> DataFrame:
+def align(files: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """(key, score, labels) of the files that hold a template."""
     index = template_index(files)
     holders = files.where("text IS NOT NULL").select("key", "text").dropDuplicates(["key"])
     places = holders.select("key", F.posexplode(words(F.col("text"))).alias("place", "word"))
-    rarity = index.groupBy("word").agg(F.first("idf").alias("idf"))
-    known = places.join(rarity, "word")
-    least = known.groupBy("key").agg(
-        F.slice(F.sort_array(F.collect_set("idf"), asc=False), 1, file_words).alias("top")
-    ).select("key", F.array_min("top").alias("least"))
-    seeds = known.join(least, "key").where("idf >= least").select("key", "word", "place")
     aligned = (
-        seeds.join(index, "word")
+        places.join(index, "word")
         .groupBy("key", "template", "label", (F.col("place") - F.col("at")).alias("shift"))
         .agg(F.sum("idf").alias("sum"), F.first("weight").alias("weight"))
         .groupBy("key", "template", "label").agg(F.max(F.col("sum") / F.col("weight")).alias("score"))
