@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import decontamination, licenses, linededup, packing, pages, pii, quality, shards, simhash, suffixes
+from vacantia.llm import (
+    decontamination, licenses, linededup, manifest, packing, pages, pii, quality, shards, simhash, suffixes,
+)
+from vacantia.llm.oracle import MANIFEST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +117,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"),
         F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"),
     )
+
+
+@query("op13_merkle_manifest", MANIFEST)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; every fifth is checked with its text lower-cased."""
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    made = manifest.build(
+        table(spark, folder, "documents"), altered={"text": manifest.lowered(F.col("text"), tampered)}
+    )
+    return manifest.verify(made, manifest.prove(made)).withColumnRenamed("id", "doc_id")
