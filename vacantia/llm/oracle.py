@@ -68,3 +68,48 @@ MANIFEST = "WITH " + ",\n  ".join(
 _CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({x}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
   lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END))"""
 MANIFEST = MANIFEST.replace("crc32_of(CAST(doc_id AS VARCHAR))", "xor(" + _CRC.format(x="CAST(doc_id AS VARCHAR)") + ", 4294967295)")
+
+WARC = """WITH hashed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages),
+  fives AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(h, 5 * i + 1, 5) AS BIGINT)) AS v FROM hashed)
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (v[i // 4 + 1] >> (5 * (3 - i % 4))) & 31 + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to
+  FROM fives""".replace("& 31 + 1, 1", "& 31) + 1, 1").replace("(v[i", "((v[i")
+
+
+def _vectors(rounds: int) -> str:
+    parts = [
+        """kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """parts AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS v
+          FROM kept, range(16) t(p))""",
+        "firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64)",
+        "book0 AS MATERIALIZED (SELECT p, e, v FROM parts JOIN firsts USING (vec_id))",
+    ]
+    for k in range(rounds + 1):
+        parts.append(
+            f"""near{k} AS MATERIALIZED (SELECT vec_id, a.p, min({{'d': list_sum(list_transform(range(1, len(a.v) + 1),
+              lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))), 'e': e}}) AS m FROM parts a JOIN book{k} b ON a.p = b.p GROUP BY 1, 2)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""mean{k} AS (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS v FROM (SELECT a.p, m.e AS e, i,
+                  CAST(sum(a.v[i]) AS BIGINT) AS s, count(*) AS c FROM near{k} n JOIN parts a USING (vec_id, p), range(1, len(a.v) + 1) r(i)
+                  GROUP BY ALL) GROUP BY p, e)"""
+            )
+            parts.append(
+                f"""book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{k} b
+                  LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e)"""
+            )
+    return "WITH " + ",\n  ".join(parts) + f"""
+      SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+      FROM (SELECT vec_id, string_agg(printf('%02x', CAST(m.e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+        FROM near{rounds} GROUP BY vec_id) JOIN kept USING (vec_id)"""
+
+
+VECTORS = _vectors(2)

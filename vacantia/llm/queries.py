@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from vacantia.llm import (
     decontamination, licenses, linededup, manifest, packing, pages, pii, quality, shards, simhash, suffixes,
+    vectorcodes, warc,
 )
-from vacantia.llm.oracle import MANIFEST
+from vacantia.llm.oracle import MANIFEST, VECTORS, WARC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,6 +120,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op11_vector_codes", VECTORS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every vector in 16 parts of 64 entries, after two rounds."""
+    made = vectorcodes.compress(table(spark, folder, "embeddings"), carry=("label",))
+    total = vectorcodes.group_totals(made.codes, "label", "error", "label_error")
+    code = F.lower(F.hex("code"))
+    return total.select(
+        F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error",
+        F.lit(made.sha256()).alias("codebooks_sha256"),
+    )
+
+
+@query("op12_warc", WARC)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's record as read back from the archive it was written to."""
+    archive = warc.write_archive(table(spark, folder, "pages"))
+    return warc.read_records(spark, archive).select(
+        F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"), "record_type", "refers_to",
+    )
+
+
 @query("op13_merkle_manifest", MANIFEST)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document; every fifth is checked with its text lower-cased."""
