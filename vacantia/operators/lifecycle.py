@@ -62,6 +62,13 @@ def gaps(seen: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFr
     rows = seen.where(F.col("day") <= dates.day(as_of)).withColumn(
         "next_day", F.lead("day").over(_by_day())
     )
+    found = closings(rows, scan_days, as_of, grace)
+    return found.select("listing_id", "board", "day", "next_day", "closed_on")
+
+
+def closings(rows: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFrame) -> DataFrame:
+    """Rows (board, day, next_day) with ``closed_on``, the day an absence after ``day`` closes the listing."""
+    own = rows.columns
     rows = rows.join(grace, "board", "left").withColumn(
         "target", F.date_add("day", F.coalesce("grace", F.lit(GRACE_DAYS)))
     )
@@ -73,9 +80,7 @@ def gaps(seen: DataFrame, scan_days: DataFrame | None, as_of: str, grace: DataFr
     closes = (F.col("scan") <= dates.day(as_of)) & (
         F.col("next_day").isNull() | (F.col("scan") < F.col("next_day"))
     )
-    return rows.select(
-        "listing_id", "board", "day", "next_day", F.when(closes, F.col("scan")).alias("closed_on")
-    )
+    return rows.select(*own, F.when(closes, F.col("scan")).alias("closed_on"))
 
 
 def absence(seen: DataFrame, scan_days: DataFrame, as_of: str) -> DataFrame:
