@@ -36,19 +36,17 @@ FILES = [
 
 def run_streams(spark, log, tables):
     stream = timed(run.read_landed(spark, log, spark.read.parquet(log).schema, files=1))
-    for name, into in (("seen", ingest.ingest_scans), ("days", ingest.ingest_scan_days),
-                       ("first", ingest.ingest_first_seen)):
+    for name, into in (("seen", ingest.ingest_scans), ("days", ingest.ingest_scan_days)):
         into(stream, f"{tables}/{name}", f"{tables}/{name}-progress")
 
 
-def results(spark, seen, days, first):
+def results(spark, seen, days):
     none = spark.createDataFrame([], "board string, grace int")
     gaps = lifecycle.gaps(seen, days, day(40).isoformat(), none)
     return [
         sorted(tuple(r) for r in frame.collect())
-        for frame in (seen.select("listing_id", "board", "day"), days.select("board", "day"), first,
-                      lifecycle.close_absent(gaps), lifecycle.reopen(gaps),
-                      lifecycle.new_per_day(first, day(25).isoformat()))
+        for frame in (seen.select("listing_id", "board", "day"), days.select("board", "day"),
+                      lifecycle.close_absent(gaps), lifecycle.reopen(gaps))
     ]
 
 
@@ -62,15 +60,13 @@ def test_streams_equal_batch_over_two_runs(spark, tmp_path):
     whole = timed(spark.read.parquet(log))
     want = results(
         spark, lifecycle.sightings(whole), whole.where("scan_ok").select("board", "day").distinct(),
-        lifecycle.first_seen(whole),
     )
     got = results(
         spark, ingest.sightings(spark, f"{tables}/seen"), ingest.scan_days(spark, f"{tables}/days"),
-        ingest.first_seen(spark, f"{tables}/first"),
     )
     assert got == want
     assert ("late", "b0", day(1)) in got[0] and len(got[0]) == 9
-    assert ("a", day(29)) in got[3] and ("a", day(10), day(20)) in got[4]
+    assert ("a", day(29)) in got[2] and ("a", day(10), day(20)) in got[3]
 
 
 def test_a_batch_run_again_replaces_its_rows(spark, tmp_path):

@@ -32,20 +32,22 @@ class Version:
 
 def _folder(spark: SparkSession, path: str):
     """The file system of a path and the path in it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    files, at = _folder(spark, path)
-    return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    files, folder = _folder(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n) for n in _names(spark, f"{path}/versions") if n.isdigit())
+    return sorted(int(n) for n in names(spark, f"{path}/versions") if n.isdigit())
 
 
-def _load(spark: SparkSession, path: str, number: int) -> Version:
+def at(spark: SparkSession, path: str, number: int) -> Version:
+    """A version by its number."""
     rows = spark.read.schema(_POINTER).json(f"{path}/versions/{number}").collect()
     return Version(number, {r["part"]: r["run"] for r in rows})
 
@@ -53,7 +55,7 @@ def _load(spark: SparkSession, path: str, number: int) -> Version:
 def current(spark: SparkSession, path: str) -> Version:
     """The last committed version. It has a row for each partition, as many as months or days."""
     numbers = _numbers(spark, path)
-    return _load(spark, path, numbers[-1]) if numbers else Version()
+    return at(spark, path, numbers[-1]) if numbers else Version()
 
 
 def read(
@@ -75,8 +77,8 @@ def write(frame: DataFrame, path: str, part: Column) -> tuple[str, list[str]]:
     run = uuid.uuid4().hex
     named = F.when(part.isNotNull(), part.cast("string")).otherwise(F.raise_error(F.lit("a row without a partition")))
     frame.withColumn(_PART, named).write.partitionBy(_PART).parquet(f"{path}/runs/{run}")
-    names = _names(frame.sparkSession, f"{path}/runs/{run}")
-    return run, [n.split("=", 1)[1] for n in names if n.startswith(f"{_PART}=")]
+    found = names(frame.sparkSession, f"{path}/runs/{run}")
+    return run, [n.split("=", 1)[1] for n in found if n.startswith(f"{_PART}=")]
 
 
 def point(spark: SparkSession, path: str, base: Version, replaced: Iterable[str], run: str, parts: Iterable[str]) -> Version:
@@ -114,9 +116,9 @@ def retire(spark: SparkSession, path: str, keep: int = 2) -> int:
     To be run while no commit is under way, since a run's folder is named last.
     """
     numbers = _numbers(spark, path)
-    held = {r for n in numbers[-keep:] for r in _load(spark, path, n).runs.values()}
-    lost = [r for r in _names(spark, f"{path}/runs") if r not in held]
+    held = {r for n in numbers[-keep:] for r in at(spark, path, n).runs.values()}
+    lost = [r for r in names(spark, f"{path}/runs") if r not in held]
     for name in [f"runs/{r}" for r in lost] + [f"versions/{n}" for n in numbers[:-keep]]:
-        files, at = _folder(spark, f"{path}/{name}")
-        files.delete(at, True)
+        files, folder = _folder(spark, f"{path}/{name}")
+        files.delete(folder, True)
     return len(lost)

@@ -7,7 +7,6 @@ read by the operators that batch queries use, so a stream and a batch over the s
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacantia.operators import lifecycle
@@ -21,9 +20,6 @@ SIGHTING = T.StructType(
     ]
 )
 SCAN_DAY = T.StructType([T.StructField("board", T.StringType()), T.StructField("day", T.DateType())])
-FIRST = T.StructType(
-    [T.StructField("listing_id", T.StringType()), T.StructField("first_ts", T.TimestampNTZType())]
-)
 
 
 def ingest_scans(scans: DataFrame, path: str, checkpoint: str) -> None:
@@ -38,25 +34,9 @@ def ingest_scan_days(scans: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
-def ingest_first_seen(scans: DataFrame, path: str, checkpoint: str) -> None:
-    """Keeps each batch's first sighting of a listing; the least of them is the listing's."""
-    run.append_batches(scans, path, checkpoint, lifecycle.first_seen)
-
-
 def sightings(spark: SparkSession, path: str) -> DataFrame:
     return run.table(spark, path, SIGHTING).drop("batch")
 
 
 def scan_days(spark: SparkSession, path: str) -> DataFrame:
     return run.table(spark, path, SCAN_DAY).drop("batch")
-
-
-def first_seen(spark: SparkSession, path: str, schema: T.StructType = FIRST) -> DataFrame:
-    """Each listing once; a sighting that landed late moves its first day back."""
-    kept = run.table(spark, path, schema)
-    return kept.groupBy("listing_id").agg(F.min("first_ts").alias("first_ts"))
-
-
-def daily_new(first: DataFrame, as_of: str) -> DataFrame:
-    """New rows per UTC day of their first sighting, rows dated ahead under the as-of day."""
-    return lifecycle.new_per_day(first, as_of)

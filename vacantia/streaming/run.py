@@ -7,6 +7,7 @@ a failure replaces its own rows. All folders must be in storage that every execu
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,15 +25,19 @@ def read_landed(
     return reader.parquet(path)
 
 
-def drain(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
-    """Hands every batch that has landed since the last run to ``each``, then ends."""
+def drain(
+    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append"
+) -> list[dict]:
+    """Hands every batch that has landed since the last run to ``each``, then ends; the batches' progress."""
     running = (
         stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
+        .outputMode(mode)
         .trigger(availableNow=True)
         .start()
     )
     running.awaitTermination()
+    return [json.loads(p.json) for p in running.recentProgress]
 
 
 def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,21 +45,10 @@ def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
 
 
-def append_batches(
-    stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Writes what ``reduce`` makes of each batch into the table."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    drain(stream, checkpoint, write)
-
-
 def merge_by_day(
     stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Like ``append_batches``, for distinct rows with a ``day``: rows the table holds already are left out.
+    """Writes the distinct rows with a ``day`` that ``reduce`` makes of each batch; rows the table holds already are left out.
 
     The table is partitioned by day, and only the days a batch names are read, so the cost of a batch does
     not grow with the table. The days come to the driver; there are as many as the calendar has.
