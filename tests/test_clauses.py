@@ -31,6 +31,19 @@ FLOORS = [
     ("A bachelor's in one of many fields and 1 year of practice.", 1),
     ("No experience required; 3 years a bonus.", 0),
     ("Send us a letter.", None),
+    ("Over the past 25 years our company grew. 1 year of experience.", 1),
+    ("For 40 years, we have made locks. 2 years of scripting.", 2),
+    ("Our firm has built locks for 30 years, and asks for 4 years.", 4),
+    ("We require 5 years of experience.", 5),
+    ("Candidates with over 5 years of experience.", 5),
+    ("5+ years of experience with our tools.", 5),
+    ("3 years of hunting within the last 5 years.", 3),
+    ("A minimum of 60 months of experience.", 5),
+    ("18 months' experience in a SOC.", 1),
+    ("24 to 36 months of hands-on security experience.", 2),
+    ("Twelve months of experience.", 1),
+    ("A 12 month program; you start within 6 months.", None),
+    ("BS and 48 months of experience, or MS and 24 months of experience.", 2),
 ]
 
 
@@ -62,12 +75,31 @@ def test_places_abroad(spark):
         "Security Engineer I - Mexico": True, "Security Engineer Mexico": True, "Security Engineer I - New Mexico": False,
         "Security Engineer I - Georgia": False, "Security Engineer I": False,
         "Engineer located at Ramstein AFB, Germany": True,
+        "Cybersecurity Analyst I - London": True, "SOC Analyst I - Bengaluru": True,
+        "Security Analyst Intern, Toronto": True, "Cyber Security Intern (Mexico City)": True,
+        "Security Analyst I - New England": False, "Security Analyst I - London, KY": False,
+        "Security Analyst I, New London": False, "Security Analyst I - New Delhi": True,
+        "Security Analyst I (São Paulo, Hybrid)": True, "Security Analyst I - Tel Aviv Office": True,
+        "Security Analyst I (Remote)": False, "Remote": False, "London": True, "": False,
     }
     rows = spark.createDataFrame([(t,) for t in titles], "title string")
     got = rows.select("title", usplaces.placed_abroad(title_text(F.col("title")))).collect()
     assert {r[0]: r[1] for r in got} == titles
 
 
+def test_a_town_at_home_with_the_name_of_a_city_abroad(spark):
+    rows = [
+        ("Security Analyst I - Vienna", "Vienna, VA", "Vienna, VA"), ("Security Analyst I - Vienna", "Austin, TX", ""),
+        ("Security Analyst I - Dublin", "Remote (US); Dublin, OH", "Remote (US);Dublin, OH"),
+        ("Security Analyst I - Vienna", "Vienna, Virginia", ""), ("Security Analyst I - Pune", "Austin, TX", ""),
+        ("Security Analyst I", None, ""),
+    ]
+    frame = spark.createDataFrame(rows, "title string, location string, want string")
+    kept = usplaces.drop_foreign(F.col("location"), title_text(F.col("title")))
+    for r in frame.select("title", "location", "want", F.array_join(kept, ";").alias("got")).collect():
+        assert r["got"] == r["want"], r
+
+
 def test_terms_are_read_as_words(spark):
     rows = spark.createDataFrame(
         [("workday", "third party risk analyst", ["third-party risk"]), ("workday", "cafe cook", ["Café"]),
@@ -114,12 +146,13 @@ def test_pipes_and_company_names_come_back(spark, tmp_path):
 
 def test_rows_out_of_order_are_counted(spark):
     day = datetime.date(2026, 1, 1)
-    rows = [("x", s, i, day + datetime.timedelta(d)) for s, i, d in
-            [(0, 1, 9), (0, 2, 8), (0, 3, 9), (5, 4, 10), (5, 5, 1)]]
-    made = spark.createDataFrame(rows, "file string, split int, at int, date_added date").selectExpr(
-        "'intern' AS type", "false AS closed", "'f' AS folder", "*", "CAST(NULL AS date) AS closed_date"
-    )
-    assert [tuple(r) for r in quality.out_of_order(made).collect()] == [("intern", False, 2)]
+    rows = [("x", s, i, day + datetime.timedelta(d), c) for s, i, d, c in
+            [(0, 1, 9, "A"), (0, 2, 8, "A"), (0, 3, 9, "A"), (5, 4, 10, "A"), (5, 5, 1, "A"),
+             (5, 6, 0, "B Co"), (5, 7, 0, "a co"), (5, 8, 0, "A Co"), (9, 9, 0, "Á Ab"), (9, 10, 0, "b")]]
+    made = spark.createDataFrame(rows, "file string, split int, at int, date_added date, company string")
+    for shut in ("false", "true"):
+        table = made.selectExpr("'intern' AS type", f"{shut} AS closed", "'f' AS folder", "*", "date_added AS closed_date")
+        assert [tuple(r) for r in quality.out_of_order(table).collect()] == [("intern", shut == "true", 5)]
 
 
 def test_every_view_has_its_search(spark):

@@ -41,16 +41,18 @@ def test_amazon_and_repeated_postings(spark):
 
 
 def test_one_scan_after_another(spark):
-    """New, kept, closed, reopened, untracked and expired rows; a second run changes nothing."""
+    """New, kept, closed, reopened, untracked and expired rows; a second run changes nothing. A row that was untracked and
+    is read again is back; one whose term is over is not."""
     schema = "id string, closed boolean, closed_date date, reason string, reopened_date date"
     stored = spark.createDataFrame(
         [("kept", False, None, None, None), ("gone", False, None, None, None),
          ("back", True, day(0), "absent", None), ("out", True, day(0), "untracked", None),
+         ("term", True, day(0), "expired", None),
          ("old", True, day(-90), "absent", None), ("link", False, None, None, None)], schema,
     )
-    found = spark.createDataFrame([("kept", False), ("new", False), ("back", False), ("out", False)], "id string, closed boolean")
+    found = spark.createDataFrame([("kept", False), ("new", False), ("back", False), ("out", False), ("term", False)], "id string, closed boolean")
     seen = spark.createDataFrame(
-        [("kept", day(9)), ("new", day(9)), ("back", day(5)), ("back", day(9)), ("out", day(9)), ("gone", day(2)),
+        [("kept", day(9)), ("new", day(9)), ("back", day(5)), ("back", day(9)), ("out", day(9)), ("term", day(9)), ("gone", day(2)),
          ("link", day(8))], "listing_id string, day date",
     )
     closings = lambda rows: spark.createDataFrame(rows, "listing_id string, closed_date date")
@@ -63,6 +65,6 @@ def test_one_scan_after_another(spark):
     rows, once = run(stored)
     assert once == {
         "kept": (day(9), "link gone", None), "new": (None, None, None), "gone": (day(5), "absent", None),
-        "back": (None, None, day(5)), "out": (day(0), "untracked", None), "link": (None, None, None),
+        "back": (None, None, day(5)), "out": (None, None, day(9)), "term": (day(0), "expired", None), "link": (None, None, None),
     }
     assert run(rows)[1] == once

@@ -257,3 +257,13 @@ def test_search_table_prunes_types_and_days(spark, tmp_path):
     assert "(type#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(date_added,2026-11-14)" in plan
     assert "translate" not in plan
+
+
+def test_signs_that_spell_several_letters(spark):
+    from vacantia.functions.text import query_words, words
+
+    texts = ["Ｃ＃ ㎏ ⑫ ⒜ ㏄ ﬁne ½", "Straße ĳ", "№ 5 ㎐ ™", "plain", "été ﷺ x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["w"] for r in rows.select("t", words(F.col("t")).alias("w")).collect()}
+    assert got == {t: query_words(t) for t in texts}
+    assert got[texts[0]][1:5] == ["kg", "12", "a", "cc"]

@@ -23,13 +23,13 @@ def _plain(char: str) -> str:
     return "".join(p if _KEPT.match(p) else " " for p in letters)
 
 
-def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """Single-letter folds for ``translate`` and the few that spell several letters.
+def _fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Single-letter folds for ``translate`` and the signs that spell several letters.
 
     The rule: a non-ASCII character that is its own lower case and leaves a letter behind.
     What leaves none (the trade mark sign folds to capitals) separates words as it is.
     """
-    source, target, ligatures = [], [], []
+    source, target, spelled = [], [], {}
     for code in range(0x00A0, sys.maxunicode + 1):
         char = chr(code)
         if not unicodedata.decomposition(char) or char.lower() != char:
@@ -39,16 +39,15 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
             if len(plain) == 1:
                 source.append(char)
                 target.append(plain)
-            elif code < 0x2190 or 0xFB00 <= code <= 0xFB06:
-                # Signs of units and the like, which spell several letters, stay out.
-                ligatures.append((char, plain))
-    return "".join(source), "".join(target), ligatures
+            else:
+                spelled[char] = plain
+    return "".join(source), "".join(target), spelled
 
 
-_FROM, _TO, _LIGATURES = _fold_tables()
+_FROM, _TO, _SPELLED = _fold_tables()
 
 
-def _near(chars: list[str], gap: int = 16) -> str:
+def _near(chars: list[str], gap: int = 256) -> str:
     """A character class of a few ranges that covers the given characters."""
     ranges: list[list[int]] = []
     for code in sorted(map(ord, chars)):
@@ -59,17 +58,17 @@ def _near(chars: list[str], gap: int = 16) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
-#: Any of these may need the slow spelling-out; one scan with a few ranges tells.
-_MAYBE_RARE = _near([char for char, _ in _LIGATURES])
+#: Only a text with one of these is spelled out letter by letter; one scan with a few ranges tells.
+_MAYBE_RARE = _near(list(_SPELLED))
 
 
 def fold(text: Column) -> Column:
     """Lower case without accents. Plain ASCII text skips the character tables."""
     low = F.lower(text)
     wide = F.translate(F.regexp_replace(low, _MARKS, ""), _FROM, _TO)
-    spelled = wide
-    for char, plain in _LIGATURES:
-        spelled = F.replace(spelled, F.lit(char), F.lit(plain))
+    signs = F.create_map(*[F.lit(x) for pair in _SPELLED.items() for x in pair])
+    letter = lambda c: F.when(c > "\x7f", F.coalesce(F.try_element_at(signs, c), c)).otherwise(c)
+    spelled = F.array_join(F.transform(F.split(wide, ""), letter), "")
     folded = F.when(low.rlike(_MAYBE_RARE), spelled).otherwise(wide)
     return F.when(low.rlike("[^\\x00-\\x7f]"), folded).otherwise(low)
 

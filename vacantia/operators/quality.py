@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacantia.dims import TYPES
+from vacantia.functions.text import ci
 from vacantia.functions.urls import SAFE_LINK
 from vacantia.operators import repeats
 
@@ -77,24 +78,33 @@ def reconcile(published: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def out_of_order(published: DataFrame) -> DataFrame:
-    """Rows printed below an older one, per table (type, closed).
+    """Rows printed above their place, per table (type, closed): below an older day, or on one day below an employer
+    that sorts after theirs.
 
     Rows are known by their place (folder, file, split, at), as ``read_published`` gives them. Neighbours
     are compared within an input split, and each split's first row with the last row of those before.
     """
     day = F.when(F.col("closed"), F.col("closed_date")).otherwise(F.col("date_added"))
-    rows = published.select("type", "closed", "folder", "file", "split", "at", day.alias("day"))
+    place = F.struct(day.alias("day"), ci(F.col("company")).alias("key"), F.col("company").alias("name"))
+    rows = published.select("type", "closed", "folder", "file", "split", "at", place.alias("place"))
     table, split = ["type", "closed", "folder"], ["type", "closed", "folder", "file", "split"]
-    above = F.lag("day").over(Window.partitionBy(*split).orderBy("at"))
+    above = F.lag("place").over(Window.partitionBy(*split).orderBy("at"))
     within = rows.withColumn("above", above).groupBy(*split).agg(
-        F.count_if(F.col("day") > F.col("above")).alias("n"),
-        F.min_by("day", "at").alias("first"), F.max_by("day", "at").alias("last"),
+        F.count_if(_belongs_above(F.col("place"), F.col("above"))).alias("n"),
+        F.min_by("place", "at").alias("first"), F.max_by("place", "at").alias("last"),
     )
     before = F.lag("last").over(Window.partitionBy(*table).orderBy("file", "split"))
-    seams = within.withColumn("seam", F.coalesce((F.col("first") > before).cast("int"), F.lit(0)))
+    late = F.coalesce(_belongs_above(F.col("first"), F.col("before")).cast("int"), F.lit(0))
+    seams = within.withColumn("before", before).withColumn("seam", late)
     return seams.groupBy("type", "closed").agg(F.sum(F.col("n") + F.col("seam")).alias("n"))
 
 
+def _belongs_above(row: Column, above: Column) -> Column:
+    """Newest day first, then the employer without regard to case and accents, then its spelling."""
+    name = (row["key"] < above["key"]) | ((row["key"] == above["key"]) & (row["name"] < above["name"]))
+    return (row["day"] > above["day"]) | ((row["day"] == above["day"]) & name)
+
+
 def board_health(yields: DataFrame, scans: int = 7, floor: float = 0.5) -> DataFrame:
     """Scans that kept nothing, or far less than the board's own recent average.
 

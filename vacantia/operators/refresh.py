@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacantia.dims import BOARDLESS, TABLE_RETENTION
 from vacantia.functions import dates
 from vacantia.functions.text import word_text
-from vacantia.operators import lifecycle, prepare, sets
+from vacantia.operators import lifecycle, prepare, sets, versions
 from vacantia.rules.classify import classify
+from vacantia.session import stored as stored_rows
 from vacantia.sources.postings import DEFAULT_TERMS, found_by_terms
 
 
@@ -72,15 +76,15 @@ def update_table(
     seen: DataFrame,
     closers: dict[str, DataFrame],
     as_of: str,
-    final: tuple[str, ...] = ("untracked", "expired"),
+    final: tuple[str, ...] = ("expired",),
     days: int = TABLE_RETENTION,
 ) -> DataFrame:
     """The stored table after a scan: new rows in, rows closed and reopened, old closed rows out.
 
     ``found`` are the rows of the scan (see ``board_rows``), ``seen`` the sightings so far, ``closers``
     the closings by reason. A stored closing before a listing's last sighting is undone, and so is a
-    claim to close it, unless its reason is one of ``final``. A second run over the same
-    inputs changes nothing.
+    claim to close it, unless its reason is one of ``final``: a sighting proves that the board is read again,
+    but does not renew a term. A second run over the same inputs changes nothing.
     """
     new = sets.new_rows(found, stored)
     rows = stored.unionByName(new, allowMissingColumns=True).withColumnRenamed("id", "listing_id")
@@ -110,3 +114,30 @@ def update_table(
     }
     resolved = lifecycle.resolve_lifecycle(opened, holding).withColumnRenamed("listing_id", "id")
     return lifecycle.retain_closed(resolved, as_of, days)
+
+
+def commit_update(
+    spark: SparkSession, path: str, schema: T.StructType, part: Column, update: Callable[[DataFrame], DataFrame]
+) -> versions.Version:
+    """Replaces the stored table in ``path`` by what ``update`` makes of it, partition by partition.
+
+    Only partitions with a row that is new, gone or changed are written, and the version moves once all of
+    them are. An update that changes nothing commits nothing, so a run may be repeated. ``part`` is the
+    partition that a row belongs to; no column is a map.
+    """
+    base = versions.current(spark, path)
+    held = versions.read(spark, path, schema, base)
+    after = stored_rows(update(held).select(schema.names), "updated")
+    changed = _signed(held, part, -1).unionByName(_signed(after, part, 1)).groupBy("_row", "_part").agg(
+        F.sum("_n").alias("_n")
+    ).where("_n <> 0")
+    parts = [r["_part"] for r in changed.select("_part").distinct().collect()]
+    if not parts:
+        return base
+    return versions.commit(after.where(part.cast("string").isin(parts)), path, part, base, parts)
+
+
+def _signed(rows: DataFrame, part: Column, n: int) -> DataFrame:
+    """A row's digest, which tells null from every value, its partition and a sign."""
+    row = F.sha2(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "true"}), 256)
+    return rows.select(row.alias("_row"), part.cast("string").alias("_part"), F.lit(n).alias("_n"))

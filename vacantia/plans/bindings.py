@@ -43,6 +43,7 @@ LEVELS = [
     "", "I", "II", "III", "II / III", "- Summer 2027", "(Level 2 or 3)", "New Grad 2027",
     "Internship - Summer 2025", "(Associate or Mid-Level)", "- Azure", "Residency 2024", "- UK",
     "Tier 1-3", "- Costa Rica", "- New Mexico", "$18.50/hr", "- 24 hr Operations",
+    "- London", "- Bengaluru", "(Mexico City)", "- Georgia", "- Hamburg (Hybrid)",
 ]
 PLACES = [
     "Arlington, VA", "Arlington, Virginia", "Arlington VA", "Washington, D.C.", "Hamburg, NY",
@@ -63,6 +64,9 @@ DEMANDS = [
     "No experience required; 3 years a bonus.", "Requires five years in a SOC, a degree preferred.",
     "At least 21 years old and 6 years of networking.", "Ideally, 4 years of scripting.",
     "2 years of Linux, 5 years of Go preferred.", "4 years of C, Rust, or Go preferred.",
+    "Over the past 25 years our company grew. 1 year of experience.", "A minimum of 60 months of experience.",
+    "We require 3 years of hunting.", "Twelve months of hands-on experience with our tools.",
+    "For 40 years, we have made locks; 2 years of scripting.", "Our firm has built locks for 30 years, and asks for 4 years.",
 ]
 SECRETS = [
     "An active Secret clearance is required.", "No security clearance needed.",

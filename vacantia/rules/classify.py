@@ -65,11 +65,11 @@ def classify(postings: DataFrame, as_of: str) -> DataFrame:
             "title_level": level.level_from_title(t, as_of),
             "facts": experience.facts(F.col("description")),
             "us": usplaces.us_places(F.col("location")),
-            "abroad": usplaces.placed_abroad(t),
         }
     )
     judged = staged.withColumns(
         {
+            "abroad": usplaces.placed_abroad(t, F.col("us.locations")),
             "rejected": rejects.reject_reason(t, F.col("secure"), F.col("title")),
             "type": F.coalesce(
                 F.when(~F.col("spans_levels") | (F.col("title_level") == "intern"), F.col("title_level")),
@@ -128,7 +128,9 @@ def verdict(submissions: DataFrame, as_of: str) -> DataFrame:
             F.when(
                 F.col("title_level").isNull() | rejects.is_multi_level(t), F.lit("level")
             ),
-            F.when(usplaces.placed_abroad(t) | (F.size("us.locations") == 0), F.lit("place")),
+            F.when(
+                usplaces.placed_abroad(t, F.col("us.locations")) | (F.size("us.locations") == 0), F.lit("place")
+            ),
             F.when(rejects.is_stale_season(t, F.col("title_level"), as_of), F.lit("season")),
         )
     )

@@ -27,29 +27,41 @@ OPTIONAL = (
     rf"|{_CLAUSE}[^,()]*?{MARK}[^,()]*+"
 )
 AGE = r"[0-9]+\+? ?(?:years? old|years? of age)"
-# Characters between a phrase about the employer and its count, and between a degree and
-# its count. Further apart the two are not read together.
-EMPLOYER_REACH, DEGREE_REACH = 20, 30
+# What a clause is about is read before its count. A clause that speaks of the employer there, and
+# asks nothing of the reader, tells of the employer's years.
+BEFORE_COUNT = r"^[^0-9]*"
 EMPLOYER = (
-    r"(?:our|with over|we have|we bring|for over|for more than|founded|history of)"
-    rf"[^0-9]{{0,{EMPLOYER_REACH}}}[0-9]+\+? years(?: of experience)?"
+    r"\b(?:our|we|we've|company|firm|with over|for over|for more than|founded|established|history of)\b"
 )
+DEMAND = (
+    r"\b(?:requir|need|seek|look|want|expect|ask|must|minimum|at least|you|candidate|applicant|should|hir|qualif)"
+)
+EMPLOYER_COUNT = r"^[^0-9]*[0-9]+\+? ?(?:years?|yrs?)(?: of experience)?"
+# Years gone by: "over the past 25 years", "for 40 years, we".
+GONE_BY = (
+    r"(?:past|last) [0-9]+\+? ?(?:years?|yrs?)"
+    r"|for (?:over |nearly |almost |more than )?[0-9]+\+? ?(?:years?|yrs?),? (?:our|we|the (?:company|firm))\b"
+)
+# Fixed value: characters between a degree and its count. Further apart the two are not read together.
+DEGREE_REACH = 30
 # Numbers in words.
 NUMBERS = {
     "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
     "ten": 10, "eleven": 11, "twelve": 12, "fifteen": 15, "twenty": 20,
 }
 # What may stand between a number in words and its unit: the digits again, the end of a range.
-WORD_TAIL = r"((?: ?\([0-9]+\))?\+? ?(?:(?:-|–|to) ?[a-z0-9]+\+? ?)?(?:years?|yrs?))"
+WORD_TAIL = r"((?: ?\([0-9]+\))?\+? ?(?:(?:-|–|to) ?[a-z0-9]+\+? ?)?(?:years?|yrs?|months?))"
 COUNT = r"([0-9]{1,3})\)?\+?(?: ?(?:-|–|to) ?[0-9]+\+?)? ?(?:years|year|yrs|yr)"
+# Months count if they are months of experience.
+MONTHS = r"([0-9]{1,3})\)?\+?(?: ?(?:-|–|to) ?[0-9]+\+?)? ?months?'? (?:of )?(?:[a-z-]+ ){0,3}experience"
 DEGREE = r"(?:bachelor|master|doctora|phd|ph\.d|degree|\bbs\b|\bms\b|\bba\b)"
 ROUTE = (
     r"(?:bachelor'?s?|master'?s?|doctora(?:l|te)|phd|\bbs\b|\bms\b)"
     rf"[^0-9;]{{0,{DEGREE_REACH}}}([0-9]{{1,3}})"
 )
-YEARS = r"years?|yrs?"
+YEARS = r"years?|yrs?|months?"
 # Words without which the patterns above cannot match: a plain scan for them comes first.
-YEAR_WORDS = ("year", "yr")
+YEAR_WORDS = ("year", "yr", "month")
 CEILING_WORDS = ("year", "experience")
 EARLY_WORDS = ("year", "experience", "entry")
 NEWGRAD_WORDS = ("grad", "degree", "recently")
@@ -84,9 +96,21 @@ def _in_digits(sentence: Column) -> Column:
     return F.when(sentence.rlike(rf"\b(?:{'|'.join(NUMBERS)}){WORD_TAIL}"), spelled).otherwise(sentence)
 
 
+def _about_reader(sentence: Column) -> Column:
+    """A sentence without the counts of clauses that are about the employer."""
+    def clause(c: Column) -> Column:
+        subject = F.regexp_extract(c, BEFORE_COUNT, 0)
+        own = subject.rlike(EMPLOYER) & ~subject.rlike(DEMAND)
+        return F.when(own, F.regexp_replace(c, EMPLOYER_COUNT, " ")).otherwise(c)
+
+    told = F.regexp_replace(F.regexp_replace(sentence, AGE, " "), GONE_BY, " ")
+    clauses = F.array_join(F.transform(F.split(told, ","), clause), ",")
+    return F.when(told.rlike(EMPLOYER), clauses).otherwise(told)
+
+
 def _required(sentence: Column) -> Column:
     """A sentence without what it marks optional, age bars and counts about the employer."""
-    told = F.regexp_replace(F.regexp_replace(sentence, AGE, " "), EMPLOYER, " ")
+    told = _about_reader(sentence)
     return F.when(sentence.rlike(MARK), F.regexp_replace(told, OPTIONAL, " ")).otherwise(told)
 
 
@@ -94,44 +118,45 @@ def _numbers(found: Column) -> Column:
     return F.transform(found, lambda n: n.cast("int"))
 
 
+def _asked(sentence: Column) -> Column:
+    """Years that a sentence counts; months are whole years of them."""
+    years = _numbers(F.regexp_extract_all(sentence, F.lit(COUNT), F.lit(1)))
+    months = _numbers(F.regexp_extract_all(sentence, F.lit(MONTHS), F.lit(1)))
+    whole = F.transform(months, lambda n: F.floor(n / 12).cast("int"))
+    return F.when(F.contains(sentence, F.lit("month")), F.concat(years, whole)).otherwise(years)
+
+
 def facts(text: Column) -> Column:
     """Struct of floor, highest count, ceiling and the two level statements.
 
     Sentences without a degree each ask for their count, so the largest is the floor;
-    sentences naming degrees are routes, of which the easiest counts.
+    sentences naming degrees are routes, of which the easiest counts. Only lines that hold one of the words looked for
+    are read closely.
     """
 
-    def ask(low: Column) -> Column:
-        sentences = F.when(_any(low, YEAR_WORDS), F.split(low, SENTENCE))
-        dated = F.filter(
-            F.coalesce(sentences, F.array().cast("array<string>")),
-            lambda s: _any(s, YEAR_WORDS) & ~s.rlike(HEADING),
-        )
+    def ask(lines: Column) -> Column:
+        sentences = F.flatten(F.transform(F.filter(lines, lambda x: _any(x, YEAR_WORDS)), lambda x: F.split(x, SENTENCE)))
+        dated = F.filter(sentences, lambda s: _any(s, YEAR_WORDS) & ~s.rlike(HEADING))
         required = F.transform(dated, lambda s: _required(_in_digits(s)))
         return F.filter(required, lambda s: _any(s, YEAR_WORDS) & s.rlike("[0-9]"))
 
     def counts(asked: Column) -> Column:
-        plain = F.transform(
-            F.filter(asked, lambda s: ~s.rlike(DEGREE)),
-            lambda s: _numbers(F.regexp_extract_all(s, F.lit(COUNT), F.lit(1))),
-        )
+        plain = F.transform(F.filter(asked, lambda s: ~s.rlike(DEGREE)), _asked)
         routes = F.transform(
             F.filter(asked, lambda s: s.rlike(DEGREE)),
-            lambda s: _numbers(
-                F.concat(
-                    F.regexp_extract_all(s, F.lit(COUNT), F.lit(1)),
-                    F.regexp_extract_all(s, F.lit(ROUTE), F.lit(1)),
-                )
-            ),
+            lambda s: F.concat(_asked(s), _numbers(F.regexp_extract_all(s, F.lit(ROUTE), F.lit(1)))),
         )
         return F.struct(F.flatten(plain).alias("plain"), F.flatten(routes).alias("routes"))
 
-    def statements(low: Column) -> Column:
+    def statements(lines: Column) -> Column:
+        def said(words: tuple[str, ...], pattern: str) -> Column:
+            return F.exists(lines, lambda x: _any(x, words) & x.rlike(pattern))
+
         return F.struct(
-            (_any(low, CEILING_WORDS) & low.rlike(CEILING)).alias("ceiling"),
-            (_any(low, EARLY_WORDS) & low.rlike(SAYS_EARLY)).alias("says_early"),
-            (_any(low, NEWGRAD_WORDS) & low.rlike(SAYS_NEWGRAD)).alias("says_newgrad"),
-            let(ask(low), counts).alias("counts"),
+            said(CEILING_WORDS, CEILING).alias("ceiling"),
+            said(EARLY_WORDS, SAYS_EARLY).alias("says_early"),
+            said(NEWGRAD_WORDS, SAYS_NEWGRAD).alias("says_newgrad"),
+            let(ask(lines), counts).alias("counts"),
         )
 
     def judge(s: Column) -> Column:
@@ -146,8 +171,9 @@ def facts(text: Column) -> Column:
             s["says_newgrad"].alias("says_newgrad"),
         )
 
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return let(let(low, statements), judge)
+    words = tuple(dict.fromkeys(YEAR_WORDS + CEILING_WORDS + EARLY_WORDS + NEWGRAD_WORDS))
+    lines = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), lambda x: _any(x, words))
+    return let(let(lines, statements), judge)
 
 
 def years_floor(text: Column) -> Column:

@@ -329,6 +329,32 @@ ABROAD = [
     "jamaica", "colombia", "ecuador", "bolivia", "chile", "argentina", "uruguay", "paraguay",
     "brazil", "venezuela", "mexico", "europe", "emea", "apac", "latam",
 ]
-ABROAD_TITLE = [f"(?:{'|'.join(ABROAD)}) $", f" located (?:at|in) .* (?:{'|'.join(ABROAD)}) "]
-# States whose names end like a country.
-HOME_NAMES = "new mexico"
+ABROAD_TITLE = f" located (?:at|in) .* (?:{'|'.join(ABROAD)}) "
+# Cities abroad that a title can end with.
+CITIES_ABROAD = [
+    "cardiff", "leeds", "liverpool", "sheffield", "galway", "lyon", "toulouse", "grenoble", "munich", "frankfurt",
+    "cologne", "dusseldorf", "zurich", "basel", "lausanne", "the hague", "eindhoven", "utrecht", "antwerp", "barcelona",
+    "porto", "turin", "krakow", "wroclaw", "gdansk", "prague", "brno", "budapest", "bucharest", "cluj", "sofia",
+    "zagreb", "ljubljana", "bratislava", "stockholm", "gothenburg", "malmo", "oslo", "copenhagen", "helsinki",
+    "tallinn", "riga", "vilnius", "kyiv", "lviv", "istanbul", "ankara", "tel aviv", "herzliya", "haifa", "dubai",
+    "abu dhabi", "riyadh", "doha", "casablanca", "nairobi", "lagos", "accra", "johannesburg", "cape town", "pretoria",
+    "bengaluru", "bangalore", "hyderabad", "mumbai", "pune", "chennai", "new delhi", "gurgaon", "gurugram", "noida",
+    "kolkata", "ahmedabad", "kochi", "karachi", "lahore", "dhaka", "colombo", "kuala lumpur", "jakarta", "cebu",
+    "bangkok", "hanoi", "ho chi minh city", "seoul", "tokyo", "osaka", "beijing", "shanghai", "shenzhen", "taipei",
+    "sydney", "brisbane", "canberra", "auckland", "montreal", "calgary", "edmonton", "winnipeg", "mississauga",
+    "quebec", "mexico city", "guadalajara", "monterrey", "queretaro", "tijuana", "bogota", "medellin", "sao paulo",
+    "rio de janeiro", "buenos aires", "montevideo",
+]
+# Cities abroad whose name is also a town's in the United States; with that town in the location they are at home.
+CITY_TWINS = [t.lower() for t in FOREIGN_TWINS] + [
+    "birmingham", "edinburgh", "glasgow", "belfast", "bristol", "cambridge", "oxford", "cork", "stuttgart", "amsterdam",
+    "rotterdam", "brussels", "valencia", "belgrade", "cairo", "perth", "melbourne", "wellington", "vancouver",
+    "ottawa", "waterloo", "manila", "lima", "santiago", "st petersburg",
+]
+# Names in the United States that end like a place abroad.
+HOME_NAMES = ["new england", "new london", "new berlin", "new britain", "new rome", "new madrid", "east liverpool"]
+# Words after a place that say how, not where, the work is done.
+PLACE_TAILS = ["hybrid", "remote", "onsite", "site", "office", "hub", "based", "area", "metro"]
+PLACE_TAIL = f"(?: on)?(?: (?:{'|'.join(PLACE_TAILS)}))+ $"
+# Words of the longest of these names.
+PLACE_WORDS = 4

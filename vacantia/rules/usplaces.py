@@ -150,14 +150,53 @@ def remote_scope(location: Column) -> Column:
     return us_places(location)["remote"]
 
 
-def placed_abroad(t: Column) -> Column:
-    """A normalised title that puts the job outside the country."""
-    ends, located = lex.ABROAD_TITLE
-    named = F.replace(t, F.lit(f" {lex.HOME_NAMES} "), F.lit(" "))
-    return named.rlike(f" {ends}") | named.rlike(located)
+def title_place(t: Column) -> Column:
+    """(kind, name) of the place a normalised title ends with: home, abroad or twin, by its longest run of words.
+
+    Both are null if the title ends with no known place.
+    """
+    home = [n.lower() for n in STATE_NAMES.values()] + lex.HOME_NAMES
+    kinds = {"home": home, "twin": lex.CITY_TWINS, "abroad": lex.ABROAD + lex.CITIES_ABROAD}
+    ends = sorted({name.split(" ")[-1] for names in kinds.values() for name in names})
+
+    def last(text: Column) -> Column:
+        return F.substring_index(F.rtrim(text), " ", -1)
+
+    def judge(w: Column) -> Column:
+        found = []
+        for n in range(lex.PLACE_WORDS, 0, -1):
+            run = F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), F.lit(n)), " ")
+            whole = F.size(w) >= n
+            found += [
+                F.when(whole & run.isin(names), F.struct(F.lit(kind).alias("kind"), run.alias("name")))
+                for kind, names in kinds.items()
+            ]
+        return F.coalesce(*found)
+
+    # Most titles end with no place's last word and are not looked at further.
+    bare = F.when(last(t).isin(lex.PLACE_TAILS), F.regexp_replace(t, lex.PLACE_TAIL, " ")).otherwise(t)
+    return F.when(last(bare).isin(ends), let(F.split(F.trim(bare), " "), judge))
+
+
+def placed_abroad(t: Column, locations: Column | None = None) -> Column:
+    """A normalised title that puts the job outside the country.
+
+    It ends with a place abroad, or is located in a country. A city whose name is a town's at home too is abroad unless
+    one of the posting's US ``locations`` is that town.
+    """
+    def judge(place: Column) -> Column:
+        own = F.lit(False) if locations is None else F.exists(
+            F.coalesce(locations, F.array().cast("array<string>")),
+            lambda l: F.startswith(F.lower(l), F.concat(place["name"], F.lit(", "))),
+        )
+        return F.coalesce((place["kind"] == "abroad") | ((place["kind"] == "twin") & ~own), F.lit(False))
+
+    return let(title_place(t), judge) | t.rlike(lex.ABROAD_TITLE)
 
 
 def drop_foreign(location: Column, t: Column) -> Column:
     """US places of a posting, none when its title places it abroad."""
     none = F.array().cast("array<string>")
-    return F.when(placed_abroad(t), none).otherwise(us_places(location)["locations"])
+    return let(
+        us_places(location)["locations"], lambda kept: F.when(placed_abroad(t, kept), none).otherwise(kept)
+    )
