@@ -15,15 +15,14 @@ from vacantia.llm import packing, queries
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    known = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    known.encode_special_tokens = True
-    return known
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_the_tokenizers_file(tokenizer, documents):
-    encode = packing.encoder(packing.default_vocabulary()).encode_ordinary
+    encode = packing.encoder(packing.default_vocabulary())
     rng = random.Random(9)
-    odd = ["", " ", "\n\n \t", "<|endoftext|>", "a" * 5000, "it's  I'LL", " x y", "日本語 🙂👩‍👩‍👧", "\r\n1234567 ½²", "\x00\x01�"]
+    odd = ["", " ", "\n\n \t", "<|endoftext|>", "hi <|endoftext|> there", "a<|endoftext|><|endoftext|>\n", " <|endoftext| >",
+           "<<|endoftext|>|>  <|endoftext|>  x", "a" * 5000, "it's  I'LL", " x y", "日本語 🙂👩‍👩‍👧", "\r\n1234567 ½²", "\x00\x01�"]
     odd += ["".join(rng.choice(" \n\tab'sé1½日🙂.-_<|> ́") for _ in range(rng.randrange(60))) for _ in range(3000)]
     texts = odd + [t or "" for _, t, _ in documents]
     for text, known in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):

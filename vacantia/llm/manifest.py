@@ -219,9 +219,13 @@ def _subroot_paths(made: Manifest, runs: DataFrame) -> DataFrame:
     """(ord, prefix 0, digest, subroot, path, height) of the wanted sources, the path from the root down."""
     zero = F.lit(0).cast("long")
     asked = runs.select(F.col("ord").alias("prefix")).distinct().select(zero.alias("ord"), "prefix")
-    front = made.subroots.sparkSession.range(1).select(
-        zero.alias("ord"), zero.alias("prefix"), F.lit(made.root).alias("digest"),
-        F.lit(None).cast("string").alias("subroot"), F.array().cast(_PATH).alias("path"),
+    # Written, so that the first joins are by key like the others and not by the constants of one row.
+    front = settle(
+        made.subroots.sparkSession.range(1).select(
+            zero.alias("ord"), zero.alias("prefix"), F.lit(made.root).alias("digest"),
+            F.lit(None).cast("string").alias("subroot"), F.array().cast(_PATH).alias("path"),
+        ),
+        "manifest-root",
     )
     for height in range(made.height, 0, -1):
         records = made.records.where((F.col("tree") == "top") & (F.col("height") == height))
