@@ -47,7 +47,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 _FROM, _TO, _SPELLED = _fold_tables()
 
 
-def _near(chars: list[str], gap: int = 256) -> str:
+def _near(chars: list[str], gap: int = 64) -> str:
     """A character class of a few ranges that covers the given characters."""
     ranges: list[list[int]] = []
     for code in sorted(map(ord, chars)):
@@ -69,7 +69,7 @@ def fold(text: Column) -> Column:
     signs = F.create_map(*[F.lit(x) for pair in _SPELLED.items() for x in pair])
     letter = lambda c: F.when(c > "\x7f", F.coalesce(F.try_element_at(signs, c), c)).otherwise(c)
     spelled = F.array_join(F.transform(F.split(wide, ""), letter), "")
-    folded = F.when(low.rlike(_MAYBE_RARE), spelled).otherwise(wide)
+    folded = F.when(wide.rlike(_MAYBE_RARE), spelled).otherwise(wide)
     return F.when(low.rlike("[^\\x00-\\x7f]"), folded).otherwise(low)
 
 
@@ -80,7 +80,7 @@ def word_text(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text. ``+`` and ``#`` are letters, so C# and c++ stay whole."""
-    return F.filter(F.split(fold(text), NON_WORD), lambda w: w != "")
+    return F.array_remove(F.split(fold(text), NON_WORD), "")
 
 
 def query_words(query: str) -> list[str]:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vacantia.dims import MONTHS
 from vacantia.functions import dates, places
+from vacantia.session import stored
 
 _EDGE = r"^<!-- (TABLE|CLOSED)_(START|END) ?([a-z]*) ?-->"
 
@@ -22,31 +27,52 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("folder", F.regexp_replace("file", "/[^/]*$", ""))
 
 
-def _fill_down(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Last value of each column at or above a line, in the order folder, file, split, line.
+#: What a line inherits from the lines above it.
+_CARRIED = ["section", "company"]
+_SPLIT = ["folder", "file", "split"]
+
+
+def _fill_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last value at or above each line of its split.
 
-    Lines are only ordered within their input split, which the reader bounds in size;
-    what a split inherits comes from one summary row per split.
+    A task reads the lines of a split in their order, so this needs neither a sort nor a shuffle.
     """
-    split = ["folder", "file", "split"]
-    above = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns(
-        {f"{c}_here": F.last(c, ignorenulls=True).over(above) for c in columns}
-    )
-    ends = rows.groupBy(*split).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in columns]
-    )
-    before = (
-        Window.partitionBy("folder")
-        .orderBy("file", "split")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    last, key = {}, None
+    for batch in batches:
+        file, split = batch.column("file").to_pylist(), batch.column("split").to_numpy()
+        # Batches hold lines of one split or of a few.
+        starts = [0, *(i for i in range(1, len(file)) if split[i] != split[i - 1] or file[i] != file[i - 1])]
+        columns = {c: [] for c in _CARRIED}
+        for start, stop in zip(starts, [*starts[1:], len(file)]):
+            if (file[start], split[start]) != key:
+                last, key = {}, (file[start], split[start])
+            for c in _CARRIED:
+                own = batch.column(c).slice(start, stop - start)
+                above = pa.array([last.get(c)], own.type)
+                filled = pc.fill_null_forward(pa.concat_arrays([above, own])).slice(1)
+                last[c] = filled[-1].as_py()
+                columns[c].append(filled)
+        for c in _CARRIED:
+            at = batch.schema.get_field_index(c)
+            batch = batch.set_column(at, batch.schema.field(c), pa.concat_arrays(columns[c]))
+        yield batch
+
+
+def _fill_down(lines: DataFrame) -> DataFrame:
+    """Last value of each carried column at or above a line, in the order folder, file, split, line.
+
+    What a split inherits from those before it comes from one row for each split: the values at its end.
+    """
+    filled = stored(lines.mapInArrow(_fill_within, lines.schema), "published-lines")
+    ends = filled.groupBy(*_SPLIT).agg(*[F.max_by(c, "at").alias(c) for c in _CARRIED])
+    before = Window.partitionBy("folder").orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *split, *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_before") for c in columns]
+        *_SPLIT, *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_before") for c in _CARRIED]
+    )
+    joined = filled.join(carried, _SPLIT)
+    return joined.withColumns({c: F.coalesce(c, f"{c}_before") for c in _CARRIED}).drop(
+        *[f"{c}_before" for c in _CARRIED]
     )
-    joined = local.join(carried, split)
-    filled = {c: F.coalesce(f"{c}_here", f"{c}_before") for c in columns}
-    return joined.withColumns(filled).drop(*[f"{c}{s}" for c in columns for s in ("_here", "_before")])
 
 
 def _unescape(text: Column) -> Column:
@@ -73,28 +99,23 @@ def read_published(spark: SparkSession, path: str, as_of: str) -> DataFrame:
     """Rows of the open and closed tables; ``↳`` takes the employer of the row above."""
     lines = _lines(spark, path)
     edge = F.regexp_extract("line", _EDGE, 2)
-    section = F.when(
+    section = F.when(F.startswith(F.col("line"), F.lit("<!-- ")), F.when(
         edge == "START",
         F.concat_ws(":", F.regexp_extract("line", _EDGE, 1), F.regexp_extract("line", _EDGE, 3)),
-    ).when(edge == "END", F.lit(""))
-    cells = F.split(F.regexp_replace("line", r"^\| | \|$", ""), r" \| ")
+    ).when(edge == "END", F.lit("")))
     is_row = (
         F.startswith(F.col("line"), F.lit("| "))
         & ~F.startswith(F.col("line"), F.lit("| Company | Role |"))
         & ~F.startswith(F.col("line"), F.lit("| --"))
     )
-    name = F.when(is_row, F.trim(F.get(cells, F.lit(0))))
-    marked = lines.withColumns(
-        {
-            "section": section,
-            "is_row": is_row,
-            "cells": cells,
-            "is_repeat": F.coalesce(name == "↳", F.lit(False)),
-            "company": F.when(name != "↳", name),
-        }
-    )
-    filled = _fill_down(marked, ["section", "company"])
-    rows = filled.where(F.col("is_row") & (F.col("section") != ""))
+    # A name ends at the first bar that is a cell's end; bars within a name are written behind a backslash.
+    name = F.trim(F.substring_index(F.substring("line", 3, 1 << 30), " | ", 1))
+    marked = lines.select("*", section.alias("section"), F.when(is_row & (name != "↳"), name).alias("company"))
+    filled = _fill_down(marked)
+    cells = F.split(F.regexp_replace("line", r"^\| | \|$", ""), r" \| ")
+    rows = filled.where(is_row & (F.col("section") != "")).withColumn("cells", cells)
+    repeated = F.trim(F.get("cells", F.lit(0))) == "↳"
+    rows = rows.withColumn("is_repeat", F.coalesce(repeated, F.lit(False)))
     closed = F.startswith(F.col("section"), F.lit("CLOSED"))
     title = F.get("cells", F.lit(1))
     role = F.trim(
