@@ -182,7 +182,7 @@ def test_saved_searches_against_each_view(spark):
         "view_id int, type string, q string, cat array<string>, state string, days string, "
         "noclear boolean, closed boolean, sort string",
     )
-    pairs = views.saved_search_matches(saved, found).collect()
+    pairs = views.saved_search_matches(saved, found, slice_rows=7).collect()
     assert len(pairs) == len(set(pairs))
     got = {}
     for r in pairs:
@@ -267,3 +267,15 @@ def test_signs_that_spell_several_letters(spark):
     got = {r["t"]: r["w"] for r in rows.select("t", words(F.col("t")).alias("w")).collect()}
     assert got == {t: query_words(t) for t in texts}
     assert got[texts[0]][1:5] == ["kg", "12", "a", "cc"]
+
+
+def test_searches_are_filed_under_their_rarest_key(spark):
+    searches = spark.createDataFrame(
+        [(1, "intern", ["security", "xylophone"], [], ""), (2, "intern", ["security"], ["soc"], "TX"),
+         (3, "intern", [], [], ""), (4, "intern", ["ab"], ["soc", "grc"], ""), (5, "intern", ["none"], [], "")],
+        "search_id int, type string, needles array<string>, cat array<string>, state string",
+    )
+    counts = {"w:sec": 9, "w:xyl": 2, "c:soc": 3, "c:grc": 4, "s:TX": 5, "t:": 10}
+    keys = spark.createDataFrame([("intern", k) for k, n in counts.items() for _ in range(n)], "type string, key string")
+    got = sorted((r["search_id"], r["key"], r["n"]) for r in views.file_searches(searches, keys).collect())
+    assert got == [(1, "w:xyl", 2), (2, "c:soc", 3), (3, "t:", 10), (4, "c:grc", 4), (4, "c:soc", 3), (5, "w:non", 0)]

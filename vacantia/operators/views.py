@@ -9,12 +9,13 @@ from vacantia.dims import QUERY_CAP, TYPES
 from vacantia.functions import places, text
 from vacantia.functions.urls import query_param
 from vacantia.operators import filters
+from vacantia.session import stored
 
 
-def normalize_views(links: DataFrame, slugs: Column, states: Column) -> DataFrame:
+def normalize_views(links: DataFrame, slugs: Column, states: Column, query_cap: int = QUERY_CAP) -> DataFrame:
     """Shared links to view records: known values are kept, the rest reads as the default.
 
-    ``slugs`` and ``states`` are array columns of what the data holds, as a rule scalar
+    A query keeps its first ``query_cap`` characters. ``slugs`` and ``states`` are array columns of what the data holds, as a rule scalar
     subqueries over the two small dimensions.
     """
     url = F.col("url")
@@ -25,7 +26,7 @@ def normalize_views(links: DataFrame, slugs: Column, states: Column) -> DataFram
     return known.select(
         "view_id",
         F.when(kind.isin(*TYPES), kind).otherwise(F.lit(TYPES[0])).alias("type"),
-        F.substring(query_param(url, "q"), 1, QUERY_CAP).alias("q"),
+        F.substring(query_param(url, "q"), 1, query_cap).alias("q"),
         F.filter(cats, lambda c: F.array_contains("known_slugs", c)).alias("cat"),
         F.when(F.array_contains(allowed, place), place).otherwise(F.lit("")).alias("state"),
         F.when(days.isin("7", "30"), days).otherwise(F.lit("")).alias("days"),
@@ -71,6 +72,9 @@ def group_views(views: DataFrame) -> DataFrame:
     return views.groupBy(canonical_view().alias("view")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Listings of one key that meet its searches in one slice.
+SLICE_ROWS = 50_000
+
 _SEARCH = ["type", "needles", "cat", "state", "days", "noclear", "closed"]
 
 
@@ -93,20 +97,20 @@ def view_searches(views: DataFrame) -> DataFrame:
     return _searches(views).join(ids, _SEARCH).select("view_id", "search_id")
 
 
-def _anchors() -> Column:
-    """The join keys of one search: the rarest kind of filter it has.
+def _options() -> Column:
+    """The sets of join keys a search can be filed under, each of which every listing it shows has one key of.
 
-    The first three letters of a word, else each category, else the place, else the type.
+    A word's first three letters, its categories, its place, or its type, which always serves.
     """
-    longest = F.get(F.array_sort("needles", lambda a, b: F.length(b) - F.length(a)), F.lit(0))
-    word = F.array(F.concat(F.lit("w:"), F.substring(longest, 1, 3)))
+    words = F.transform(
+        F.filter("needles", lambda w: F.length(w) >= 3), lambda w: F.array(F.concat(F.lit("w:"), F.substring(w, 1, 3)))
+    )
     cats = F.transform("cat", lambda c: F.concat(F.lit("c:"), c))
-    place = F.array(F.concat(F.lit("s:"), F.col("state")))
-    return (
-        F.when(F.length(longest) >= 3, word)
-        .when(F.size("cat") > 0, cats)
-        .when(F.col("state") != "", place)
-        .otherwise(F.array(F.lit("t:")))
+    none = F.array().cast("array<array<string>>")
+    return F.concat(
+        words, F.when(F.size("cat") > 0, F.array(cats)).otherwise(none),
+        F.when(F.col("state") != "", F.array(F.array(F.concat(F.lit("s:"), F.col("state"))))).otherwise(none),
+        F.array(F.array(F.lit("t:"))),
     )
 
 
@@ -122,31 +126,48 @@ def _listing_keys() -> Column:
     return F.array_distinct(F.concat(own, states, remote, starts))
 
 
+def file_searches(searches: DataFrame, keys: DataFrame) -> DataFrame:
+    """(search_id, type, key, n): each search under the set of keys that the fewest listings have.
+
+    ``keys`` holds (type, key) of the listings. How many have a key is counted, not guessed: a word that every listing
+    of a board has is no anchor, whatever its length. A set of several keys costs the sum of them.
+    """
+    asked = searches.select("search_id", "type", F.posexplode(_options()).alias("option", "keys"))
+    asked = asked.select("search_id", "type", "option", F.explode("keys").alias("key"))
+    held = keys.groupBy("type", "key").agg(F.count(F.lit(1)).alias("n"))
+    costed = asked.join(held, ["type", "key"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    sets = costed.groupBy("search_id", "type", "option").agg(
+        F.sum("n").alias("cost"), F.collect_list(F.struct("key", "n")).alias("keys")
+    )
+    best = sets.groupBy("search_id", "type").agg(F.min_by("keys", F.struct("cost", "option")).alias("keys"))
+    return best.select("search_id", "type", F.explode("keys").alias("k")).select("search_id", "type", "k.key", "k.n")
+
+
 def saved_search_matches(
-    views: DataFrame, listings: DataFrame, salts: int | None = None
+    views: DataFrame, listings: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """For each saved search every listing it shows; ``view_searches`` names each view's search.
 
-    The predicate is not an equality, but each search has a part that is: it is joined
-    on its type and one anchor, then the whole predicate is tested on the candidates.
-    A search has anchors of one kind only and a listing holds each key once, so no pair
-    comes out twice. Listings of a common key are spread over ``salts`` slices, against
-    which the searches, already one row per distinct search, are repeated; without a number,
-    an eighth of the configured shuffle partitions. A search without a filter shows every
-    open listing of its type.
+    The predicate is not an equality, but each search has parts that are: it is filed under the rarest of
+    them (see ``file_searches``) and meets the ids of the listings that have the key. Only those candidates are
+    tested in full, for which a listing's row moves once and not once for each of its keys. A search's keys are of one kind and a
+    listing holds each key once, so no pair comes out twice. The listings of a common key are cut into slices of about
+    ``slice_rows`` by its count, and its searches, already one row per distinct search, meet each slice. A search without a
+    filter shows every open listing of its type.
     """
-    if salts is None:
-        salts = max(1, int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    searches = distinct_searches(views).select(
-        "search_id", F.col("type").alias("v_type"), "needles",
-        F.col("cat").alias("v_cat"), F.col("state").alias("v_state"),
-        F.col("days").alias("v_days"), F.col("noclear").alias("v_noclear"),
-        F.col("closed").alias("v_closed"), F.explode(_anchors()).alias("key"),
-    ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = listings.select(
-        "id", "type", "closed", "clearance", "remote", "states", "age", "slug", "hay",
-        F.explode(_listing_keys()).alias("key"),
-    ).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    searches = stored(distinct_searches(views).drop("saved"), "searches")
+    keys = listings.select("id", "type", F.explode(_listing_keys()).alias("key"))
+    filed = stored(
+        file_searches(searches, keys).where("n > 0").withColumn("slices", F.ceil(F.col("n") / slice_rows)), "filed-searches"
+    )
+    wanted = filed.select("type", "key", "slices").distinct()
+    held = keys.join(wanted, ["type", "key"]).withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")))
+    asked = filed.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    candidates = held.join(asked.drop("n", "slices"), ["type", "key", "slice"]).select("id", "search_id")
+    told = searches.select(
+        "search_id", "needles", F.col("cat").alias("v_cat"), F.col("state").alias("v_state"),
+        F.col("days").alias("v_days"), F.col("noclear").alias("v_noclear"), F.col("closed").alias("v_closed"),
+    )
     hit = (
         (F.col("v_closed") | filters.open_only())
         & (~F.col("v_noclear") | filters.no_clearance())
@@ -159,9 +180,5 @@ def saved_search_matches(
         & ((F.size("v_cat") == 0) | F.array_contains("v_cat", F.col("slug")))
         & F.forall("needles", lambda w: F.contains(F.col("hay"), F.concat(F.lit(" "), w)))
     )
-    same = (
-        (rows["type"] == searches["v_type"])
-        & (rows["key"] == searches["key"])
-        & (rows["salt"] == searches["salt"])
-    )
-    return rows.join(searches, same).where(hit).select("search_id", "id")
+    rows = listings.select("id", "closed", "clearance", "remote", "states", "age", "slug", "hay")
+    return candidates.join(told, "search_id").join(rows, "id").where(hit).select("search_id", "id")
