@@ -277,5 +277,5 @@ def test_searches_are_filed_under_their_rarest_key(spark):
     )
     counts = {"w:sec": 9, "w:xyl": 2, "c:soc": 3, "c:grc": 4, "s:TX": 5, "t:": 10}
     keys = spark.createDataFrame([("intern", k) for k, n in counts.items() for _ in range(n)], "type string, key string")
-    got = sorted((r["search_id"], r["key"], r["n"]) for r in views.file_searches(searches, keys).collect())
+    got = sorted((r["search_id"], r["key"], r["n"]) for r in views.file_searches(views.search_options(searches), keys).collect())
     assert got == [(1, "w:xyl", 2), (2, "c:soc", 3), (3, "t:", 10), (4, "c:grc", 4), (4, "c:soc", 3), (5, "w:non", 0)]

@@ -126,16 +126,20 @@ def _listing_keys() -> Column:
     return F.array_distinct(F.concat(own, states, remote, starts))
 
 
-def file_searches(searches: DataFrame, keys: DataFrame) -> DataFrame:
+def search_options(searches: DataFrame) -> DataFrame:
+    """(search_id, type, option, key): the keys of each set that a search can be filed under."""
+    asked = searches.select("search_id", "type", F.posexplode(_options()).alias("option", "keys"))
+    return asked.select("search_id", "type", "option", F.explode("keys").alias("key"))
+
+
+def file_searches(options: DataFrame, keys: DataFrame) -> DataFrame:
     """(search_id, type, key, n): each search under the set of keys that the fewest listings have.
 
     ``keys`` holds (type, key) of the listings. How many have a key is counted, not guessed: a word that every listing
     of a board has is no anchor, whatever its length. A set of several keys costs the sum of them.
     """
-    asked = searches.select("search_id", "type", F.posexplode(_options()).alias("option", "keys"))
-    asked = asked.select("search_id", "type", "option", F.explode("keys").alias("key"))
     held = keys.groupBy("type", "key").agg(F.count(F.lit(1)).alias("n"))
-    costed = asked.join(held, ["type", "key"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    costed = options.join(held, ["type", "key"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sets = costed.groupBy("search_id", "type", "option").agg(
         F.sum("n").alias("cost"), F.collect_list(F.struct("key", "n")).alias("keys")
     )
@@ -156,9 +160,13 @@ def saved_search_matches(
     filter shows every open listing of its type.
     """
     searches = stored(distinct_searches(views).drop("saved"), "searches")
-    keys = listings.select("id", "type", F.explode(_listing_keys()).alias("key"))
+    options = stored(search_options(searches), "search-options")
+    # Only keys that some search could be filed under are kept, a few narrow rows for each listing.
+    named = options.select("type", "key").distinct()
+    every = listings.select("id", "type", F.explode(_listing_keys()).alias("key"))
+    keys = stored(every.join(named, ["type", "key"]), "listing-keys")
     filed = stored(
-        file_searches(searches, keys).where("n > 0").withColumn("slices", F.ceil(F.col("n") / slice_rows)), "filed-searches"
+        file_searches(options, keys).where("n > 0").withColumn("slices", F.ceil(F.col("n") / slice_rows)), "filed-searches"
     )
     wanted = filed.select("type", "key", "slices").distinct()
     held = keys.join(wanted, ["type", "key"]).withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")))

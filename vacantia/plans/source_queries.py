@@ -16,6 +16,7 @@ from vacantia.plans.oracle import (
     CHECKS, EMPLOYERS, LISTINGS, POSTINGS, SHARED, board_key, lst, pick, q, with_,
     word_text as sql_words,
 )
+from vacantia.session import stored
 from vacantia.sources import community, listings, postings, probes, published
 
 AS_OF = f"DATE '{LST_AS_OF}'"
@@ -346,7 +347,8 @@ def _(d):
         AND len(list_filter(s.needles, lambda w: NOT contains(b.hay, ' ' || w))) = 0""",
 )
 def _(d):
-    return views.saved_search_matches(_views(d), d.board("role", "places", "clearance"))
+    board = stored(d.board("role", "places", "clearance"), "board")
+    return views.saved_search_matches(_views(d), board)
 
 
 @query(
