@@ -25,7 +25,7 @@ def test_alignment_equals_plain_one():
         a = [rng.randrange(1, 6) for _ in range(rng.randrange(1, 15))]
         b = [rng.randrange(1, 6) for _ in range(rng.randrange(0, 20))]
         pairs.append((a, b))
-    got = dec.align([np.array(a, np.uint64) for a, _ in pairs], [np.array(b, np.uint64) for _, b in pairs])
+    got, _ = dec.align([np.array(a, np.uint64) for a, _ in pairs], [np.array(b, np.uint64) for _, b in pairs])
     assert np.allclose(got, [smith_waterman(a, b) for a, b in pairs])
 
 
@@ -131,3 +131,32 @@ def test_long_passages_of_longer_items(spark, make):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     got = {(r["id"], r["item_id"]): r["score"] for r in dec.leaks(make(docs), bench).collect()}
     assert got == {(1, 1): 0.55, (2, 2): 0.5, (3, 2): 0.05, (5, 2): (2 * 59 - 1) / 2000}
+
+
+def test_short_items_with_every_edit(spark, make):
+    """Items of 4 to 12 words with one and two words replaced, left out or put in, against the plain alignment."""
+    items, docs = [], []
+    for n in range(4, 13):
+        own = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, own))
+        edits = [[i] for i in range(n)] + [[i, j] for i in range(n) for j in range(i)]
+        for at in edits:
+            docs.append([w if i not in at else "other" for i, w in enumerate(own)])
+            docs.append([w for i, w in enumerate(own) if i not in at])
+        docs += [own[:i] + ["other"] + own[i:] for i in range(n)]
+    rows = [(d, " ".join(["before", "it"] + words + ["after", "it"])) for d, words in enumerate(docs)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id smallint, text string")
+    want = {
+        (d, i) for (d, text) in rows for i, own in items
+        if own[0][:-2] in text and smith_waterman(own, text.split()) >= dec.MIN_SCORE
+    }
+    got = dec.leaks(make(rows), bench).collect()
+    assert {(r["id"], r["item_id"]) for r in got} == want and len(want) > 300
+
+
+def test_the_aligned_passage_is_reported(spark, make):
+    own = [f"w{i}" for i in range(8)]
+    docs = [(1, ["a"] + own + ["b"] * 5), (2, ["a"] * 4 + own[:3] + ["edit"] + own[4:] + ["b"]), (3, own[:7]), (4, ["x"] * 30 + own[1:])]
+    bench = spark.createDataFrame([("i", " ".join(own))], "item_id string, text string")
+    got = dec.leaks(make([(i, " ".join(w)) for i, w in docs]), bench).collect()
+    assert {r["id"]: (r["from_word"], r["past_word"]) for r in got} == {1: (1, 9), 2: (4, 12), 3: (0, 7), 4: (30, 37)}

@@ -2,11 +2,13 @@
 
 Test items are taken in blocks of a bounded number of words; each block meets all documents in one pass,
 which joins document passages to items over word n-grams: hits of one item on nearby diagonals make a
-candidate. Every candidate is aligned with its item, but for those whose words cannot reach the threshold:
-an alignment needs as many shared words as it is worth. Edits, gaps and replaced words lower the
-score, which is the alignment's share of the item's own. An item is leaked by a document if the score
-reaches the threshold, or if the alignment is worth a number of verbatim words, whatever share of a long
-item they are. How many documents hold an n-gram decides nothing.
+candidate, one hit is enough. A copy with replaced or left out words that reaches the threshold holds a run of three words of an
+item of ``LONG`` words or more, and one of two words of a shorter item, so seeds are runs of three or two. Every candidate is
+aligned with its item, but for those whose words cannot reach the threshold: an alignment needs as many
+shared words as it is worth. Edits, gaps and replaced words lower the score, which is the alignment's share of the
+item's own. An item is leaked by a document if the score reaches the threshold, or if the alignment is worth a
+number of verbatim words, whatever share of a long item they are. How many documents hold an n-gram decides nothing.
+The passage reported is the aligned one, from its first matching word to past its last.
 
 Defined results: null or empty texts and items match nothing; repeated rows get equal rows; an item shorter
 than an n-gram is its own seed; other columns are never read by ``leaks`` and all are kept by ``keep_clean``.
@@ -22,10 +24,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from vacantia.llm.common import fresh, row_key, settle
 
 NGRAM = 3
+#: Words from which an item's seeds are n-grams; a shorter one's are pairs of words.
+LONG = 9
 #: Least alignment score of a leak.
 MIN_SCORE = 0.6
 #: An alignment worth so many verbatim words is a leak whatever share of its item it is.
@@ -83,8 +89,14 @@ class Filter:
         return some[self.values[at] == found[some]] if len(self.values) else some
 
 
-def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
-    """Smith-Waterman score of each pair over the score of the item with itself, row by row for all pairs."""
+def seed_size(n: int) -> int:
+    """Words of a seed of an item of n words."""
+    return min(n, NGRAM if n >= LONG else 2)
+
+
+def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Smith-Waterman score of each pair over the score of the item with itself, row by row for all pairs, and the
+    first place past the best alignment in the passage."""
     rows, columns = max(map(len, items)), max(map(len, passages))
     a = np.zeros((len(items), rows), np.uint64)
     b = np.zeros((len(items), columns), np.uint64)
@@ -95,7 +107,7 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
         b[i, : len(y)], filled[i, : len(y)] = y, True
     slope = np.arange(columns, dtype=np.int32) * -GAP
     last = np.zeros((len(items), columns + 1), np.int32)
-    best = np.zeros(len(items), np.int32)
+    best, past = np.zeros(len(items), np.int32), np.zeros(len(items), np.int64)
     for r in range(rows):
         same = (b == a[:, r : r + 1]) & filled & inside[:, r : r + 1]
         now = np.maximum(last[:, :-1] + np.where(same, MATCH, MISMATCH), last[:, 1:] + GAP)
@@ -103,8 +115,18 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
         # The best gap to the left: a running maximum along a slope.
         now = np.maximum.accumulate(now + slope, axis=1) - slope
         last[:, 1:] = now
-        np.maximum(best, np.where(inside[:, r], now.max(axis=1), 0), out=best)
-    return best / (MATCH * np.array([len(x) for x in items]))
+        top = np.where(inside[:, r], now.max(axis=1), 0)
+        more = np.nonzero(top > best)[0]
+        past[more] = now[more].argmax(axis=1) + 1
+        best[more] = top[more]
+    return best / (MATCH * np.array([len(x) for x in items])), past
+
+
+def passage_of(item: np.ndarray, passage: np.ndarray, past: int) -> tuple[int, int]:
+    """Where the best alignment that ends before ``past`` begins and ends in the passage: read backwards, it ends at its
+    beginning."""
+    _, length = align([item[::-1]], [passage[:past][::-1]])
+    return past - int(length[0]), past
 
 
 class Block:
@@ -114,18 +136,14 @@ class Block:
         words = Words()
         self.ids = [i for i, _ in items]
         self.words = [words(text) for _, text in items]
-        self.grams = [grams(w) for w in self.words]
-        self.sizes = sorted({min(NGRAM, len(w)) for w in self.words})
+        self.grams = [grams(w, seed_size(len(w))) for w in self.words]
+        self.sizes = sorted({seed_size(len(w)) for w in self.words})
         self.filter = Filter(np.concatenate([np.zeros(0, np.uint64), *self.grams]))
         self.places = defaultdict(list)
         for i, own in enumerate(self.grams):
             for at, g in enumerate(own.tolist()):
                 self.places[g].append((i, at))
 
-    def needed(self, item: int) -> int:
-        """Hits that a candidate holds at least."""
-        return 2 if len(self.words[item]) > NGRAM + 1 else 1
-
     def least(self, item: int, min_score: float) -> float:
         """Score from which an alignment with the item is a leak."""
         return min(min_score, LEAST_WORDS / len(self.words[item]))
@@ -136,24 +154,23 @@ class Block:
         return min(int(np.isin(own, passage).sum()), int(np.isin(passage, own).sum())) / len(own)
 
     def hits(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, from, past) of each cluster of diagonals with the needed number of n-grams."""
+        """(item, from, past) of each cluster of diagonals."""
         diagonals: dict[int, list[int]] = defaultdict(list)
         for size in self.sizes:
             found = grams(words, size) if len(words) >= size else words[:0]
             for at in self.filter.places(found).tolist():
                 for item, place in self.places[int(found[at])]:
-                    if min(NGRAM, len(self.words[item])) == size:
+                    if seed_size(len(self.words[item])) == size:
                         diagonals[item].append(at - place)
         out = []
         for item, shifts in sorted(diagonals.items()):
             n = len(self.words[item])
-            slack, needed = 4 + n // 3, self.needed(item)
+            slack = 4 + n // 3
             shifts.sort()
             start = 0
             for i in range(1, len(shifts) + 1):
                 if i == len(shifts) or shifts[i] - shifts[i - 1] > slack or shifts[i] - shifts[start] > n:
-                    if i - start >= needed:
-                        out.append((item, max(0, shifts[start] - slack), min(len(words), shifts[i - 1] + n + slack)))
+                    out.append((item, max(0, shifts[start] - slack), min(len(words), shifts[i - 1] + n + slack)))
                     start = i
         return out
 
@@ -174,9 +191,9 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str):
         yield Block(held)
 
 
-def _scan(rows: DataFrame, block: Block, min_score: float, item_type: str) -> DataFrame:
+def _scan(rows: DataFrame, block: Block, min_score: float, item_type: DataType) -> DataFrame:
     """One pass over all documents: the best leak of each document and item of the block."""
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
+    kind, item_type = to_arrow_type(item_type), item_type.simpleString()
 
     def scan(batches):
         words = Words()
@@ -186,9 +203,13 @@ def _scan(rows: DataFrame, block: Block, min_score: float, item_type: str) -> Da
             waiting, widest, best = [], 0, {}
 
             def flush():
-                for (row, item, start, past, _), score in zip(waiting, align([block.words[w[1]] for w in waiting], [w[4] for w in waiting]).tolist()):
-                    if score >= block.least(item, min_score) and (-score, start) < best.get((row, item), (1, 0))[:2]:
-                        best[row, item] = (-score, start, past)
+                scores, pasts = align([block.words[w[1]] for w in waiting], [w[3] for w in waiting])
+                for (row, item, start, passage), score, past in zip(waiting, scores.tolist(), pasts.tolist()):
+                    if score < block.least(item, min_score) or -score > best.get((row, item), (1,))[0]:
+                        continue
+                    a, b = passage_of(block.words[item], passage, past)
+                    found = (-score, start + a, start + b)
+                    best[row, item] = min(found, best.get((row, item), found))
 
             for row, text in enumerate(batch.column("text")):
                 hashes = words(text.as_py())
@@ -197,7 +218,7 @@ def _scan(rows: DataFrame, block: Block, min_score: float, item_type: str) -> Da
                     if block.bound(item, passage) < block.least(item, min_score):
                         continue
                     widest = max(widest, len(passage))
-                    waiting.append((row, item, start, past, passage))
+                    waiting.append((row, item, start, passage))
                     if widest * len(waiting) > 200_000:
                         flush()
                         waiting, widest = [], 0
@@ -230,13 +251,14 @@ def leaks(
     rows = documents.select(
         row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
-    item_type = dict(benchmark.dtypes)[item_col]
+    item_type = benchmark.schema[item_col].dataType
     found = None
     for block in blocks(benchmark, item_col, item_text_col):
         part = settle(_scan(rows, block, min_score, item_type), "leaks")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return documents.sparkSession.createDataFrame([], _LEAK.format(id=dict(rows.dtypes)["id"], item=item_type))
+        shape = _LEAK.format(id=dict(rows.dtypes)["id"], item=item_type.simpleString())
+        return documents.sparkSession.createDataFrame([], shape)
     return found
 
 
