@@ -92,3 +92,12 @@ def test_odd_rows(spark, make):
     assert sorted(r["doc_id"] for r in kept.collect()) == [4, 6, 7, 9]
     assert simhash.near_duplicates(make([])).collect() == []
     assert simhash.keep_one(make([(None, "x y"), (None, "x y")])).count() == 1
+
+
+def test_rows_with_a_map_column(spark):
+    rows = [(1, "one two three four", {"k": "b"}), (1, "one two three four", {"k": "a"}), (2, "one two three four", None),
+            (3, "something else is here", {})]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,string>")
+    out = simhash.keep_one(frame)
+    assert out.columns == frame.columns
+    assert sorted((r["doc_id"], r["tags"]) for r in out.collect()) == [(1, {"k": "a"}), (3, {})]

@@ -218,4 +218,7 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("component").agg(F.min("key").alias(key))
     kept = documents.withColumn(key, row_key(id_col, text_col)).join(first.select(key).distinct(), key, "left_semi")
     # Rows equal in id and text can differ in other columns; the least of them stays.
-    return kept.withColumn(tie, F.struct(*documents.columns)).groupBy(key).agg(F.min(tie).alias(tie)).select(f"{tie}.*")
+    # Maps have no order of their own; rows that hold one are ordered as they are spelled.
+    mapped = any("map<" in kind for _, kind in documents.dtypes)
+    least = F.min_by(tie, F.to_json(tie)) if mapped else F.min(tie)
+    return kept.withColumn(tie, F.struct(*documents.columns)).groupBy(key).agg(least.alias(tie)).select(f"{tie}.*")
