@@ -87,3 +87,21 @@ def test_edited_copies_of_a_text_count_once(spark, make):
         rows.append((i, "\n".join(own), "site"))
     got = quality.judge(make(rows)).collect()
     assert len(got) == 120 and all(r["kept"] and r["removed_words"] == 0 for r in got)
+
+
+def test_furniture_lines_leave_kept_texts(spark, make):
+    cookie, letter = "We use cookies to 3 ends", "Sign up for our  Newsletter"
+    own = {i: _words(f"own{i}x", 80) for i in range(100)}
+    rows = [(i, f"{cookie}\n\n{t}\n{letter.upper() if i % 2 else letter}\n \nend {_words(f'more{i}x', 30)}", "site") for i, t in own.items()]
+    rows += [(200 + i, f"{cookie}\n{_words(f'far{i}x', 80)}", f"lone{i}") for i in range(30)]
+    frame = make(rows + rows[:2], extra=("key", "removed_lines", "row_lines"))
+    good = quality.keep_good(frame)
+    got = Counter((r["doc_id"], r["text"]) for r in good.collect())
+    want = Counter((i, f"\n{own[i]}\n \nend {_words(f'more{i}x', 30)}" if i < 200 else t) for i, t, _ in rows + rows[:2])
+    assert got == want and good.columns == frame.columns
+
+
+def test_cut_lines_and_measures_name_lines_alike():
+    for text in ("", "A  1\n\tb\r\n\n a 22 ", "x\x0by\nX Y", "\u0130 i\n\u00df\n"):
+        assert not re.search(r"[^\s]", quality.cut_lines(text, quality.measure_text(text)[5])), text
+        assert quality.cut_lines(text, []) == text

@@ -5,8 +5,8 @@ of a host is furniture; it is taken out, and a document of which too little is l
 is one that fails the base rules.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; repeated rows
-get the same verdict, and copies and near copies of a whole text count as one document; columns of any other name are kept
-by ``keep_good`` and never read.
+get the same verdict, and copies and near copies of a whole text count as one document; lines without a word are
+never removed; columns of any other name are kept by ``keep_good`` and never read.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -77,6 +78,18 @@ def word_pairs(words: list) -> list[int]:
     return np.unique((x >> np.uint64(32)).astype(np.uint32).view(np.int32)).tolist()
 
 
+def _line_hash(parts: list) -> int:
+    """The hash of a line's words, whatever their case, digits and spaces."""
+    normal = _DIGITS.sub("0", " ".join(parts).lower())
+    return _signed(xxhash.xxh64_intdigest(normal.encode("utf-8", "surrogatepass")))
+
+
+def cut_lines(text: str, hashes) -> str:
+    """The text without the lines of the given hashes."""
+    gone = set(hashes)
+    return "\n".join(x for x in text.split("\n") if not (parts := _WORD.findall(x)) or _line_hash(parts) not in gone)
+
+
 def measure_text(text: str | None) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, words per line,
     word pairs of the different lines)."""
@@ -169,7 +182,8 @@ def judge(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     line_documents: int = LINE_DOCUMENTS, line_share: float = LINE_SHARE, max_removed: float = MAX_REMOVED,
 ) -> DataFrame:
-    """Per row of documents: key (of id, host and text), id, the measures, removed_words, base_failed, kept.
+    """Per row of documents: key (of id, host and text), id, the measures, removed_words, removed_lines (hashes, null
+    if none), base_failed, kept.
 
     Lines are counted over different documents: copies and near copies of a whole text count once, so the lines
     of a large group of them are no furniture. Near copies are sought only among documents with a line that
@@ -216,7 +230,9 @@ def judge(
         "host", "line", F.coalesce("first", "body").alias("document")
     ).distinct()
     removed = (
-        hits.join(frequent(counted), ["host", "line", "part"]).groupBy("key").agg(F.sum("words").alias("removed_words"))
+        hits.join(frequent(counted), ["host", "line", "part"]).groupBy("key").agg(
+            F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed_lines")
+        )
     )
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     return (
@@ -230,10 +246,18 @@ def judge(
 def keep_good(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits
 ) -> DataFrame:
-    """The rows of documents whose verdict is kept, with all their columns."""
-    key, host = fresh(documents, "row_key"), fresh(documents, "row_host")
+    """The rows of documents whose verdict is kept, with all their columns; their texts are without the lines that
+    are furniture of their host."""
+    key, host, lines = (fresh(documents, name) for name in ("row_key", "row_host", "row_lines"))
     verdicts = judge(documents, id_col, text_col, host_col, **limits)
-    good = verdicts.where("kept").select(F.col("key").alias(key)).distinct()
+    good = verdicts.where("kept").select(F.col("key").alias(key), F.col("removed_lines").alias(lines)).dropDuplicates([key])
     keyed = documents.withColumn(host, F.coalesce(F.col(host_col).cast("string"), F.lit("\0")))
-    keyed = keyed.withColumn(key, row_key(id_col, host, text_col))
-    return keyed.join(good, key, "left_semi").select(documents.columns)
+    keyed = keyed.withColumn(key, row_key(id_col, host, text_col)).join(good, key)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([None if h is None else cut_lines(t, h) for t, h in zip(texts, hashes)], dtype=object)
+
+    # Only texts that lose a line are sent to be cut.
+    left = cut(F.when(F.col(lines).isNotNull(), F.col(text_col)), F.col(lines))
+    return keyed.withColumn(text_col, F.coalesce(left, F.col(text_col))).select(documents.columns)
