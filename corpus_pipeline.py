@@ -15,8 +15,8 @@ from vacantia.llm.common import settle
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    return quality.keep_good(docs)
+    """Documents that pass the quality rules, without the lines that are furniture of their source."""
+    return quality.keep_good(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
