@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from vacantia.dims import CATEGORIES as LEGEND
 from vacantia.functions import text
 from vacantia.functions.dates import iso
-from vacantia.operators import counts, filters, joins, prepare, repeats, sets, sorts
+from vacantia.operators import counts, filters, joins, prepare, repeats, sets, sketches, sorts
 from vacantia.operators.filters import View
 from vacantia.plans.bindings import CATEGORIES, LST_AS_OF
 from vacantia.plans.catalog import query
 from vacantia.plans.oracle import EMPLOYERS, LISTINGS, MARKS, POSTINGS, STATE_MAP, lst, q, with_
 from vacantia.plans.oracle import slug as sql_slug
 from vacantia.plans.oracle import word_text as sql_words
-from vacantia.session import fixed_table
+from vacantia.session import fixed_table, stored
 
 BOARD = with_(LISTINGS)
 AS_OF = f"DATE '{LST_AS_OF}'"
@@ -299,6 +299,41 @@ def _(d):
     return counts.summary(d.board())
 
 
+@query(
+    "agg5_sketched_companies",
+    BOARD + f"""SELECT x.type, s.span, count(DISTINCT company) AS companies, TRUE AS within_error
+      FROM board x, (VALUES (7), (30), (90)) s(span) WHERE age < s.span GROUP BY 1, 2
+      UNION ALL SELECT 'all', s.span, count(DISTINCT company), TRUE
+      FROM board x, (VALUES (7), (30), (90)) s(span) WHERE age < s.span GROUP BY 2""",
+)
+def _(d):
+    """Employers of the last days by stored sketches, two landings folded, beside the exact counts."""
+    board = d.board().select("id", "type", "company", "date_added", "age")
+    late = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    # Rows of one day land in two runs; some of the first land again.
+    first, second = board.where(~late), board.where(late | (F.col("type") == "intern"))
+    days = stored(sketches.day_sketches(first, "company", "date_added", ("type",)), "day-sketches")
+    days = stored(
+        sketches.fold(days, sketches.day_sketches(second, "company", "date_added", ("type",))), "day-sketches"
+    )
+    out = None
+    for span in (7, 30, 90):
+        during = F.col("day") > F.date_sub(F.lit(LST_AS_OF).cast("date"), span)
+        recent = board.where(F.col("age") < span)
+        by_type = sketches.estimates(days, ("type",), during).join(
+            recent.groupBy("type").agg(F.countDistinct("company").alias("companies")), "type"
+        )
+        whole = sketches.estimates(days, (), during).withColumn("type", F.lit("all")).join(
+            recent.groupBy(F.lit("all").alias("type")).agg(F.countDistinct("company").alias("companies")), "type"
+        )
+        both = by_type.unionByName(whole).select(
+            "type", F.lit(span).alias("span"), "companies",
+            sketches.close_to(F.col("estimate"), F.col("companies")).alias("within_error"),
+        )
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 @query(
     "agg6_headline",
     BOARD + f"""SELECT count(*) FILTER (WHERE type = 'intern') AS intern,
