@@ -316,22 +316,18 @@ def _(d):
     days = stored(
         sketches.fold(days, sketches.day_sketches(second, "company", "date_added", ("type",))), "day-sketches"
     )
-    out = None
-    for span in (7, 30, 90):
-        during = F.col("day") > F.date_sub(F.lit(LST_AS_OF).cast("date"), span)
-        recent = board.where(F.col("age") < span)
-        by_type = sketches.estimates(days, ("type",), during).join(
-            recent.groupBy("type").agg(F.countDistinct("company").alias("companies")), "type"
-        )
-        whole = sketches.estimates(days, (), during).withColumn("type", F.lit("all")).join(
-            recent.groupBy(F.lit("all").alias("type")).agg(F.countDistinct("company").alias("companies")), "type"
-        )
-        both = by_type.unionByName(whole).select(
-            "type", F.lit(span).alias("span"), "companies",
-            sketches.close_to(F.col("estimate"), F.col("companies")).alias("within_error"),
-        )
-        out = both if out is None else out.unionByName(both)
-    return out
+    kinds = F.explode(F.array("type", F.lit("all"))).alias("type")
+
+    def spans(age):
+        """Every span that an age is in."""
+        return F.explode(F.filter(F.array(*map(F.lit, (7, 30, 90))), lambda span: span > age)).alias("span")
+
+    ages = F.datediff(F.lit(LST_AS_OF).cast("date"), F.col("day"))
+    covered = days.select(kinds, "day", "sketch").select("type", spans(ages), "sketch")
+    exact = board.select(kinds, "company", "age").select("type", spans(F.col("age")), "company").distinct()
+    return sketches.estimates(covered, ("type", "span")).join(
+        exact.groupBy("type", "span").agg(F.count("company").alias("companies")), ["type", "span"]
+    ).select("type", "span", "companies", sketches.close_to(F.col("estimate"), F.col("companies")).alias("within_error"))
 
 
 @query(
