@@ -143,6 +143,44 @@ def test_families_within_a_large_bucket(spark, make):
     )
 
 
+def test_lines_in_one_large_bucket_meet_without_a_leader(spark, make):
+    """Lines of a bucket that are below the similarity to all its leaders, but similar to each other, two by two."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(17)
+    own = [" ".join(_words(rng, 30)) for _ in range(300)]
+    lines = own + [text + "q" for text in own]
+    rows = make(list(enumerate(lines)))
+    signed = linededup.signatures(rows).withColumn("buckets", F.array(F.lit(1).cast("long")))
+    met = linededup.members(signed)
+    led, texts = linededup.leaders(met), linededup.texts_of(rows, met)
+    assert led.count() == linededup.LEADERS
+    first = linededup.similar(linededup.led_pairs(met, led), texts, 0.8)
+    roots = linededup.settle(linededup.components(first), "roots")
+    rest = linededup.similar(linededup.other_pairs(met, led, roots, signed, 0.8), texts, 0.8)
+    tied = linededup.components(roots.toDF("u", "v").unionByName(rest))
+    assert roots.count() < 40 and tied.count() == 300
+
+
+def test_bitmaps_tell_no_similar_lines_apart(spark, make):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(23)
+    lines = ["ab" * 200, "ab" * 250, "short", "shorts", "日本語の文章", "x" * 9000, "x" * 9001]
+    for size in (3, 12, 40, 160, 700):
+        base = _words(rng, size)
+        lines += [" ".join(base[:k] + ["zz"] + base[k + 1:]) for k in range(0, size, max(1, size // 4))] + [" ".join(base)]
+    rows = make(list(enumerate(lines)))
+    signed = linededup.signatures(rows)
+    pairs = signed.select(F.col("line").alias("u")).crossJoin(signed.select(F.col("line").alias("v"))).where("u < v")
+    texts = linededup._lines(rows)
+    for similarity in (0.5, 0.8, 0.95):
+        near = linededup.possible(pairs, signed, similarity)
+        assert near.count() < pairs.count()
+        got = {(r.u, r.v) for r in linededup.similar(near, texts, similarity).collect()}
+        assert got and got == {(r.u, r.v) for r in linededup.similar(pairs, texts, similarity).collect()}
+
+
 def test_main_path_is_native(spark, folder):
     plan = queries.QUERIES["op10_line_dedup"](spark, folder)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -2,13 +2,15 @@
 
 Lines are normalised (lower case, runs of white space as one space, trimmed) and hashed; equal lines are one
 line from then on. Two lines are similar if the Jaccard similarity of their runs of eight characters, all of them,
-is at least 0.8; a shorter line is one run. Candidates come from signatures: twelve minimum hashes over the
-runs that start with a word, or at any character of scripts without spaces, or within long words at every
-twelfth, which follow edits and are a sixth as many as all runs; they give eight bands of three. Each line of a
-band's bucket is paired with the bucket's leaders, which are the least lines of sixteen parts of it, so pairs grow with
-the lines and not with the square of a bucket; a link that neither a leader nor another bucket has is not found.
-Every pair is verified by the exact similarity, and the components of the links keep one line: that of the
-least document id.
+is at least 0.8; a shorter line is one run. Candidates come from signatures: 24 minimum hashes over all
+runs, which give eight bands of three. Lines that share a bucket of a band meet in two passes. First each line meets the
+bucket's leaders, the least lines of sixteen parts of it, which joins most components. Then all lines of a
+bucket that lead no part and are still in different components are paired, in tiles, so no two lines of a
+bucket stay apart unless they were compared; only pairs that could not change a component are left out.
+
+A signature also holds a bitmap of the runs. Bits that differ are no more than runs that differ, so a pair with too many
+of them is below the similarity, and its texts are not fetched. Every other pair is verified by the exact
+similarity, and the components of the links keep one line: that of the least document id.
 
 A line that very many documents share is no hot key: the lines that stand in a ``HOT``th of all places, of which there are at
 most ``HOT``, meet the places by broadcast.
@@ -27,15 +29,24 @@ from vacantia.llm.common import components, fresh, row_key, settle
 
 SHINGLE = 8
 SIMILARITY = 0.8
-HASHES = 12
-# Each minimum hash is in two bands.
-BANDS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (0, 3, 6), (1, 4, 9), (2, 7, 10), (5, 8, 11))
-#: Leaders of a bucket.
+BANDS = 8
+#: Minimum hashes of a band.
+ROWS = 3
+#: Leaders of a bucket, met before the rest of it.
 LEADERS = 16
+#: Lines of a bucket that meet those of another such part, or each other, under one join key.
+TILE = 256
+#: Longs of a line's bitmap.
+WORDS = 8
 #: Lines that stand in more than this part of all places are met by broadcast; there are at most as many.
 HOT = 10_000
 
-_SHINGLES = f"(?=(.{{1,{SHINGLE}}}))(?:[!-\\u024F]{{1,12}}|[^ ]) ?"
+# Runs are cut out of short pieces, since finding a character of a long text takes a walk from its start.
+_PIECE = 16
+_PIECES = f"(?s)(?=(.{{{SHINGLE},{_PIECE + SHINGLE - 1}}})).{{1,{_PIECE}}}"
+# Each minimum hash is of the runs' hashes under another mask.
+_MASKS = [(2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(BANDS * ROWS)]
+_BITS = ["n", *[f"w{w}" for w in range(WORDS)]]
 _RUNS = f"(?s)(?=(.{{{SHINGLE}}}))."
 
 
@@ -51,11 +62,6 @@ def normal_lines(text: Column) -> Column:
     return F.split(F.lower(single), "\n", -1)
 
 
-def shingles(line: Column) -> Column:
-    """The runs that signatures are made of."""
-    return F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1))
-
-
 def runs(line: Column) -> Column:
     """Hashes of all different runs of a line."""
     found = F.regexp_extract_all(line, F.lit(_RUNS), F.lit(1))
@@ -79,57 +85,136 @@ def places(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return settle(_rows(documents, id_col, text_col).select("key", "id", hashes.alias("lines")), "line-places")
 
 
+def _each_run(lines: DataFrame) -> DataFrame:
+    """(line, n, x): the hash of every run, repeats included, and how many they are."""
+    whole = F.char_length("text") < SHINGLE
+    pieces = F.when(whole, F.array("text")).otherwise(F.regexp_extract_all("text", F.lit(_PIECES), F.lit(1)))
+    n = F.greatest(F.char_length("text") - (SHINGLE - 1), F.lit(1)).alias("n")
+    cut = lines.select("line", n, F.explode(pieces).alias("piece")).withColumn(
+        "last", F.greatest(F.char_length("piece") - (SHINGLE - 1), F.lit(1))
+    )
+    at = F.explode(F.array(*[F.lit(i + 1) for i in range(_PIECE)])).alias("at")
+    return cut.select("line", "n", "piece", "last", at).where("at <= last").select(
+        "line", "n", F.xxhash64(F.substring("piece", F.col("at"), F.lit(SHINGLE))).alias("x")
+    )
+
+
 def signatures(rows: DataFrame) -> DataFrame:
-    """(line, buckets): the band keys of each different line.
+    """(line, buckets, n, w0, w1, ...): the band keys of each different line, the number of its runs, their bitmap.
 
-    Shingles of a line leave the generator one after the other, so each task sums them before the shuffle.
+    Runs of a line leave the generator one after the other, so each task sums them before the shuffle.
     """
-    each = _lines(rows).select("line", F.explode(shingles(F.col("text"))).alias("shingle"))
-    each = each.select("line", F.xxhash64("shingle").alias("x"))
-    least = [F.min(F.hash(F.col("x"), F.lit(k))).alias(f"m{k}") for k in range(HASHES)]
-    buckets = F.array(*[F.xxhash64(F.lit(b), *[f"m{k}" for k in band]) for b, band in enumerate(BANDS)])
-    return settle(each.groupBy("line").agg(*least).select("line", buckets.alias("buckets")), "line-signatures")
+    least = [F.min(F.hash(F.col("x").bitwiseXOR(F.lit(mask)))).alias(f"m{k}") for k, mask in enumerate(_MASKS)]
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
+    word = F.pmod(F.shiftrightunsigned("x", 6), F.lit(WORDS))
+    bits = [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(WORDS)]
+    buckets = F.array(*[F.xxhash64(F.lit(b), *[f"m{ROWS * b + r}" for r in range(ROWS)]) for b in range(BANDS)])
+    signed = _each_run(_lines(rows)).groupBy("line").agg(*least, *bits, F.max("n").alias("n"))
+    return settle(signed.select("line", buckets.alias("buckets"), *_BITS), "line-signatures")
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(u, v): each line with the leaders of its buckets."""
-    members = signed.select("line", F.explode("buckets").alias("bucket"))
-    shared = settle(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "line-buckets")
-    members = settle(members.join(shared.hint("shuffle_hash"), "bucket", "left_semi"), "line-members")
-    leaders = settle(
-        members.groupBy("bucket", F.pmod(F.xxhash64("line"), F.lit(LEADERS)).alias("part"))
-        .agg(F.min("line").alias("leader"))
-        .groupBy("bucket").agg(F.collect_list("leader").alias("leaders")),
-        "line-leaders",
-    )
-    pairs = members.join(leaders, "bucket").select("line", F.explode("leaders").alias("leader"))
+def members(signed: DataFrame) -> DataFrame:
+    """(line, bucket): the lines of each bucket that has several."""
+    each = signed.select("line", F.explode("buckets").alias("bucket"))
+    shared = settle(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "line-buckets")
+    return settle(each.join(shared.hint("shuffle_hash"), "bucket", "left_semi"), "line-members")
+
+
+def leaders(met: DataFrame) -> DataFrame:
+    """(bucket, part, leader, n): the least line of each part of a bucket, and how many lines the part has."""
     return settle(
-        pairs.where("line <> leader")
-        .select(F.least("line", "leader").alias("u"), F.greatest("line", "leader").alias("v")).distinct(),
-        "line-pairs",
+        met.groupBy("bucket", _part(LEADERS)).agg(F.min("line").alias("leader"), F.count(F.lit(1)).alias("n")),
+        "line-leaders",
     )
 
 
-def similar(rows: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose runs have at least the Jaccard similarity."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("line")).distinct()
-    # Equal lines are made one before they move.
-    texts = settle(
-        _lines(rows).dropDuplicates(["line"]).join(wanted, "line", "left_semi")
-        .select("line", "text", F.size(runs(F.col("text"))).alias("n")),
-        "line-texts",
+def _part(of: int) -> Column:
+    return F.pmod(F.xxhash64("line"), F.lit(of)).alias("part")
+
+
+def led_pairs(met: DataFrame, led: DataFrame) -> DataFrame:
+    """(u, v): each line with the leaders of its buckets."""
+    listed = led.groupBy("bucket").agg(F.collect_list("leader").alias("leaders"))
+    pairs = met.join(listed, "bucket").select("line", F.explode("leaders").alias("leader"))
+    return pairs.where("line <> leader").select(
+        F.least("line", "leader").alias("u"), F.greatest("line", "leader").alias("v")
+    ).distinct()
+
+
+def other_pairs(met: DataFrame, led: DataFrame, roots: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): all lines of a bucket that do not lead in it and have different roots, but for those whose
+    bitmaps tell them apart."""
+    rest = met.select("bucket", "line", _part(LEADERS)).join(led.where("n > 1"), ["bucket", "part"])
+    rest = rest.where("line <> leader").select("bucket", "line")
+    tied = rest.join(roots.withColumnRenamed("node", "line"), "line", "left").select(
+        "bucket", "line", F.coalesce("root", "line").alias("root")
+    )
+    tied = settle(tied, "line-rest")
+    open_ones = tied.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    ).where("low < high").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    marked = settle(
+        tied.join(open_ones, "bucket").join(signed.drop("buckets"), "line")
+        .withColumn("part", F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int")),
+        "line-tiles",
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root"))
+    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root"))
+    pairs = left.join(right, ["bucket", "p", "q"]).where(
+        (F.col("a_line") < F.col("b_line")) & (F.col("a_root") != F.col("b_root")) & _possible(similarity)
     )
-    # Sets whose sizes are too far apart cannot be similar; their texts are not fetched.
-    sizes = texts.select("line", "n")
-    near = pairs.join(sizes.toDF("u", "n"), "u").join(sizes.toDF("v", "m"), "v").where(
-        F.least("n", "m") >= similarity * F.greatest("n", "m")
+    return pairs.select(F.col("a_line").alias("u"), F.col("b_line").alias("v")).distinct()
+
+
+def _sided(side: str, *columns: str) -> list[Column]:
+    return [F.col(c).alias(f"{side}_{c}") for c in (*columns, *_BITS)]
+
+
+def _possible(similarity: float) -> Column:
+    """Whether the bitmaps of two lines leave room for the similarity: a bit that differs is a run that differs."""
+    apart = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in range(WORDS)), F.lit(0))
+    return apart <= (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-6
+
+
+def possible(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that the bitmaps do not tell apart."""
+    met = pairs.join(signed.select(F.col("line").alias("u"), *_sided("a")), "u").join(
+        signed.select(F.col("line").alias("v"), *_sided("b")), "v"
     )
-    both = near.join(texts.select(F.col("line").alias("u"), F.col("text").alias("a")), "u").join(
+    return met.where(_possible(similarity)).select("u", "v")
+
+
+def texts_of(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """(line, text) of the lines that share a bucket."""
+    # Equal lines are made one before they move.
+    wanted = met.select("line").distinct()
+    return settle(_lines(rows).dropDuplicates(["line"]).join(wanted, "line", "left_semi"), "line-texts")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose runs have at least the Jaccard similarity."""
+    both = pairs.join(texts.select(F.col("line").alias("u"), F.col("text").alias("a")), "u").join(
         texts.select(F.col("line").alias("v"), F.col("text").alias("b")), "v"
     )
-    common = F.size(F.array_intersect(runs(F.col("a")), runs(F.col("b"))))
-    judged = both.select("u", "v", "n", "m", common.alias("common"))
-    return judged.where(F.col("common") >= similarity * (F.col("n") + F.col("m") - F.col("common"))).select("u", "v")
+    judged = both.select("u", "v", runs(F.col("a")).alias("a"), runs(F.col("b")).alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    judged = judged.select("u", "v", (F.size("a") + F.size("b")).alias("n"), common.alias("common"))
+    return judged.where(F.col("common") >= similarity * (F.col("n") - F.col("common"))).select("u", "v")
+
+
+def linked(rows: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of the lines that are similar to another and not the least of their component."""
+    signed = signatures(rows)
+    met = members(signed)
+    led, texts = leaders(met), texts_of(rows, met)
+    sure = similar(settle(possible(led_pairs(met, led), signed, similarity), "line-pairs"), texts, similarity)
+    roots = settle(components(sure), "line-roots")
+    rest = settle(other_pairs(met, led, roots, signed, similarity), "line-other-pairs")
+    more = settle(similar(rest, texts, similarity), "line-other-links")
+    if more.isEmpty():
+        return roots
+    return settle(components(roots.toDF("u", "v").unionByName(more)), "line-roots")
 
 
 def classes(rows: DataFrame, known: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -142,7 +227,7 @@ def classes(rows: DataFrame, known: DataFrame, similarity: float = SIMILARITY) -
         .groupBy("line").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")),
         "lines",
     )
-    roots = settle(components(similar(rows, candidates(signatures(rows)), similarity)), "line-roots")
+    roots = linked(rows, similarity)
     tied = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     grouped = tied.join(lines, F.col("line") == F.col("node")).select("line", "id", "n", "root")
     # Components are of different lines, each with its least id, so this struct is of linked lines only.
