@@ -162,6 +162,17 @@ def test_lines_in_one_large_bucket_meet_without_a_leader(spark, make):
     assert roots.count() < 40 and tied.count() == 300
 
 
+def test_runs_inside_long_words_give_candidates(spark, make):
+    rng = random.Random(19)
+    rows = []
+    for i in range(40):
+        word = "".join(rng.choice("abcdefghijklmnop") for _ in range(300))
+        rows += [(2 * i, word), (2 * i + 1, "x" * (1 + i % 11) + word)]
+    members, _ = brute(rows)
+    assert len(members) == 40
+    assert linededup.dedup_lines(make(rows)).count() == 40
+
+
 def test_bitmaps_tell_no_similar_lines_apart(spark, make):
     from pyspark.sql import functions as F
 
