@@ -105,3 +105,34 @@ def test_cut_lines_and_measures_name_lines_alike():
     for text in ("", "A  1\n\tb\r\n\n a 22 ", "x\x0by\nX Y", "\u0130 i\n\u00df\n"):
         assert not re.search(r"[^\s]", quality.cut_lines(text, quality.measure_text(text)[5])), text
         assert quality.cut_lines(text, []) == text
+
+
+def test_memory_follows_slices_and_written_rows_hold_no_pairs(spark, make, monkeypatch):
+    """Word pairs are found for documents with a furniture line only, a slice of texts at a time."""
+    import pyarrow as pa
+
+    rows = [(i, f"We use cookies\n{_words(f'own{i}x', 60)}") for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(1000), pa.int64()), pa.array(range(1000), pa.int64()), pa.array(["s"] * 1000), pa.array([t for _, t in rows])],
+        ["key", "id", "host", "text"],
+    )
+    out = list(quality._measure_batches([batch, batch.slice(0, 0)]))
+    assert max(b.num_rows for b in out) <= 256 and sum(b.num_rows for b in out) == 1000
+    assert "pairs" not in out[0].schema.names
+
+    written = {}
+    real = quality.settle
+
+    def settle(frame, label):
+        written[label] = real(frame, label)
+        return written[label]
+
+    monkeypatch.setattr(quality, "settle", settle)
+    lone = [(5000 + i, _words(f"lone{i}x", 60)) for i in range(300)]
+    got = quality.judge(make(rows[:100] + rows[:10] + lone)).collect()
+    assert sum(r["removed_words"] == 3 for r in got) == 110
+    assert "pairs" not in written["quality"].columns
+    bodies = written["quality-bodies"].collect()
+    assert len(bodies) == 100
+    want = {tuple(quality.text_pairs(t).tolist()) for _, t in rows[:100]}
+    assert {tuple(r["pairs"]) for r in bodies} == want
