@@ -136,3 +136,15 @@ def test_memory_follows_slices_and_written_rows_hold_no_pairs(spark, make, monke
     assert len(bodies) == 100
     want = {tuple(quality.text_pairs(t).tolist()) for _, t in rows[:100]}
     assert {tuple(r["pairs"]) for r in bodies} == want
+
+
+def test_only_texts_with_a_wanted_slot_are_shuffled(spark):
+    """Texts meet their keys by a shuffle at any size, and few of those that no one wants are in it."""
+    rows = spark.range(20_000).selectExpr("xxhash64(id) AS key", "concat('text ', id) AS text", "id")
+    wanted = rows.where("id % 100 = 0").selectExpr("'s' AS host", "id AS body", "key")
+    found = quality.texts_of(rows, wanted)
+    assert sorted((r.body, r.text) for r in found.collect()) == [(i, f"text {i}") for i in range(0, 20_000, 100)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search("Join LeftSemi.*strategy=broadcast", plan) and re.search("Join Inner.*strategy=merge", plan)
+    slots = {r.key % quality.SLOTS for r in wanted.collect()}
+    assert sum(r.key % quality.SLOTS in slots for r in rows.collect()) <= 250
