@@ -192,6 +192,26 @@ def test_bitmaps_tell_no_similar_lines_apart(spark, make):
         assert got and got == {(r.u, r.v) for r in linededup.similar(pairs, texts, similarity).collect()}
 
 
+def test_lines_that_share_half_their_runs_are_told_apart_before_their_texts_are_fetched(spark, make):
+    """The pairs that leave the tiles do not grow with the square of unlike lines of a bucket, and no link is lost."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(29)
+    common = " ".join(_words(rng, 58))
+    lines = [common + " " + " ".join(_words(rng, 22)) for _ in range(80)]
+    lines += [text + "q" for text in lines[:12]]
+    rows = make(list(enumerate(lines)))
+    signed = linededup.settle(linededup.signatures(rows).withColumn("buckets", F.array(F.lit(1).cast("long"))), "signed")
+    met = linededup.members(signed)
+    led, texts = linededup.leaders(met), linededup.texts_of(rows, met)
+    roots = spark.createDataFrame([], "node long, root long")
+    loose = linededup.settle(linededup.other_pairs(met, led, roots, signed, 0.8), "loose")
+    tight = linededup.settle(linededup.other_pairs(met, led, roots, signed, 0.8, texts), "tight")
+    links = {(r.u, r.v) for r in linededup.similar(loose, texts, 0.8).collect()}
+    assert links and links == {(r.u, r.v) for r in linededup.similar(tight, texts, 0.8).collect()}
+    assert loose.count() > 1000 and tight.count() < 3 * len(links)
+
+
 def test_main_path_is_native(spark, folder):
     plan = queries.QUERIES["op10_line_dedup"](spark, folder)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -9,7 +9,8 @@ bucket that lead no part and are still in different components are paired, in ti
 bucket stay apart unless they were compared; only pairs that could not change a component are left out.
 
 A signature also holds a bitmap of the runs. Bits that differ are no more than runs that differ, so a pair with too many
-of them is below the similarity, and its texts are not fetched. Every other pair is verified by the exact
+of them is below the similarity, and its texts are not fetched. Lines that the leaders leave apart from others get
+a wider bitmap and the number of their different runs for that. Every other pair is verified by the exact
 similarity, and the components of the links keep one line: that of the least document id.
 
 A line that very many documents share is no hot key: the lines that stand in a ``HOT``th of all places, of which there are at
@@ -22,6 +23,9 @@ without an id; within a document the first of equal lines stays; other columns a
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ LEADERS = 16
 TILE = 256
 #: Longs of a line's bitmap.
 WORDS = 8
+#: Longs of the bitmap of a line that the leaders leave apart from others of its bucket.
+WIDE = 32
 #: Lines that stand in more than this part of all places are met by broadcast; there are at most as many.
 HOT = 10_000
 
@@ -99,15 +105,20 @@ def _each_run(lines: DataFrame) -> DataFrame:
     )
 
 
+def _bitmap(words: int) -> list[Column]:
+    """The longs of the bitmap of the hashes x."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
+    word = F.pmod(F.shiftrightunsigned("x", 6), F.lit(words))
+    return [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("long"))) for w in range(words)]
+
+
 def signatures(rows: DataFrame) -> DataFrame:
     """(line, buckets, n, w0, w1, ...): the band keys of each different line, the number of its runs, their bitmap.
 
     Runs of a line leave the generator one after the other, so each task sums them before the shuffle.
     """
     least = [F.min(F.hash(F.col("x").bitwiseXOR(F.lit(mask)))).alias(f"m{k}") for k, mask in enumerate(_MASKS)]
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
-    word = F.pmod(F.shiftrightunsigned("x", 6), F.lit(WORDS))
-    bits = [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(WORDS)]
+    bits = [bits.alias(f"w{w}") for w, bits in enumerate(_bitmap(WORDS))]
     buckets = F.array(*[F.xxhash64(F.lit(b), *[f"m{ROWS * b + r}" for r in range(ROWS)]) for b in range(BANDS)])
     signed = _each_run(_lines(rows)).groupBy("line").agg(*least, *bits, F.max("n").alias("n"))
     return settle(signed.select("line", buckets.alias("buckets"), *_BITS), "line-signatures")
@@ -141,9 +152,23 @@ def led_pairs(met: DataFrame, led: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def other_pairs(met: DataFrame, led: DataFrame, roots: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
+def wide_bitmaps(texts: DataFrame) -> DataFrame:
+    """(line, size, x0, x1, ...): the number of each line's different runs and their wide bitmap."""
+    each = texts.select("line", runs(F.col("text")).alias("runs")).select(
+        "line", F.size("runs").alias("size"), F.explode("runs").alias("x")
+    )
+    return each.groupBy("line").agg(F.max("size").alias("size"), *[bits.alias(f"x{w}") for w, bits in enumerate(_bitmap(WIDE))])
+
+
+def other_pairs(
+    met: DataFrame, led: DataFrame, roots: DataFrame, signed: DataFrame, similarity: float, texts: DataFrame | None = None
+) -> DataFrame:
     """(u, v): all lines of a bucket that do not lead in it and have different roots, but for those whose
-    bitmaps tell them apart."""
+    bitmaps tell them apart.
+
+    With their texts, the lines that are left to be paired are told apart by the number of their different runs
+    and by wide bitmaps too, which only these lines have.
+    """
     rest = met.select("bucket", "line", _part(LEADERS)).join(led.where("n > 1"), ["bucket", "part"])
     rest = rest.where("line <> leader").select("bucket", "line")
     tied = rest.join(roots.withColumnRenamed("node", "line"), "line", "left").select(
@@ -153,17 +178,26 @@ def other_pairs(met: DataFrame, led: DataFrame, roots: DataFrame, signed: DataFr
     open_ones = tied.groupBy("bucket").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low < high").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    left_apart = settle(tied.join(open_ones, "bucket"), "line-apart")
+    signs, more = signed.drop("buckets"), []
+    apart = (F.col("a_line") < F.col("b_line")) & (F.col("a_root") != F.col("b_root"))
+    if texts is None:
+        apart = apart & _possible(similarity)
+    else:
+        own = texts.join(left_apart.select("line").distinct(), "line", "left_semi")
+        # The number of different runs takes the place of that of all.
+        signs = signs.drop("n").join(settle(wide_bitmaps(own), "line-wide").withColumnRenamed("size", "n"), "line")
+        more = [f"x{w}" for w in range(WIDE)]
+        sizes = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-6
+        apart = apart & sizes & _possible(similarity) & _possible_wide(similarity)
     marked = settle(
-        tied.join(open_ones, "bucket").join(signed.drop("buckets"), "line")
-        .withColumn("part", F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int")),
+        left_apart.join(signs, "line").withColumn("part", F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int")),
         "line-tiles",
     )
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root"))
-    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root"))
-    pairs = left.join(right, ["bucket", "p", "q"]).where(
-        (F.col("a_line") < F.col("b_line")) & (F.col("a_root") != F.col("b_root")) & _possible(similarity)
-    )
+    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root", *more))
+    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root", *more))
+    pairs = left.join(right, ["bucket", "p", "q"]).where(apart)
     return pairs.select(F.col("a_line").alias("u"), F.col("b_line").alias("v")).distinct()
 
 
@@ -173,8 +207,22 @@ def _sided(side: str, *columns: str) -> list[Column]:
 
 def _possible(similarity: float) -> Column:
     """Whether the bitmaps of two lines leave room for the similarity: a bit that differs is a run that differs."""
-    apart = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in range(WORDS)), F.lit(0))
-    return apart <= (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-6
+    return _apart("w", WORDS) <= _room(similarity)
+
+
+def _possible_wide(similarity: float) -> Column:
+    """The same of their wide bitmaps."""
+    return _apart("x", WIDE) <= _room(similarity)
+
+
+def _apart(name: str, words: int) -> Column:
+    """How many bits of two bitmaps differ."""
+    return reduce(add, (F.bit_count(F.col(f"a_{name}{w}").bitwiseXOR(F.col(f"b_{name}{w}"))) for w in range(words)))
+
+
+def _room(similarity: float) -> Column:
+    """How many runs may differ at most."""
+    return (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-6
 
 
 def possible(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
@@ -210,7 +258,7 @@ def linked(rows: DataFrame, similarity: float) -> DataFrame:
     led, texts = leaders(met), texts_of(rows, met)
     sure = similar(settle(possible(led_pairs(met, led), signed, similarity), "line-pairs"), texts, similarity)
     roots = settle(components(sure), "line-roots")
-    rest = settle(other_pairs(met, led, roots, signed, similarity), "line-other-pairs")
+    rest = settle(other_pairs(met, led, roots, signed, similarity, texts), "line-other-pairs")
     more = settle(similar(rest, texts, similarity), "line-other-links")
     if more.isEmpty():
         return roots
