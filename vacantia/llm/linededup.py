@@ -8,9 +8,9 @@ bucket's leaders, the least lines of sixteen parts of it, which joins most compo
 bucket that lead no part and are still in different components are paired, in tiles, so no two lines of a
 bucket stay apart unless they were compared; only pairs that could not change a component are left out.
 
-A signature also holds a bitmap of the runs. Bits that differ are no more than runs that differ, so a pair with too many
-of them is below the similarity, and its texts are not fetched. Lines that the leaders leave apart from others get
-a wider bitmap and the number of their different runs for that. Every other pair is verified by the exact
+Lines that share a bucket get a wide bitmap of their runs. Bits that differ are no more than runs that differ, so a
+pair with too many of them is below the similarity, and its texts are not fetched. Lines that the leaders leave
+apart from others are told apart by the number of their different runs too. Every other pair is verified by the exact
 similarity, and the components of the links keep one line: that of the least document id.
 
 A line that very many documents share is no hot key: the lines that stand in a ``HOT``th of all places, of which there are at
@@ -26,10 +26,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacantia.llm.common import components, fresh, row_key, settle
+from vacantia.llm.common import components, discard, fresh, row_key, settle
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -42,18 +42,17 @@ LEADERS = 16
 TILE = 256
 #: Longs of a line's bitmap.
 WORDS = 8
-#: Longs of the bitmap of a line that the leaders leave apart from others of its bucket.
+#: Longs of the bitmap of a line that shares a bucket.
 WIDE = 32
 #: Lines that stand in more than this part of all places are met by broadcast; there are at most as many.
 HOT = 10_000
 
-# Runs are cut out of short pieces, since finding a character of a long text takes a walk from its start.
-_PIECE = 16
-_PIECES = f"(?s)(?=(.{{{SHINGLE},{_PIECE + SHINGLE - 1}}})).{{1,{_PIECE}}}"
-# Each minimum hash is of the runs' hashes under another mask.
-_MASKS = [(2 * k + 1) * 0x9E3779B97F4A7C15 % (1 << 63) for k in range(BANDS * ROWS)]
+#: Runs that one row holds on the way to a minimum, so that fewer rows are summed.
+_TOGETHER = 4
+#: Bytes of a character where runs are cut: of one width, so that a run is found without a walk from the start.
+_WIDTH = 4
 _BITS = ["n", *[f"w{w}" for w in range(WORDS)]]
-_RUNS = f"(?s)(?=(.{{{SHINGLE}}}))."
+_WIDE_BITS = ["n", *[f"x{w}" for w in range(WIDE)]]
 
 
 def normal_lines(text: Column) -> Column:
@@ -68,11 +67,22 @@ def normal_lines(text: Column) -> Column:
     return F.split(F.lower(single), "\n", -1)
 
 
+def _count(wide: Column) -> Column:
+    """How many runs a line has that is cut, repeats included."""
+    return F.greatest((F.octet_length(wide) / _WIDTH).cast("int") - (SHINGLE - 1), F.lit(1))
+
+
+def _run(wide: Column, at: Column) -> Column:
+    """The hash of the run that starts at a character, from 0."""
+    return F.xxhash64(F.substring(wide, at * _WIDTH + 1, F.lit(SHINGLE * _WIDTH)))
+
+
 def runs(line: Column) -> Column:
     """Hashes of all different runs of a line."""
-    found = F.regexp_extract_all(line, F.lit(_RUNS), F.lit(1))
-    whole = F.when(F.char_length(line) < SHINGLE, F.array(line)).otherwise(found)
-    return F.array_distinct(F.transform(whole, lambda s: F.xxhash64(s)))
+    # The line is encoded once, as the only element of a list; named within the inner function it would be each time.
+    wide = F.array(F.encode(line, "UTF-32"))
+    each = F.transform(wide, lambda w: F.transform(F.sequence(F.lit(0), _count(w) - 1), lambda at: _run(w, at)))
+    return F.array_distinct(F.get(each, F.lit(0)))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -91,44 +101,81 @@ def places(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return settle(_rows(documents, id_col, text_col).select("key", "id", hashes.alias("lines")), "line-places")
 
 
+def texts_once(rows: DataFrame) -> DataFrame:
+    """(line, text): every different line, made one before it moves."""
+    return _lines(rows).groupBy("line").agg(F.min("text").alias("text"))
+
+
 def _each_run(lines: DataFrame) -> DataFrame:
-    """(line, n, x): the hash of every run, repeats included, and how many they are."""
-    whole = F.char_length("text") < SHINGLE
-    pieces = F.when(whole, F.array("text")).otherwise(F.regexp_extract_all("text", F.lit(_PIECES), F.lit(1)))
-    n = F.greatest(F.char_length("text") - (SHINGLE - 1), F.lit(1)).alias("n")
-    cut = lines.select("line", n, F.explode(pieces).alias("piece")).withColumn(
-        "last", F.greatest(F.char_length("piece") - (SHINGLE - 1), F.lit(1))
-    )
-    at = F.explode(F.array(*[F.lit(i + 1) for i in range(_PIECE)])).alias("at")
-    return cut.select("line", "n", "piece", "last", at).where("at <= last").select(
-        "line", "n", F.xxhash64(F.substring("piece", F.col("at"), F.lit(SHINGLE))).alias("x")
-    )
+    """(line, n, x0, x1, ...): the hashes of all runs, repeats included, some to a row, and how many they are.
+
+    Where the last row would go past the end it repeats the last run.
+    """
+    first = F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(_TOGETHER))).alias("at")
+    cut = lines.select("line", F.encode("text", "UTF-32").alias("wide"))
+    each = cut.select("line", "wide", _count(F.col("wide")).alias("n")).select("line", "n", "wide", first)
+    return each.select("line", "n", *[
+        _run(F.col("wide"), F.least(F.col("at") + i, F.col("n") - 1)).alias(f"x{i}") for i in range(_TOGETHER)
+    ])
+
+
+def _least(band: int, row: int) -> Column:
+    """The minimum hash of a row of a band.
+
+    Each row orders the runs by other bits of their hashes, and within a row the bands differ by the highest three.
+    So the rows of a band choose runs without regard to each other, and those of two bands mostly different ones.
+    """
+    mask = band << 61 if band < 4 else (band << 61) - (1 << 64)
+    seen = [F.shiftleft(f"x{i}", 21 * row).bitwiseXOR(F.lit(mask).cast("long")) for i in range(_TOGETHER)]
+    return F.min(F.least(*seen))
 
 
 def _bitmap(words: int) -> list[Column]:
-    """The longs of the bitmap of the hashes x."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
-    word = F.pmod(F.shiftrightunsigned("x", 6), F.lit(words))
-    return [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("long"))) for w in range(words)]
+    """The longs of the bitmap of the hashes x0, x1, ..."""
+    none = F.lit(0).cast("long")
 
+    def of(x: Column, w: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+        return F.when(F.pmod(F.shiftrightunsigned(x, 6), F.lit(words)) == w, bit).otherwise(none)
+
+    each = [F.col(f"x{i}") for i in range(_TOGETHER)]
+    return [F.bit_or(reduce(Column.bitwiseOR, (of(x, w) for x in each))) for w in range(words)]
 
-def signatures(rows: DataFrame) -> DataFrame:
-    """(line, buckets, n, w0, w1, ...): the band keys of each different line, the number of its runs, their bitmap.
 
-    Runs of a line leave the generator one after the other, so each task sums them before the shuffle.
+def bands(lines: DataFrame) -> DataFrame:
+    """(line, buckets): the band keys of each line.
+
+    Runs of a line leave the generator one after the other, and no line is in two tasks, so they are summed in place.
     """
-    least = [F.min(F.hash(F.col("x").bitwiseXOR(F.lit(mask)))).alias(f"m{k}") for k, mask in enumerate(_MASKS)]
+    least = [_least(b, r).alias(f"m{b}_{r}") for b in range(BANDS) for r in range(ROWS)]
+    buckets = F.array(*[F.xxhash64(F.lit(b), *[f"m{b}_{r}" for r in range(ROWS)]) for b in range(BANDS)])
+    return _each_run(lines).groupBy("line").agg(*least).select("line", buckets.alias("buckets"))
+
+
+def bitmaps(lines: DataFrame) -> DataFrame:
+    """(line, n, w0, w1, ...): the number of each line's runs and their bitmap."""
     bits = [bits.alias(f"w{w}") for w, bits in enumerate(_bitmap(WORDS))]
-    buckets = F.array(*[F.xxhash64(F.lit(b), *[f"m{ROWS * b + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    signed = _each_run(_lines(rows)).groupBy("line").agg(*least, *bits, F.max("n").alias("n"))
-    return settle(signed.select("line", buckets.alias("buckets"), *_BITS), "line-signatures")
+    return _each_run(lines).groupBy("line").agg(F.max("n").alias("n"), *bits)
+
+
+def signed_texts(rows: DataFrame) -> DataFrame:
+    """(line, text, buckets) of each different line; texts are cut into lines and dealt by them once."""
+    lines = texts_once(rows)
+    return settle(lines.join(bands(lines).hint("merge"), "line"), "line-signatures")
+
+
+def signatures(rows: DataFrame) -> DataFrame:
+    """(line, buckets, n, w0, w1, ...): the band keys of each different line, the number of its runs, their bitmap."""
+    signed = signed_texts(rows)
+    return settle(signed.select("line", "buckets").join(bitmaps(signed.select("line", "text")), "line"), "line-bitmaps")
 
 
 def members(signed: DataFrame) -> DataFrame:
     """(line, bucket): the lines of each bucket that has several."""
     each = signed.select("line", F.explode("buckets").alias("bucket"))
-    shared = settle(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "line-buckets")
-    return settle(each.join(shared.hint("shuffle_hash"), "bucket", "left_semi"), "line-members")
+    # Nearly all buckets have one line, so summing before the shuffle would not pay.
+    n = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
+    return settle(each.withColumn("n", n).where("n > 1").select("line", "bucket"), "line-members")
 
 
 def leaders(met: DataFrame) -> DataFrame:
@@ -153,11 +200,9 @@ def led_pairs(met: DataFrame, led: DataFrame) -> DataFrame:
 
 
 def wide_bitmaps(texts: DataFrame) -> DataFrame:
-    """(line, size, x0, x1, ...): the number of each line's different runs and their wide bitmap."""
-    each = texts.select("line", runs(F.col("text")).alias("runs")).select(
-        "line", F.size("runs").alias("size"), F.explode("runs").alias("x")
-    )
-    return each.groupBy("line").agg(F.max("size").alias("size"), *[bits.alias(f"x{w}") for w, bits in enumerate(_bitmap(WIDE))])
+    """(line, n, x0, x1, ...): the number of each line's runs, repeats included, and their wide bitmap."""
+    bits = [bits.alias(f"x{w}") for w, bits in enumerate(_bitmap(WIDE))]
+    return _each_run(texts).groupBy("line").agg(F.max("n").alias("n"), *bits)
 
 
 def other_pairs(
@@ -179,65 +224,52 @@ def other_pairs(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low < high").select("bucket", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     left_apart = settle(tied.join(open_ones, "bucket"), "line-apart")
-    signs, more = signed.drop("buckets"), []
+    signs, bits = None, _BITS
     apart = (F.col("a_line") < F.col("b_line")) & (F.col("a_root") != F.col("b_root"))
     if texts is None:
-        apart = apart & _possible(similarity)
+        signs = signed.select("line", *bits)
+        apart = apart & _possible(similarity, bits)
     else:
         own = texts.join(left_apart.select("line").distinct(), "line", "left_semi")
         # The number of different runs takes the place of that of all.
-        signs = signs.drop("n").join(settle(wide_bitmaps(own), "line-wide").withColumnRenamed("size", "n"), "line")
-        more = [f"x{w}" for w in range(WIDE)]
+        sizes = own.select("line", F.size(runs(F.col("text"))).alias("n"))
+        signs = settle(wide_bitmaps(own).drop("n").join(sizes, "line"), "line-wide")
+        bits = _WIDE_BITS
         sizes = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-6
-        apart = apart & sizes & _possible(similarity) & _possible_wide(similarity)
+        apart = apart & sizes & _possible(similarity, bits)
     marked = settle(
         left_apart.join(signs, "line").withColumn("part", F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int")),
         "line-tiles",
     )
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root", *more))
-    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root", *more))
+    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root", *bits))
+    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root", *bits))
     pairs = left.join(right, ["bucket", "p", "q"]).where(apart)
     return pairs.select(F.col("a_line").alias("u"), F.col("b_line").alias("v")).distinct()
 
 
 def _sided(side: str, *columns: str) -> list[Column]:
-    return [F.col(c).alias(f"{side}_{c}") for c in (*columns, *_BITS)]
+    return [F.col(c).alias(f"{side}_{c}") for c in columns]
 
 
-def _possible(similarity: float) -> Column:
+def _possible(similarity: float, bits: list[str]) -> Column:
     """Whether the bitmaps of two lines leave room for the similarity: a bit that differs is a run that differs."""
-    return _apart("w", WORDS) <= _room(similarity)
-
-
-def _possible_wide(similarity: float) -> Column:
-    """The same of their wide bitmaps."""
-    return _apart("x", WIDE) <= _room(similarity)
-
-
-def _apart(name: str, words: int) -> Column:
-    """How many bits of two bitmaps differ."""
-    return reduce(add, (F.bit_count(F.col(f"a_{name}{w}").bitwiseXOR(F.col(f"b_{name}{w}"))) for w in range(words)))
-
-
-def _room(similarity: float) -> Column:
-    """How many runs may differ at most."""
-    return (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-6
+    differ = reduce(add, (F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in bits[1:]))
+    return differ <= (1 - similarity) / (1 + similarity) * (F.col("a_n") + F.col("b_n")) + 1e-6
 
 
 def possible(pairs: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that the bitmaps do not tell apart."""
-    met = pairs.join(signed.select(F.col("line").alias("u"), *_sided("a")), "u").join(
-        signed.select(F.col("line").alias("v"), *_sided("b")), "v"
+    """The pairs that the bitmaps do not tell apart, wide ones where the lines have them."""
+    bits = _WIDE_BITS if _WIDE_BITS[-1] in signed.columns else _BITS
+    met = pairs.join(signed.select(F.col("line").alias("u"), *_sided("a", *bits)), "u").join(
+        signed.select(F.col("line").alias("v"), *_sided("b", *bits)), "v"
     )
-    return met.where(_possible(similarity)).select("u", "v")
+    return met.where(_possible(similarity, bits)).select("u", "v")
 
 
 def texts_of(rows: DataFrame, met: DataFrame) -> DataFrame:
     """(line, text) of the lines that share a bucket."""
-    # Equal lines are made one before they move.
-    wanted = met.select("line").distinct()
-    return settle(_lines(rows).dropDuplicates(["line"]).join(wanted, "line", "left_semi"), "line-texts")
+    return settle(texts_once(rows).join(met.select("line").distinct(), "line", "left_semi"), "line-texts")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -253,12 +285,15 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 def linked(rows: DataFrame, similarity: float) -> DataFrame:
     """(node, root) of the lines that are similar to another and not the least of their component."""
-    signed = signatures(rows)
+    signed = signed_texts(rows)
     met = members(signed)
-    led, texts = leaders(met), texts_of(rows, met)
-    sure = similar(settle(possible(led_pairs(met, led), signed, similarity), "line-pairs"), texts, similarity)
+    led = leaders(met)
+    texts = settle(signed.select("line", "text").join(met.select("line").distinct(), "line", "left_semi"), "line-texts")
+    discard(signed)
+    marks = settle(wide_bitmaps(texts), "line-bitmaps")
+    sure = similar(settle(possible(led_pairs(met, led), marks, similarity), "line-pairs"), texts, similarity)
     roots = settle(components(sure), "line-roots")
-    rest = settle(other_pairs(met, led, roots, signed, similarity, texts), "line-other-pairs")
+    rest = settle(other_pairs(met, led, roots, marks, similarity, texts), "line-other-pairs")
     more = settle(similar(rest, texts, similarity), "line-other-links")
     if more.isEmpty():
         return roots
