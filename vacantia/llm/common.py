@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,16 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def laid_out(frame: DataFrame, column: str, label: str) -> DataFrame:
+    """A settled frame whose rows lie by a column: a later join on it moves only the other side."""
+    spark = frame.sparkSession
+    name, path = f"laid_out_{uuid.uuid4().hex}", shared_dir(spark, label)
+    frame.write.bucketBy(partitions(spark), column).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def discard(frame: DataFrame) -> None:
     """Deletes the files of a settled frame that nothing reads any more."""
     spark = frame.sparkSession

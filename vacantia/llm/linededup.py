@@ -29,7 +29,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacantia.llm.common import components, discard, fresh, row_key, settle
+from vacantia.llm.common import components, discard, fresh, laid_out, row_key, settle
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -161,7 +161,13 @@ def bitmaps(lines: DataFrame) -> DataFrame:
 def signed_texts(rows: DataFrame) -> DataFrame:
     """(line, text, buckets) of each different line; texts are cut into lines and dealt by them once."""
     lines = texts_once(rows)
-    return settle(lines.join(bands(lines).hint("merge"), "line"), "line-signatures")
+    return laid_out(lines.join(bands(lines).hint("merge"), "line"), "line", "line-signatures")
+
+
+def shared_texts(signed: DataFrame, met: DataFrame) -> DataFrame:
+    """(line, text) of the lines that share a bucket; texts are read where they lie, only lines move."""
+    wanted = met.select("line").distinct().hint("shuffle_hash")
+    return signed.select("line", "text").join(wanted, "line", "left_semi")
 
 
 def signatures(rows: DataFrame) -> DataFrame:
@@ -237,15 +243,16 @@ def other_pairs(
         bits = _WIDE_BITS
         sizes = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n") - 1e-6
         apart = apart & sizes & _possible(similarity, bits)
-    marked = settle(
-        left_apart.join(signs, "line").withColumn("part", F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int")),
-        "line-tiles",
-    )
+    part = F.pmod(F.xxhash64("line", "bucket"), F.col("tiles")).cast("int").alias("part")
+    buckets = F.collect_list("bucket").over(Window.partitionBy("line")).alias("buckets")
+    marked = settle(left_apart.join(signs, "line").select("*", part, buckets), "line-tiles")
+    # Lines that are apart in several buckets leave the tiles of the least of them, once.
+    apart = apart & (F.array_min(F.array_intersect("a_buckets", "b_buckets")) == F.col("bucket"))
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root", *bits))
-    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root", *bits))
+    left = marked.select("bucket", F.col("part").alias("p"), every.alias("q"), *_sided("a", "line", "root", "buckets", *bits))
+    right = marked.select("bucket", every.alias("p"), F.col("part").alias("q"), *_sided("b", "line", "root", "buckets", *bits))
     pairs = left.join(right, ["bucket", "p", "q"]).where(apart)
-    return pairs.select(F.col("a_line").alias("u"), F.col("b_line").alias("v")).distinct()
+    return pairs.select(F.col("a_line").alias("u"), F.col("b_line").alias("v"))
 
 
 def _sided(side: str, *columns: str) -> list[Column]:
@@ -277,10 +284,16 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.join(texts.select(F.col("line").alias("u"), F.col("text").alias("a")), "u").join(
         texts.select(F.col("line").alias("v"), F.col("text").alias("b")), "v"
     )
-    judged = both.select("u", "v", runs(F.col("a")).alias("a"), runs(F.col("b")).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    judged = judged.select("u", "v", (F.size("a") + F.size("b")).alias("n"), common.alias("common"))
-    return judged.where(F.col("common") >= similarity * (F.col("n") - F.col("common"))).select("u", "v")
+    # One-element generators, because the filter would be moved below the projections and cut each text three times.
+    cut = both.select("u", "v", _once(runs(F.col("a")).alias("a"), runs(F.col("b")).alias("b")))
+    sizes = (F.size("r.a") + F.size("r.b")).alias("n")
+    judged = cut.select("u", "v", _once(sizes, F.size(F.array_intersect("r.a", "r.b")).alias("common")))
+    return judged.where(F.col("r.common") >= similarity * (F.col("r.n") - F.col("r.common"))).select("u", "v")
+
+
+def _once(*columns: Column) -> Column:
+    """The columns as a struct r that no later step is written into."""
+    return F.explode(F.array(F.struct(*columns))).alias("r")
 
 
 def linked(rows: DataFrame, similarity: float) -> DataFrame:
@@ -288,7 +301,7 @@ def linked(rows: DataFrame, similarity: float) -> DataFrame:
     signed = signed_texts(rows)
     met = members(signed)
     led = leaders(met)
-    texts = settle(signed.select("line", "text").join(met.select("line").distinct(), "line", "left_semi"), "line-texts")
+    texts = settle(shared_texts(signed, met), "line-texts")
     discard(signed)
     marks = settle(wide_bitmaps(texts), "line-bitmaps")
     sure = similar(settle(possible(led_pairs(met, led), marks, similarity), "line-pairs"), texts, similarity)
